@@ -55,12 +55,15 @@ def platform_counts(r: DataFrame, by: list[str] | None = None) -> DataFrame:
     return r.groupBy(*by, "platform").agg(F.count("*").alias("n")).orderBy(*by, F.desc("n"), "platform")
 
 
-def with_seq(r: DataFrame, order: list[str] | None = None, partitions: int | None = None) -> DataFrame:
+def with_seq(r: DataFrame, order: list[str] | None = None, group: list[str] | None = None,
+             partitions: int | None = None) -> DataFrame:
     """Dense 1-based ``review_seq`` in ``order`` without a global window.
 
     Range-partition + sort within partitions, cut lineage (so both passes see
     identical partitions), count rows per partition (one tiny aggregate),
-    turn counts into offsets on that tiny frame, broadcast them back.
+    turn counts into offsets on that tiny frame, broadcast them back.  With
+    ``group`` (a prefix of ``order``) numbering restarts at 1 per group: the
+    group's first global number comes from a second tiny aggregate.
     """
     from feedback_spark.session import cut_lineage
 
@@ -69,15 +72,19 @@ def with_seq(r: DataFrame, order: list[str] | None = None, partitions: int | Non
     ranged = r.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_cnt"), F.min("_mid").alias("_first"))
-    # bounded by the number of partitions: safe to broadcast
+    # one row per partition: bounded, safe to broadcast; the window runs on that tiny frame
     offsets = counts.withColumn(
         "_off", F.coalesce(F.sum("_cnt").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     )
-    return (
+    out = (
         ranged.join(F.broadcast(offsets), "_pid")
         .withColumn("review_seq", F.col("_off") + (F.col("_mid") - F.col("_first")) + 1)
         .drop("_pid", "_mid", "_cnt", "_first", "_off")
     )
+    if group:
+        starts = out.groupBy(*group).agg(F.min("review_seq").alias("_g0"))  # one row per group
+        out = out.join(F.broadcast(starts), group).withColumn("review_seq", F.col("review_seq") - F.col("_g0") + 1).drop("_g0")
+    return out
 
 
 def sample_n(r: DataFrame, n: int, seed: int = 42, key: str = "review_id") -> DataFrame:

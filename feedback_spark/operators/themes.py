@@ -73,6 +73,9 @@ def theme_ord(spark) -> DataFrame:
     return F.broadcast(taxonomy(spark).select("product_type", "theme", "ord"))
 
 
+MAX_WIDE_THEMES = 1000
+
+
 def themes_wide(r: DataFrame, known: list[str] | None = None, llm_col: str | None = None) -> DataFrame:
     """One boolean ``theme_<name>`` column per known theme (+ LLM themes).
 
@@ -85,7 +88,11 @@ def themes_wide(r: DataFrame, known: list[str] | None = None, llm_col: str | Non
     if llm_col:
         parsed = parse_themes(llm_col)
         r = r.withColumn("_llm_themes", parsed)
-        extra = [x[0] for x in r.select(F.explode("_llm_themes")).distinct().limit(10_000).collect()]
+        vocab = r.select(F.explode("_llm_themes").alias("t")).distinct()
+        n = vocab.count()  # the column set is part of the plan: check its size before collecting
+        if n > MAX_WIDE_THEMES:
+            raise ValueError(f"{n} distinct themes; a wide table supports at most {MAX_WIDE_THEMES}")
+        extra = [x[0] for x in vocab.collect()]
         known += [t for t in sorted(extra) if t and t not in known]
         src = F.col("_llm_themes")
     out = r.select("*", *[F.array_contains(src, t).alias(f"theme_{t}") for t in known])
