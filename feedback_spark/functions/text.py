@@ -92,5 +92,5 @@ def parse_themes(col: str | Column, strict: bool = False) -> Column:
 
 
 def truthy(col: str | Column) -> Column:
-    """True / "True" / "1" count as set."""
-    return F.lower(_c(col).cast("string")).isin("true", "1")
+    """True / "True" / "1" count as set; anything else, null included, is false."""
+    return F.coalesce(F.lower(_c(col).cast("string")).isin("true", "1"), F.lit(False))
