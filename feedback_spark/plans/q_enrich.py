@@ -33,37 +33,43 @@ class Txt:
         self.pieces = pieces
 
     def spark(self) -> Column:
-        return F.concat(*[F.lit(p) if isinstance(p, str) else p[0] for p in self.pieces])
+        return F.concat(*[F.lit(p) if isinstance(p, str) else p[0]() for p in self.pieces])
 
     def sql(self) -> str:
         return "(" + " || ".join(sql_str(p) if isinstance(p, str) else p[1] for p in self.pieces) + ")"
 
 
+# A piece is a literal string or (zero-arg callable -> Column, SQL text); the
+# callables keep SQL generation free of any Spark session.
 def _num(col: str):
-    return (F.col(col).cast("string"), f"CAST({col} AS VARCHAR)")
+    return (lambda: F.col(col).cast("string"), f"CAST({col} AS VARCHAR)")
 
 
 def _case(col: str, mod: int, values: list[str], offset: int = 0):
     """values[(col + offset) % mod] as a piece."""
-    sp = F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(F.col(col) + offset, F.lit(mod)) + 1).cast("int"))
+    def sp():
+        return F.element_at(F.array(*[F.lit(v) for v in values]), (F.pmod(F.col(col) + offset, F.lit(mod)) + 1).cast("int"))
     sq = "[" + ", ".join(sql_str(v) for v in values) + f"][CAST(({col} + {offset}) % {mod} AS INTEGER) + 1]"
     return (sp, sq)
 
 
-def _when(cond_spark: Column, cond_sql: str, yes, no):
-    ys = F.lit(yes) if isinstance(yes, str) else yes[0]
-    ns = F.lit(no) if isinstance(no, str) else no[0]
+def _when(cond_spark, cond_sql: str, yes, no):
+    def ys():
+        return F.lit(yes) if isinstance(yes, str) else yes[0]()
+
+    def ns():
+        return F.lit(no) if isinstance(no, str) else no[0]()
     yq = sql_str(yes) if isinstance(yes, str) else yes[1]
     nq = sql_str(no) if isinstance(no, str) else no[1]
-    return (F.when(cond_spark, ys).otherwise(ns), f"(CASE WHEN {cond_sql} THEN {yq} ELSE {nq} END)")
+    return (lambda: F.when(cond_spark(), ys()).otherwise(ns()), f"(CASE WHEN {cond_sql} THEN {yq} ELSE {nq} END)")
 
 
 def _mod(col, m, v):
-    return (F.pmod(F.col(col), F.lit(m)) == v), f"{col} % {m} = {v}"
+    return (lambda: F.pmod(F.col(col), F.lit(m)) == v), f"{col} % {m} = {v}"
 
 
 def _conf():
-    return (F.lpad(F.pmod(F.col("review_id"), F.lit(100)).cast("string"), 2, "0"),
+    return (lambda: F.lpad(F.pmod(F.col("review_id"), F.lit(100)).cast("string"), 2, "0"),
             "lpad(CAST(review_id % 100 AS VARCHAR), 2, '0')")
 
 
@@ -72,24 +78,24 @@ def _obj(retry: bool) -> Txt:
     seq = "review_seq"
     plain = Txt('"idx":', _num(seq), ",")
     if retry:
-        idx = (plain.spark(), plain.sql())
+        idx = (plain.spark, plain.sql())
         sent = "Positive"
     else:
-        high = Txt('"idx":', ((F.col(seq) + 100000).cast("string"), f"CAST({seq} + 100000 AS VARCHAR)"), ",")
+        high = Txt('"idx":', (lambda: (F.col(seq) + 100000).cast("string"), f"CAST({seq} + 100000 AS VARCHAR)"), ",")
         text = Txt('"idx":"', _num(seq), '",')
         idx = _when(*_mod(seq, 11, 0), "",
                     _when(*_mod(seq, 13, 0), '"idx":0,',
-                          _when(*_mod(seq, 17, 0), (high.spark(), high.sql()),
-                                _when(*_mod(seq, 7, 0), (text.spark(), text.sql()), (plain.spark(), plain.sql())))))
-        sent = (F.coalesce(F.col("lsent"), F.lit("Mixed")), "coalesce(lsent, 'Mixed')")
+                          _when(*_mod(seq, 17, 0), (high.spark, high.sql()),
+                                _when(*_mod(seq, 7, 0), (text.spark, text.sql()), (plain.spark, plain.sql())))))
+        sent = (lambda: F.coalesce(F.col("lsent"), F.lit("Mixed")), "coalesce(lsent, 'Mixed')")
     rid = _num("review_id")
 
     def t(*pieces):
         x = Txt(*pieces)
-        return (x.spark(), x.sql())
+        return (x.spark, x.sql())
     return Txt(
         "{", idx, '"sentiment":"', sent, '","themes":', _case("review_id", 3, ["[]", '["UX"]', '["Pricing","Reliability"]']),
-        ',"priority":"P', ((F.pmod(F.col("review_id"), F.lit(4)) + 1).cast("string"), "CAST(review_id % 4 + 1 AS VARCHAR)"),
+        ',"priority":"P', (lambda: (F.pmod(F.col("review_id"), F.lit(4)) + 1).cast("string"), "CAST(review_id % 4 + 1 AS VARCHAR)"),
         '","churn_risk":"', _case("review_id", 3, ["Low", "Medium", "High"]), '"',
         ',"is_feature_request":', _when(*_mod("review_id", 4, 1), "true", "false"),
         ',"is_churn_signal":', _when(*_mod("review_id", 5, 2), "true", "false"),
@@ -113,8 +119,9 @@ LAB_SQL = ("lab AS (SELECT doc_id AS review_id, CASE WHEN toxic = 1 THEN 'Negati
 
 
 def _file(prefix: str):
-    sp = F.concat(F.lit(prefix), F.lower("product"), F.lit("_response_b"), F.lpad(F.col("batch_no").cast("string"), 2, "0"),
-                  F.lit(".json"))
+    def sp():
+        return F.concat(F.lit(prefix), F.lower("product"), F.lit("_response_b"), F.lpad(F.col("batch_no").cast("string"), 2, "0"),
+                        F.lit(".json"))
     sq = f"'{prefix}' || lower(product) || '_response_b' || lpad(CAST(batch_no AS VARCHAR), 2, '0') || '.json'"
     return sp, sq
 
@@ -139,8 +146,8 @@ def responses(spark, sf):
             .when(k == 3, F.expr("substring(arr, 1, length(arr) - 20)"))
             .when(k == 4, F.expr("substring(arr, 1, length(arr) - 1)"))
             .when(k == 5, F.concat(a, F.lit(" done"))).otherwise(F.lit("sorry, no output")))
-    first = b.select(_file("batches/")[0].alias("file"), body.alias("body"))
-    retry = b.filter(F.pmod("batch_no", F.lit(10)) == 3).select(_file("retry/")[0].alias("file"), F.col("rarr").alias("body"))
+    first = b.select(_file("batches/")[0]().alias("file"), body.alias("body"))
+    retry = b.filter(F.pmod("batch_no", F.lit(10)) == 3).select(_file("retry/")[0]().alias("file"), F.col("rarr").alias("body"))
     return first.unionByName(retry)
 
 
@@ -289,7 +296,7 @@ def _answer_pieces() -> dict:
                       '","growth_impact":"Low"}'),
         "skeptic": Txt(_when(*_mod("review_id", 9, 0), "{}",
                              (Txt('{"is_actionable":', _when(*_mod("review_id", 2, 0), "true", "false"), ',"reasoning":"Checked ', rid,
-                                  '"}').spark(),
+                                  '"}').spark,
                               Txt('{"is_actionable":', _when(*_mod("review_id", 2, 0), "true", "false"), ',"reasoning":"Checked ', rid,
                                   '"}').sql()))),
         "synth": Txt('{"final_category":"UX","priority":"', _case("review_id", 4, FV.PRIORITY_ROUTE_B), '","confidence":0.', _conf(),
