@@ -20,7 +20,12 @@ from feedback_spark.sources import payloads as B
 from feedback_spark.sources.testdata import reviews, table
 
 _ = (SPACE, TRIM_PATTERN)
-DATE = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(700)).cast("int"))
+
+
+def _date():
+    return F.date_add(F.lit("2024-01-01").cast("date"), F.pmod("doc_id", F.lit(700)).cast("int"))
+
+
 DATE_SQL = "CAST(DATE '2024-01-01' + CAST(doc_id % 700 AS INTEGER) AS DATE)"
 
 
@@ -32,7 +37,7 @@ def _esc(c):
 
 def _playstore_raw(spark, sf):
     d = table(spark, sf, "documents")
-    rec = F.struct(F.concat(F.date_format(DATE, "yyyy-MM-dd"), F.lit("T12:30:00")).alias("at"),
+    rec = F.struct(F.concat(F.date_format(_date(), "yyyy-MM-dd"), F.lit("T12:30:00")).alias("at"),
                    F.concat(F.lit("user_"), F.pmod("doc_id", F.lit(50)).cast("string")).alias("userName"),
                    F.when(F.pmod("doc_id", F.lit(3)) == 0, F.lit(None)).otherwise(F.pmod("doc_id", F.lit(5)) + 1).cast("double").alias("score"),
                    F.col("text").alias("content"))
@@ -42,7 +47,7 @@ def _playstore_raw(spark, sf):
 def _app_store_raw(spark, sf):
     d = table(spark, sf, "documents")
     date = F.when(F.pmod("doc_id", F.lit(4)) == 0, F.lit("last week")).otherwise(
-        F.concat(F.date_format(DATE, "yyyy-MM-dd"), F.lit(" 08:15:00")))
+        F.concat(F.date_format(_date(), "yyyy-MM-dd"), F.lit(" 08:15:00")))
     rec = F.struct(date.alias("date"), F.concat(F.lit("user_"), F.pmod("doc_id", F.lit(50)).cast("string")).alias("userName"),
                    (F.pmod("doc_id", F.lit(5)) + 1).cast("double").alias("rating"), F.col("text").alias("review"))
     return d.select(F.to_json(rec).alias("payload"))
@@ -82,7 +87,7 @@ def _pages(spark, sf, kind):
         card = F.concat(
             F.lit('<article data-service-review-card-paper="true"><h2 data-service-review-title-typography="true">'), _esc(title),
             F.lit("</h2>"), rating, F.lit('<p data-service-review-text-typography="true">'), _esc(F.col("text")), F.lit("</p>"),
-            F.lit('<time datetime="'), F.date_format(DATE, "yyyy-MM-dd"), F.lit('T10:00:00.000Z"></time>'),
+            F.lit('<time datetime="'), F.date_format(_date(), "yyyy-MM-dd"), F.lit('T10:00:00.000Z"></time>'),
             F.lit('<aside aria-label="Info for user_'), F.pmod("doc_id", F.lit(50)).cast("string"), F.lit('"></aside></article>'))
     else:
         card = F.concat(
