@@ -88,8 +88,14 @@ def with_seq(r: DataFrame, order: list[str] | None = None, group: list[str] | No
 
 
 def sample_n(r: DataFrame, n: int, seed: int = 42, key: str = "review_id") -> DataFrame:
-    """Reproducible sample of exactly min(n, count) rows (hash order top-k)."""
-    return r.withColumn("_h", F.xxhash64(F.lit(seed), F.col(key))).orderBy("_h", key).limit(n).drop("_h")
+    """Reproducible sample of exactly min(n, count) rows.
+
+    Rows are ranked by md5("<seed>:<key>") (the same digest in any engine) and
+    the first n kept; ``orderBy(...).limit(n)`` plans as a per-partition
+    top-n with a final merge, never a full sort.
+    """
+    h = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
+    return r.withColumn("_h", h).orderBy("_h", key).limit(n).drop("_h")
 
 
 def carry_forward(prev: DataFrame, new: DataFrame, key: str = "platform") -> DataFrame:

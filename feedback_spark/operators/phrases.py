@@ -38,9 +38,10 @@ DOC = "review_id"
 
 def phrase_tokens(text: Column, stop_words: list[str] | None = None) -> Column:
     """Lower-cased Unicode word tokens of 2+ chars, stop words removed, order kept."""
-    stops = F.array(*[F.lit(w) for w in (stop_words if stop_words is not None else FV.ENGLISH_STOP_WORDS)])
+    stops = list(stop_words if stop_words is not None else FV.ENGLISH_STOP_WORDS)
     toks = F.regexp_extract_all(F.lower(text), F.lit(PHRASE_TOKEN), 0)
-    return F.filter(toks, lambda t: ~F.array_contains(stops, t))
+    # a literal IN list becomes a hash-set lookup (InSet) inside the lambda
+    return F.filter(toks, lambda t: ~t.isin(stops))
 
 
 def ngrams(tokens: Column, lo: int, hi: int) -> Column:
@@ -87,8 +88,8 @@ def top_phrases(r: DataFrame, group: list[str], n: int = 20, ngram_range: tuple[
 def _tfidf(docs: DataFrame, group: list[str], n: int, ngram_range, min_df: int, cap: int,
            text: str, doc: str, partitions: int | None) -> DataFrame:
     keys = [*group, doc]
-    parts = partitions or docs.sparkSession.conf.get("spark.sql.shuffle.partitions")
-    docs = docs.repartition(int(parts), *keys)
+    # without an explicit count AQE may coalesce the partitions after the exchange
+    docs = docs.repartition(partitions, *keys) if partitions else docs.repartition(*keys)
     toks = docs.select(*keys, "n_docs", phrase_tokens(F.col(text)).alias("_toks"))
     grams = toks.select(*keys, "n_docs", F.explode(ngrams(F.col("_toks"), *ngram_range)).alias("term"))
     tf = grams.groupBy(*keys, "term").agg(F.count("*").alias("tf"), F.first("n_docs").alias("n_docs"))

@@ -171,7 +171,7 @@ QUERIES = {
     ),
     "c9_sample_n": (
         lambda spark, sf: C.sample_n(clean_layer(spark, sf), 50, seed=7).select("product", "review_id"),
-        None,
+        with_base("SELECT product, review_id FROM clean ORDER BY md5('7:' || CAST(review_id AS VARCHAR)), review_id LIMIT 50"),
     ),
     "d1_rating_sentiment": (
         lambda spark, sf: clean_layer(spark, sf).filter(F.col("rating").isNotNull()).select(

@@ -107,10 +107,20 @@ def _obj(retry: bool) -> Txt:
     )
 
 
+_NUMBERED: dict = {}
+
+
 def enrich_input(spark, sf):
-    """Reviews to enrich: cleaned, length > 15, numbered 1.. per product."""
-    r = C.min_length(clean_layer(spark, sf), FV.MIN_TEXT_LEN)
-    return C.with_seq(r, ["product", "review_id"], group=["product"])
+    """Reviews to enrich: cleaned, length > 15, numbered 1.. per product.
+
+    Numbering cuts lineage with a checkpoint (C8); the numbered frame is kept
+    per (session, folder) so one query plan does not number the input twice.
+    """
+    key = (id(spark), sf)
+    if key not in _NUMBERED:
+        r = C.min_length(clean_layer(spark, sf), FV.MIN_TEXT_LEN)
+        _NUMBERED[key] = C.with_seq(r, ["product", "review_id"], group=["product"])
+    return _NUMBERED[key]
 
 
 ENRICH_INPUT_SQL = "seqd AS (SELECT *, row_number() OVER (PARTITION BY product ORDER BY review_id) AS review_seq FROM clean1)"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_core", "q_metrics", "q_trends_explore", "q_text", "q_enrich", "q_sources", "q_streaming"]
+MODULES = ["q_core", "q_metrics", "q_trends_explore", "q_text", "q_enrich", "q_sources", "q_streaming", "q_files"]
 
 
 def all_queries() -> dict:

@@ -22,6 +22,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("FEEDBACK_ADVISORY_PARTITION", "64m"))
+        .config("spark.sql.files.maxPartitionBytes", os.environ.get("FEEDBACK_MAX_PARTITION_BYTES", "128m"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")

@@ -44,6 +44,8 @@ def resolve_tier(spark: SparkSession, paths: list[str], schema: str = REVIEW_SCH
 def write_layer(df: DataFrame, path: str, partition_by: str | None = "product", fmt: str = "parquet") -> None:
     """A4: overwrite a whole output layer (optionally partitioned)."""
     w = df.write.mode("overwrite").format(fmt)
+    if fmt == "csv":
+        w = w.option("header", "true").option("escape", '"')
     if partition_by and partition_by in df.columns:
         w = w.partitionBy(partition_by)
     w.save(path)
