@@ -19,6 +19,15 @@ def _pct(num: str, den: str, d: int = 1) -> str:
     return f"round(CAST(100.0 AS DOUBLE) * {num} / {den}, {d})"
 
 
+HEALTH_CTES = f"""
+, h AS (
+  SELECT h.product, h.theme, total, positive, negative,
+         CAST(positive - negative AS DOUBLE) / greatest(total, 1) AS score, t.ord
+  FROM (SELECT product, product_type, theme, {COUNTS} FROM ({EXPL}) GROUP BY ALL HAVING count(*) >= 2) h
+  LEFT JOIN taxo t ON t.product_type = h.product_type AND t.theme = h.theme),
+hs AS (SELECT *, max(CASE WHEN score > 0.1 THEN 1 ELSE 0 END) OVER (PARTITION BY product) AS has_s FROM h)"""
+
+
 def _q(fn):
     return lambda spark, sf: fn(scored_layer(spark, sf))
 
@@ -64,13 +73,7 @@ LEFT JOIN taxo t ON t.product_type = h.product_type AND t.theme = h.theme"""),
     ),
     "h7_strengths_weaknesses": (
         _q(lambda r: M.strengths_weaknesses(M.theme_health(r))),
-        with_base(f"""
-, h AS (
-  SELECT h.product, h.theme, total, positive, negative,
-         CAST(positive - negative AS DOUBLE) / greatest(total, 1) AS score, t.ord
-  FROM (SELECT product, product_type, theme, {COUNTS} FROM ({EXPL}) GROUP BY ALL HAVING count(*) >= 2) h
-  LEFT JOIN taxo t ON t.product_type = h.product_type AND t.theme = h.theme),
-hs AS (SELECT *, max(CASE WHEN score > 0.1 THEN 1 ELSE 0 END) OVER (PARTITION BY product) AS has_s FROM h),
+        with_base(HEALTH_CTES + """,
 u AS (
   SELECT *, 'strength' AS kind, row_number() OVER (PARTITION BY product ORDER BY score DESC, total DESC, ord) AS rank
   FROM hs WHERE score > 0.1

@@ -140,6 +140,28 @@ SELECT t.product, t.rank, t.competitor, t.mentions, coalesce(c.pos, 0) AS pos, c
 FROM top t LEFT JOIN ctx c ON c.product = t.product AND c.competitor = t.competitor""")
 
 
+def _g7_sql() -> str:
+    from feedback_spark.plans.q_metrics import HEALTH_CTES
+    from feedback_spark.plans.sql_base import trim_sql
+    s = _sentences_sql("SELECT * FROM scored WHERE sentiment IN ('Negative', 'Neutral')")
+    x = f"""SELECT product, review_id, pos, substr(s, 1, {FV.SNIPPET_CHARS}) AS snippet FROM (
+  SELECT *, {trim_sql('raw')} AS s FROM ({s}))
+  WHERE {rx('lower(s)', FV.FEATURE_REQUEST_PATTERN)} AND NOT {rx('lower(s)', FV.REQUEST_SUPPRESS_PATTERN)}
+    AND length(s) > {FV.REQUEST_MIN_LEN} AND length(s) < {FV.REQUEST_MAX_LEN}"""
+    return with_base(tfidf_sql(THEME_NEG, ["product", "theme"], 1, 1, 3, "neg") + HEALTH_CTES + MENTIONS_CTE + f""",
+wk AS (SELECT product, theme, negative, row_number() OVER (PARTITION BY product ORDER BY score, total DESC, ord) AS rank
+       FROM hs WHERE score < -0.05 QUALIFY rank <= 3),
+rq AS ({_snippet_top(x, 6)}),
+items AS (
+  SELECT w.product, 1 AS kind_rank, w.rank, 'weakness' AS kind, w.theme AS item, w.negative AS cnt, substr(n.phrase, 1, 60) AS hint
+  FROM wk w LEFT JOIN (SELECT * FROM neg_out WHERE rank = 1) n ON n.product = w.product AND n.theme = w.theme
+  UNION ALL SELECT product, 2, rank, 'request', substr(snippet, 1, 80), n, NULL FROM rq WHERE rank <= 2
+  UNION ALL SELECT product, 3, 1, 'competitor', competitor, mentions, NULL FROM cm
+  QUALIFY row_number() OVER (PARTITION BY product ORDER BY mentions DESC, ord) = 1)
+SELECT product, CAST(row_number() OVER (PARTITION BY product ORDER BY kind_rank, rank) AS BIGINT) AS gap, kind, item,
+       CAST(cnt AS BIGINT) AS count, hint FROM items QUALIFY gap <= 5""")
+
+
 def _g7(r):
     health = M.theme_health(r)
     weak = M.strengths_weaknesses(health)
@@ -162,7 +184,7 @@ QUERIES = {
     "g3_churn_sentences": (_q(G.churn_sentences), _g3_sql()),
     "g5_competitor_mentions": (_q(G.competitor_mentions), with_base(MENTIONS_CTE + "\nSELECT * FROM cm")),
     "g6_competitor_context": (_q(lambda r: G.competitor_context(r, G.competitor_mentions(r))), _g6_sql()),
-    "g7_opportunity_gaps": (_q(_g7), None),
+    "g7_opportunity_gaps": (_q(_g7), _g7_sql()),
 }
 
 _ = portable
