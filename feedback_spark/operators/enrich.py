@@ -21,13 +21,11 @@ from pyspark.sql import functions as F
 from feedback_spark import fixed_values as FV
 from feedback_spark.functions.regex import SPACE
 from feedback_spark.functions.text import clean_text, flatten_themes, strip_fences, truthy
-from feedback_spark.functions.topk import top_k
 
 P = "product"
 
 # Response object schema: scalar fields are read as text (an INT field holding
 # "2" would become null), themes as a list.
-RESPONSE_FIELDS = [f for f in FV.ENRICH_FIELDS if f != "themes"]
 OBJ_SCHEMA = "struct<idx:string," + ",".join(
     f"{f}:array<string>" if f == "themes" else f"{f}:string" for f in FV.ENRICH_FIELDS) + ">"
 ARR_SCHEMA = f"array<{OBJ_SCHEMA}>"
@@ -330,6 +328,3 @@ def zip_batches(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     o = outputs.withColumn("pos", F.col("i") + 1)
     return inputs.withColumn("slug", F.lower(P)).join(o, ["slug", "batch_no", "pos"]).drop("slug")
 
-
-def top_flagged(r: DataFrame, n: int) -> DataFrame:
-    return top_k(r, [P], [F.col("review_id")], n)

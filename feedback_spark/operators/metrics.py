@@ -155,14 +155,12 @@ def theme_stats(r: DataFrame) -> DataFrame:
 def theme_summary(r: DataFrame) -> DataFrame:
     """H9: H8 columns for every taxonomy theme of the product, zeros kept."""
     from feedback_spark.operators.themes import theme_ord
-    from feedback_spark.sources.testdata import products
 
     spark = r.sparkSession
     present = r.select(P, "product_type").distinct()
     # products x their taxonomy: bounded by (#products x themes per type)
     grid = present.join(theme_ord(spark), "product_type")
     stats = theme_stats(r).select(P, "theme", "total", "positive", "negative", "neutral", "avg_sentiment")
-    _ = products  # the registry is the alternative source of (product, product_type)
     return grid.join(stats, [P, "theme"], "left").select(
         P, "theme", "ord",
         *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("total", "positive", "negative", "neutral")],

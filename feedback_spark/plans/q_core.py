@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from feedback_spark import fixed_values as FV
-from feedback_spark.functions.regex import portable, sql_str
+from feedback_spark.functions.regex import sql_str
 from feedback_spark.functions.text import clean_date, clean_rating, clean_text, flatten_themes, label, label_to_score, parse_themes
 from feedback_spark.operators import clean as C
 from feedback_spark.operators import sentiment as D
 from feedback_spark.operators import themes as E
 from feedback_spark.plans.base import clean_layer, scored_layer
-from feedback_spark.plans.sql_base import base_ctes, rx, trim_sql, with_base
+from feedback_spark.plans.sql_base import rx, trim_sql, with_base
 from feedback_spark.sources.testdata import products, reviews, table
 
 ALL_THEMES = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _ in lst))
@@ -230,4 +230,3 @@ ELSE 0.0 END AS score FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 'NEGATIVE' W
     ),
 }
 
-_ = (base_ctes, portable)

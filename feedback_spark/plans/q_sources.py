@@ -12,14 +12,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from feedback_spark.functions.regex import SPACE, TRIM_PATTERN
 from feedback_spark.functions.text import clean_text
 from feedback_spark.operators.clean import carry_forward
 from feedback_spark.plans.sql_base import trim_sql, with_base
 from feedback_spark.sources import payloads as B
 from feedback_spark.sources.testdata import reviews, table
 
-_ = (SPACE, TRIM_PATTERN)
 
 
 def _date():

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from feedback_spark import fixed_values as FV
-from feedback_spark.functions.regex import PHRASE_TOKEN, SPACE, portable, sql_str
+from feedback_spark.functions.regex import PHRASE_TOKEN, SPACE, sql_str
 from feedback_spark.operators import metrics as M
 from feedback_spark.operators import phrases as PH
 from feedback_spark.operators import signals as G
@@ -187,4 +187,3 @@ QUERIES = {
     "g7_opportunity_gaps": (_q(_g7), _g7_sql()),
 }
 
-_ = portable
