@@ -41,7 +41,8 @@ def mean_score(r: DataFrame, grain: str = "month", rolling: int | None = 3) -> D
     out = _dated(r, grain).groupBy(P, "period").agg(mean4("sentiment_score").alias("avg_score"))
     if rolling:
         w = Window.partitionBy(P).orderBy("period").rowsBetween(-(rolling - 1), 0)  # small per-period result
-        out = out.withColumn("rolling_avg", F.avg("avg_score").over(w))
+        # rounded: a window mean's last bits depend on the summation order
+        out = out.withColumn("rolling_avg", F.round(F.avg("avg_score").over(w), 9))
     return out
 
 

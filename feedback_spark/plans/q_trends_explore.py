@@ -75,7 +75,7 @@ QUERIES = {
         _q(T.mean_score),
         with_base(f"""
 SELECT product, period, avg_score,
-       avg(avg_score) OVER (PARTITION BY product ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_avg
+       round(avg(avg_score) OVER (PARTITION BY product ORDER BY period ROWS BETWEEN 2 PRECEDING AND CURRENT ROW), 9) AS rolling_avg
 FROM (SELECT product, {MONTH} AS period, {MEAN4} AS avg_score FROM scored WHERE date IS NOT NULL GROUP BY ALL)"""),
     ),
     "i5_theme_frequency": (
