@@ -257,6 +257,40 @@ def parse_responses(raw: DataFrame, size: int = FV.OFFLINE_BATCH) -> DataFrame:
                        *[F.col(f"o.{f}").alias(f) for f in FV.ENRICH_FIELDS])
 
 
+def online_results(inputs: DataFrame, raw: DataFrame) -> DataFrame:
+    """Online (batch-of-5) route: K8 + K9 strict, K21, K17.
+
+    A response is accepted only when it parses directly (no salvage) and
+    holds exactly as many objects as its batch has reviews (a wrapped object
+    contributes its first list of that length).  Accepted objects are matched
+    to the batch's reviews by position; every review of a rejected batch
+    gets the default enrichment.
+    """
+    sizes = inputs.groupBy(F.lower(P).alias("slug"), "batch_no").agg(F.count("*").alias("n"))  # one row per batch
+    base = raw.select(
+        F.regexp_extract("file", r"([^/]+)_response_b\d+\.json$", 1).alias("slug"),
+        F.regexp_extract("file", r"_b(\d+)\.json$", 1).try_cast("long").alias("batch_no"),
+        "file", strip_fences("body").alias("s")).join(sizes, ["slug", "batch_no"])
+    first, last = F.substring("s", 1, 1), F.substring(F.col("s"), -1, 1)
+    arr = F.when((first == "[") & (last == "]"), F.from_json("s", ARR_SCHEMA))
+    lists = F.transform(F.filter(F.map_values(F.from_json("s", "map<string,string>")), lambda v: v.startswith("[")),
+                        lambda v: F.from_json(v, ARR_SCHEMA))
+    wrapped = F.when((first == "{") & (last == "}"),
+                     F.try_element_at(F.filter(lists, lambda a: F.size(a) == F.col("n")), F.lit(1)))
+    objs = F.when(F.size(arr) == F.col("n"), arr).otherwise(wrapped)
+    ok = (base.select("slug", "batch_no", "file", objs.alias("objs")).filter(F.col("objs").isNotNull())
+          .select("slug", "batch_no", "file", F.posexplode("objs").alias("i", "o"))
+          .select("slug", "batch_no", "file", (F.col("i") + 1).alias("pos"), "o.*"))
+    # several files for one batch: the last file name wins (bounded: files per batch)
+    ok = ok.groupBy("slug", "batch_no", "pos").agg(F.max_by(F.struct(*[F.col(f) for f in FV.ENRICH_FIELDS]), "file").alias("w")) \
+        .select("slug", "batch_no", "pos", "w.*")
+    x = inputs.withColumn("slug", F.lower(P)).join(ok, ["slug", "batch_no", "pos"], "left").drop("slug")
+    x = x.withColumn("enrich_status", F.when(F.col("sentiment").isNotNull() | F.col("priority").isNotNull(), "parsed")
+                     .otherwise("missing"))
+    x = typed_enrichment(x).withColumn("themes_text", flatten_themes("themes"))
+    return default_enrichment(x)
+
+
 def split_out_of_range(parsed: DataFrame, totals: DataFrame) -> DataFrame:
     """Flag rows whose idx is outside 1..total of their product (``in_range``)."""
     return parsed.join(F.broadcast(totals), "slug", "left").withColumn(

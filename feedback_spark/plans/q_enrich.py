@@ -422,7 +422,58 @@ SELECT product, CAST(rank AS BIGINT) AS rank, review_id, snippet, CAST(1 AS BIGI
   FROM merged WHERE {flag}) WHERE rank <= {n}""")
 
 
+def _online_sql() -> str:
+    arr = _sql_schema(False)
+    key = ("list_filter(json_keys(s), lambda k: json_type(s, '$.\"' || k || '\"') = 'ARRAY' "
+           "AND json_array_length(s, '$.\"' || k || '\"') = n)[1]")
+    bools = ", ".join(f"coalesce(lower(o.{f}) IN ('true', '1'), false) AS {f}" for f in FV.ENRICH_BOOL_FIELDS)
+    return _with(f""",
+sizes AS (SELECT lower(product) AS slug, (review_seq - 1) // {BATCH} + 1 AS batch_no, count(*) AS n FROM seqd GROUP BY ALL),
+ob1 AS (SELECT r.file, r.slug, r.batch_no, r.s, z.n FROM rs r JOIN sizes z ON z.slug = r.slug AND z.batch_no = r.batch_no),
+ob3 AS (SELECT *, CASE WHEN left(s, 1) = '[' AND right(s, 1) = ']' AND json_valid(s) AND json_array_length(s) = n
+                       THEN from_json(s, {arr})
+                       WHEN left(s, 1) = '{{' AND right(s, 1) = '}}' AND json_valid(s)
+                       THEN from_json(json_extract(s, '$."' || {key} || '"'), {arr}) END AS objs FROM ob1),
+ox AS (SELECT slug, batch_no, file, unnest(objs) AS o, generate_subscripts(objs, 1) AS pos FROM ob3 WHERE objs IS NOT NULL),
+ow AS (SELECT * FROM ox QUALIFY row_number() OVER (PARTITION BY slug, batch_no, pos ORDER BY file DESC) = 1),
+inp AS (SELECT *, (review_seq - 1) // {BATCH} + 1 AS batch_no, (review_seq - 1) % {BATCH} + 1 AS pos FROM seqd)
+SELECT i.product, i.review_id, i.batch_no, i.pos,
+       CASE WHEN o.sentiment IS NOT NULL OR o.priority IS NOT NULL THEN 'parsed' ELSE 'missing' END AS enrich_status,
+       o.sentiment AS sentiment, o.priority AS priority,
+       CASE WHEN o.sentiment IS NOT NULL OR o.priority IS NOT NULL THEN coalesce(array_to_string(o.themes, ' | '), '') ELSE '' END AS themes_text,
+       {bools}
+FROM inp i LEFT JOIN ow ON ow.slug = lower(i.product) AND ow.batch_no = i.batch_no AND ow.pos = i.pos""").replace(
+        "o.sentiment", "ow.o.sentiment").replace("o.priority", "ow.o.priority").replace("o.themes", "ow.o.themes").replace(
+        "lower(o.", "lower(ow.o.")
+
+
+ONLINE_COLS = ["product", "review_id", "batch_no", "pos", "enrich_status", "sentiment", "priority", "themes_text",
+               *FV.ENRICH_BOOL_FIELDS]
+
+def _e4_llm(spark, sf):
+    from feedback_spark.operators.themes import themes_wide
+    m = _merged(spark, sf)
+    out = themes_wide(m, llm_col="themes_text")
+    return out.select("product", "review_id", *[c for c in out.columns if c.startswith("theme_")])
+
+
+def _e4_llm_sql() -> str:
+    known = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _ in lst))
+    extra = [t for t in sorted(["UX", "Pricing", "Reliability"]) if t not in known]
+    cols = ", ".join(f"list_contains(lt, {sql_str(t)}) AS \"theme_{t}\"" for t in known + extra)
+    return _with(MERGED_SQL + f""",
+ml AS (SELECT product, review_id, CASE WHEN themes_text IS NULL OR themes_text = '' THEN []::VARCHAR[]
+                                       ELSE string_split_regex(themes_text, '[\\t ]*\\|[\\t ]*') END AS lt FROM merged)
+SELECT product, review_id, {cols} FROM ml""")
+
+
 QUERIES = {
+    "e4_themes_wide_llm": (_e4_llm, _e4_llm_sql()),
+    "k9_online_route": (
+        lambda spark, sf: K.online_results(K.with_batches(enrich_input(spark, sf), BATCH), responses(spark, sf))
+        .select(*ONLINE_COLS),
+        _online_sql(),
+    ),
     "k1_with_batches": (
         lambda spark, sf: K.with_batches(enrich_input(spark, sf), FV.OFFLINE_BATCH)
         .select("product", "review_id", "review_seq", "batch_no", "pos"),

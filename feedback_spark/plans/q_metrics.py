@@ -121,6 +121,12 @@ SELECT t.product, t.theme, p.platform, coalesce(c.mentions, 0) AS mentions
 FROM (SELECT DISTINCT product, theme FROM c) t
 JOIN (SELECT DISTINCT product, platform FROM scored) p ON p.product = t.product
 LEFT JOIN c ON c.product = t.product AND c.theme = t.theme AND c.platform = p.platform"""),
+    ),
+    "h11_theme_platform_pivot": (
+        _q(M.theme_platform_pivot),
+        with_base(f"""
+SELECT product, theme, {', '.join(f"CAST(coalesce(sum(CASE WHEN platform = '{p}' THEN 1 END), 0) AS BIGINT) AS {p}" for p in sorted(M.FV.ADAPTER_PLATFORMS))}
+FROM ({EXPL}) GROUP BY product, theme"""),
     ),
     "h12_score_quartiles": (
         _q(M.score_quartiles),
