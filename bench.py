@@ -29,7 +29,7 @@ from feedback_spark.operators import trends as T  # noqa: E402
 from feedback_spark.operators.sentiment import score_lexicon_lane  # noqa: E402
 from feedback_spark.operators.themes import theme_array  # noqa: E402
 from feedback_spark.plans import q_enrich as QE  # noqa: E402
-from feedback_spark.plans.base import clean_layer, scored_from_clean  # noqa: E402
+from feedback_spark.plans.base import clean_plan, scored_from_clean  # noqa: E402
 from feedback_spark.session import checkpoint_dir, get_spark  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -76,8 +76,8 @@ def main() -> None:
 
     # clean: C2 + C3 + C7 + C4 + C5 on all rows; persisted once for the families below
     clean_path = os.path.join(out, "clean")
-    q["clean"] = _median(_noop(lambda: clean_layer(spark, SF_DIR)))
-    clean_layer(spark, SF_DIR).write.mode("overwrite").parquet(clean_path)
+    q["clean"] = _median(_noop(lambda: clean_plan(spark, SF_DIR)))
+    clean_plan(spark, SF_DIR).write.mode("overwrite").parquet(clean_path)
     clean = spark.read.parquet(clean_path)
     rows["clean"] = clean.count()
 

@@ -68,8 +68,8 @@ def with_seq(r: DataFrame, order: list[str] | None = None, group: list[str] | No
     from feedback_spark.session import cut_lineage
 
     order = order or ["review_id"]
-    n = partitions or r.sparkSession.sparkContext.defaultParallelism
-    ranged = r.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # the partition count follows spark.sql.shuffle.partitions unless given
+    ranged = (r.repartitionByRange(partitions, *order) if partitions else r.repartitionByRange(*order)).sortWithinPartitions(*order)
     ranged = cut_lineage(ranged.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id()))
     counts = ranged.groupBy("_pid").agg(F.count("*").alias("_cnt"), F.min("_mid").alias("_first"))
     # one row per partition: bounded, safe to broadcast; the window runs on that tiny frame

@@ -52,6 +52,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence test through the Hadoop file system of ``path`` (local, HDFS, object stores)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)

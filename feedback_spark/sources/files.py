@@ -30,13 +30,10 @@ def read_reviews(spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA) ->
 def resolve_tier(spark: SparkSession, paths: list[str], schema: str = REVIEW_SCHEMA, fmt: str = "csv") -> DataFrame:
     """A2: read the first existing path of an ordered list (enriched -> clean -> raw);
     none -> an empty frame with the schema.  The existence test is a metadata call."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    from feedback_spark.session import path_exists
+
     for p in paths:
-        if not p:
-            continue
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        if path.getFileSystem(conf).exists(path):
+        if p and path_exists(spark, p):
             return read_reviews(spark, p, schema) if fmt == "csv" else spark.read.schema(schema).format(fmt).load(p)
     return spark.createDataFrame([], schema)
 

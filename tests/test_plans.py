@@ -31,6 +31,17 @@ def test_plan_properties(spark, name):
             assert "lang" not in schema and "source:" not in schema, (name, schema)
 
 
+def test_layer_plans(spark):
+    """The layer builds: pruned documents scan, one dedup exchange, Arrow scoring after dedup."""
+    from feedback_spark.plans.base import scored_plan
+
+    plan = _plan(scored_plan(spark, SF_SMALL))
+    schemas = re.findall(r"ReadSchema: (struct<[^\]]*?>)", plan)
+    assert schemas and all("lang" not in s and "source:" not in s for s in schemas)
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" in plan
+    assert plan.index("ArrowEvalPython") < plan.index("Exchange")      # scoring sits above the dedup exchange
+
+
 def test_python_only_where_needed(spark):
     """Python runs only as the lexicon scorer, the JSON salvage or the HTML card parser."""
     allowed = {"score", "_salvage_batch", "fn"}

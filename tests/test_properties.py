@@ -6,7 +6,7 @@ from feedback_spark.operators import clean as C
 from feedback_spark.operators import enrich as K
 from feedback_spark.operators import metrics as M
 from feedback_spark.operators import themes as E
-from feedback_spark.plans.base import clean_layer, scored_layer
+from feedback_spark.plans.base import clean_layer, scored_layer, scored_plan
 from feedback_spark.sources.testdata import reviews
 
 SF = "/root/testdata/sf0.001"
@@ -35,9 +35,9 @@ def test_partition_count_invariance(spark):
     old = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1")
-        a = sorted(map(tuple, M.theme_stats(scored_layer(spark, SF)).collect()))
+        a = sorted(map(tuple, M.theme_stats(scored_plan(spark, SF)).collect()))
         spark.conf.set("spark.sql.shuffle.partitions", "8")
-        b = sorted(map(tuple, M.theme_stats(scored_layer(spark, SF)).collect()))
+        b = sorted(map(tuple, M.theme_stats(scored_plan(spark, SF)).collect()))
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
     assert a == b
