@@ -47,7 +47,9 @@ def from_reddit(raw: DataFrame, col: str = "payload", key: str = "seq") -> DataF
     x = x.filter(F.length(clean_text(guard)) >= 20)
     out = x.select(
         key, "i", F.lit("reddit").alias("platform"),
-        F.date_format(F.timestamp_seconds(F.coalesce("created_utc", F.lit(0.0))), "yyyy-MM-dd").alias("date"),
+        # UTC day by arithmetic, independent of the session time zone
+        F.date_format(F.date_add(F.lit("1970-01-01").cast("date"),
+                                 F.floor(F.coalesce("created_utc", F.lit(0.0)) / 86400).cast("int")), "yyyy-MM-dd").alias("date"),
         F.coalesce("author", F.lit("")).alias("author"), F.lit(None).cast("double").alias("rating"),
         clean_text(F.concat(F.coalesce("title", F.lit("")), F.lit(" "), F.coalesce("selftext", F.lit("")))).alias("review_text"),
         F.concat(F.lit("https://reddit.com"), F.coalesce("permalink", F.lit(""))).alias("source_url"),
