@@ -49,12 +49,14 @@ def theme_array(text_col: str = "review_text", type_col: str = "product_type",
     """Array of matching themes for the row's product type (taxonomy order)."""
     patterns = patterns or FV.THEME_PATTERNS
     lc = F.lower(F.col(text_col))
-    hits = [
-        F.when((F.col(type_col) == pt) & lc.rlike(portable(_stem(p) if stem else p)), F.lit(theme))
-        for pt, lst in patterns.items()
-        for theme, p in lst
-    ]
-    return F.filter(F.array(*hits), lambda x: x.isNotNull())
+    # one CASE branch per product type: a row only evaluates its own type's patterns
+    out = None
+    for pt, lst in patterns.items():
+        hits = F.filter(F.array(*[F.when(lc.rlike(portable(_stem(p) if stem else p)), F.lit(theme)) for theme, p in lst]),
+                        lambda x: x.isNotNull())
+        cond = F.col(type_col) == pt
+        out = F.when(cond, hits) if out is None else out.when(cond, hits)
+    return out.otherwise(F.array().cast("array<string>"))
 
 
 def tag_themes(r: DataFrame, stem: bool = False) -> DataFrame:

@@ -130,9 +130,10 @@ LAB_SQL = ("lab AS (SELECT doc_id AS review_id, CASE WHEN toxic = 1 THEN 'Negati
 
 def _file(prefix: str):
     def sp():
-        return F.concat(F.lit(prefix), F.lower("product"), F.lit("_response_b"), F.lpad(F.col("batch_no").cast("string"), 2, "0"),
+        # at least two digits, never truncated (b01 ... b99, b100 ...)
+        return F.concat(F.lit(prefix), F.lower("product"), F.lit("_response_b"), F.format_string("%02d", F.col("batch_no")),
                         F.lit(".json"))
-    sq = f"'{prefix}' || lower(product) || '_response_b' || lpad(CAST(batch_no AS VARCHAR), 2, '0') || '.json'"
+    sq = f"'{prefix}' || lower(product) || '_response_b' || printf('%02d', batch_no) || '.json'"
     return sp, sq
 
 
