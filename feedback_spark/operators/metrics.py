@@ -72,6 +72,16 @@ def platform_sentiment(r: DataFrame) -> DataFrame:
     return r.filter(F.col("sentiment").isNotNull()).groupBy(P, "platform", "sentiment").agg(F.count("*").alias("n"))
 
 
+def sentiment_grouping_sets(r: DataFrame) -> DataFrame:
+    """H2 + H3 in one pass: GROUPING SETS ((product, sentiment), (product, platform, sentiment)).
+
+    ``level`` is 0 for platform rows (H3) and 1 for product totals (H2).
+    """
+    x = r.filter(F.col("sentiment").isNotNull())
+    g = x.groupingSets([[P, "sentiment"], [P, "platform", "sentiment"]], P, "platform", "sentiment")
+    return g.agg(F.count("*").alias("n"), (F.grouping_id() / 2).cast("int").alias("level"))
+
+
 def _exploded(r: DataFrame, *cols: str) -> DataFrame:
     return r.select(P, "review_id", *cols, F.explode("themes").alias("theme"))
 

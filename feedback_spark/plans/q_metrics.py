@@ -51,6 +51,12 @@ FROM (SELECT product, count(*) AS reviews, count(DISTINCT platform) AS platforms
         _q(M.platform_sentiment),
         with_base("SELECT product, platform, sentiment, count(*) AS n FROM scored WHERE sentiment IS NOT NULL GROUP BY ALL"),
     ),
+    "h2_h3_grouping_sets": (
+        _q(M.sentiment_grouping_sets),
+        with_base("SELECT product, platform, sentiment, count(*) AS n, CAST(grouping(platform) AS INTEGER) AS level "
+                  "FROM scored WHERE sentiment IS NOT NULL "
+                  "GROUP BY GROUPING SETS ((product, sentiment), (product, platform, sentiment))"),
+    ),
     "h4_theme_mentions": (
         _q(M.theme_mentions),
         with_base(f"SELECT product, theme, count(*) AS mentions FROM ({EXPL}) GROUP BY ALL"),
