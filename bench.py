@@ -5,7 +5,7 @@ Prints ONE JSON line: {"metric", "value", "unit", "queries", "sf", ...}.
 Layers are built the way a deployment would run them: the cleaned layer and
 the scored layer ("analysed" reviews with sentiment and themes) are written
 once to Parquet under the checkpoint folder, and the aggregate families run
-on the persisted scored layer.  Each family is timed as the median of three
+on the persisted scored layer.  Each family is timed as the median of five
 warm runs (the first run warms the JVM and the Python workers).
 """
 
@@ -34,7 +34,7 @@ from feedback_spark.session import checkpoint_dir, get_spark  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-RUNS = int(os.environ.get("BENCH_RUNS", "3"))
+RUNS = int(os.environ.get("BENCH_RUNS", "5"))
 
 
 def _sf_value(path: str) -> float | str:
