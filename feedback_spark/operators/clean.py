@@ -18,6 +18,16 @@ def unify(dfs: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), dfs)
 
 
+def ingest(sources: list[DataFrame], min_len: int = FV.MIN_TEXT_LEN_INGEST) -> DataFrame:
+    """Collection run: C1 union in collector order, C2/C3/C7/C4 cleaning, C5 dedup
+    across sources (the earliest collector keeps a text shared by several)."""
+    ranked = [df.select(*REVIEW_COLUMNS).withColumn("source_rank", F.lit(i)) for i, df in enumerate(sources)]
+    r = clean_reviews(unify(ranked), min_len)
+    # copies inside one source are ordered by their content, so the survivor is deterministic
+    order = ["source_rank", "date", "author", "rating", "source_url"]
+    return dedup_first(r, ["review_text"], order).drop("source_rank")
+
+
 def clean_reviews(r: DataFrame, min_len: int = FV.MIN_TEXT_LEN_INGEST) -> DataFrame:
     """C2 + C3 + C7 + C4: trim text, coerce date and rating, length filter."""
     return (

@@ -145,6 +145,30 @@ TWITTER_SQL = f"""SELECT platform, date, author, rating, review_text, source_url
   FROM conversations WHERE length({trim_sql('text')}) >= 20)
 QUALIFY row_number() OVER (PARTITION BY review_text ORDER BY conv_id * 1000 + turn) = 1"""
 
+def _ingest(spark, sf):
+    from feedback_spark.operators.clean import ingest, platform_counts
+
+    # collector order of a run: Play Store, Reddit, Trustpilot, Maps, App Store, Twitter
+    srcs = [QUERIES[k][0](spark, sf) for k in ("b1_from_playstore", "b2_from_reddit", "b3_from_trustpilot_html",
+                                                 "b5_from_maps_html", "b6_from_app_store", "b4_from_twitter")]
+    r = ingest(srcs)
+    return platform_counts(r.withColumn("product", F.lit("all"))).join(
+        r.groupBy("platform").agg(F.count("date").alias("dated"), F.count("rating").alias("rated")), "platform")
+
+
+def _ingest_sql() -> str:
+    parts = [QUERIES[k][1] for k in ("b1_from_playstore", "b2_from_reddit", "b3_from_trustpilot_html",
+                                     "b5_from_maps_html", "b6_from_app_store", "b4_from_twitter")]
+    union = "\nUNION ALL\n".join(f"SELECT *, {i} AS source_rank FROM ({p})" for i, p in enumerate(parts))
+    t = trim_sql("review_text")
+    return f"""WITH u AS ({union}),
+c AS (SELECT platform, TRY_CAST(date AS DATE) AS date, author, TRY_CAST(CAST(rating AS VARCHAR) AS DOUBLE) AS rating,
+             {t} AS review_text, source_url, source_rank FROM u WHERE length({t}) > 20),
+d AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY review_text
+                           ORDER BY source_rank, date NULLS FIRST, author NULLS FIRST, rating NULLS FIRST, source_url NULLS FIRST) = 1)
+SELECT 'all' AS product, platform, count(*) AS n, count(date) AS dated, count(rating) AS rated FROM d GROUP BY platform"""
+
+
 QUERIES = {
     "b1_from_playstore": (
         lambda spark, sf: B.from_playstore(_playstore_raw(spark, sf), "com.example.app", "customer"),
@@ -184,3 +208,4 @@ SELECT platform, count(*) AS n, max(review_id) AS max_id FROM (
 GROUP BY platform"""),
     ),
 }
+QUERIES["c1_ingest_all"] = (_ingest, _ingest_sql())
