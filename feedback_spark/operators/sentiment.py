@@ -6,7 +6,9 @@
   the per-token rules (lexicon valence, boosters and negation in the three
   preceding tokens, the ``but`` shift) run in one Arrow-vectorised function
   per batch, using pyarrow hash lookups and numpy segment sums.  No shuffle,
-  no join back: the score is computed in place on the row.  The lexicon is a
+  no join back: the score is computed in place on the row.  Tokens outside the
+  rule vocabulary are nulled in the JVM first (a hash-set test), so only
+  positions and the few relevant words cross into Python.  The lexicon is a
   table; it is collected once behind a size check and shipped with the task.
 * D7 lane choice per product is a one-row-per-product flag joined back
   (bounded by the number of products), never a driver round trip.
@@ -25,6 +27,7 @@ from feedback_spark.functions.regex import LEXICON_TOKEN, portable
 from feedback_spark.functions.text import label, label_to_score
 
 MAX_LEXICON_ROWS = 200_000
+MAX_PREFILTER_WORDS = 50_000
 
 
 def lexicon_table(spark) -> DataFrame:
@@ -73,9 +76,10 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
         has = pc.is_valid(idx).to_numpy(zero_copy_only=False)
         valence = np.zeros(total)
         valence[has] = val_np[pc.drop_null(idx).to_numpy()]
-        bst = (pc.is_in(flat, value_set=up).to_numpy(zero_copy_only=False).astype(np.float64)
-               - pc.is_in(flat, value_set=down).to_numpy(zero_copy_only=False).astype(np.float64)) * FV.BOOSTER_STEP
-        isneg = pc.is_in(flat, value_set=neg).to_numpy(zero_copy_only=False)
+        def member(values):
+            return pc.fill_null(pc.is_in(flat, value_set=values), False).to_numpy(zero_copy_only=False)
+        bst = (member(up).astype(np.float64) - member(down).astype(np.float64)) * FV.BOOSTER_STEP
+        isneg = member(neg)
         boost = np.zeros(total)
         negated = np.zeros(total, dtype=bool)
         for d in (1, 2, 3):
@@ -88,7 +92,7 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
             negated |= ok & prev_n
         v = np.where(valence > 0, valence + boost, np.where(valence < 0, valence - boost, 0.0))
         v = np.where(negated, v * FV.NEGATION_SCALE, v)
-        is_but = pc.equal(flat, "but").to_numpy(zero_copy_only=False)
+        is_but = pc.fill_null(pc.equal(flat, "but"), False).to_numpy(zero_copy_only=False)
         first_but = np.full(n_rows, np.iinfo(np.int64).max)
         np.minimum.at(first_but, row[is_but], pos[is_but])
         fb = first_but[row]
@@ -106,6 +110,11 @@ def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text
     keys, vals = _load_lexicon(lexicon)
     fn = F.arrow_udf(_token_valence_sum(keys, vals), "double")
     tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(LEXICON_TOKEN), 0)
+    relevant = set(keys) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | {"but"}
+    if len(relevant) <= MAX_PREFILTER_WORDS:
+        # positions matter, words outside the rule vocabulary do not: they cross to
+        # Python as nulls (a hash-set test in the JVM), which shrinks the Arrow batches
+        tokens = F.transform(tokens, lambda t: F.when(t.isin(sorted(relevant)), t))
     s = fn(tokens)
     bangs = F.least(F.length(text) - F.length(F.regexp_replace(F.col(text), "!", "")), F.lit(FV.EXCLAIM_MAX))
     amp = bangs * FV.EXCLAIM_STEP
