@@ -62,9 +62,17 @@ def ngrams(tokens: Column, lo: int, hi: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-def _doc_counts(docs: DataFrame, group: list[str]) -> DataFrame:
-    # one row per group: small, broadcast back
-    return F.broadcast(docs.groupBy(*group).agg(F.count("*").alias("n_docs")))
+MAX_BROADCAST_ROWS = 2_000_000   # rows of a per-group side we are willing to broadcast
+
+
+def _doc_counts(docs: DataFrame, group: list[str]) -> tuple[DataFrame, int]:
+    """Documents per group (one row per group) and the number of groups.
+
+    The group count is measured once (a scan of the group columns only) and
+    decides whether the per-group sides below may be broadcast.
+    """
+    counts = docs.groupBy(*group).agg(F.count("*").alias("n_docs"))
+    return counts, counts.count()
 
 
 def top_phrases(r: DataFrame, group: list[str], n: int = 20, ngram_range: tuple[int, int] = (2, 3),
@@ -76,17 +84,19 @@ def top_phrases(r: DataFrame, group: list[str], n: int = 20, ngram_range: tuple[
     (sum rounded to 6 dp), method ('tfidf' | 'count').
     """
     docs = r.filter(F.col(text).isNotNull() & (F.length(text) > FV.TFIDF_MIN_CHARS)).select(*group, doc, text)
-    counts = _doc_counts(docs, group)
-    flagged = docs.join(counts, group)
+    counts, n_groups = _doc_counts(docs, group)
+    flagged = docs.join(F.broadcast(counts) if n_groups <= MAX_BROADCAST_ROWS else counts, group)
     big = flagged.filter(F.col("n_docs") >= min_docs)
     small = flagged.filter(F.col("n_docs") < min_docs).drop("n_docs")
-    tfidf = _tfidf(big, group, n, ngram_range, min_df, cap, text, doc, partitions)
+    # the capped vocabulary holds at most cap rows per group: broadcast it only under the bound
+    tfidf = _tfidf(big, group, n, ngram_range, min_df, cap, text, doc, partitions,
+                   broadcast_vocab=n_groups * cap <= MAX_BROADCAST_ROWS)
     words = top_words(small, group, n, text=text, doc=doc).withColumn("method", F.lit("count"))
     return tfidf.unionByName(words)
 
 
 def _tfidf(docs: DataFrame, group: list[str], n: int, ngram_range, min_df: int, cap: int,
-           text: str, doc: str, partitions: int | None) -> DataFrame:
+           text: str, doc: str, partitions: int | None, broadcast_vocab: bool = True) -> DataFrame:
     keys = [*group, doc]
     # without an explicit count AQE may coalesce the partitions after the exchange
     docs = docs.repartition(partitions, *keys) if partitions else docs.repartition(*keys)
@@ -100,7 +110,7 @@ def _tfidf(docs: DataFrame, group: list[str], n: int, ngram_range, min_df: int,
     idf = vocab.select(*group, "term",
                        (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     # capped vocabulary: at most `cap` rows per group
-    w = tf.join(F.broadcast(idf), [*group, "term"]).select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    w = tf.join(F.broadcast(idf) if broadcast_vocab else idf, [*group, "term"]).select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
     scored = w.select(*group, "term", (F.col("w") / norm).alias("wn"))
     sums = scored.groupBy(*group, "term").agg(F.sum("wn").alias("s"))

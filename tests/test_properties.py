@@ -56,3 +56,13 @@ def test_with_seq_dense(spark):
                                    F.count("*").alias("n"), F.countDistinct("review_seq").alias("d")).collect()
     for p in per:
         assert p.lo == 1 and p.hi == p.n == p.d
+
+
+def test_tfidf_same_without_broadcast(spark, monkeypatch):
+    from feedback_spark.operators import phrases as PH
+
+    r = scored_layer(spark, SF)
+    a = sorted(map(tuple, PH.top_phrases(r, ["product"], 10, (1, 2)).collect()))
+    monkeypatch.setattr(PH, "MAX_BROADCAST_ROWS", 0)      # forces the shuffle-join path
+    b = sorted(map(tuple, PH.top_phrases(r, ["product"], 10, (1, 2)).collect()))
+    assert a == b and len(a) > 0
