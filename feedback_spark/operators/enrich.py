@@ -245,6 +245,9 @@ def parse_responses(raw: DataFrame, size: int = FV.OFFLINE_BATCH) -> DataFrame:
     x = base.withColumn("objs", F.coalesce(direct_arr, direct_obj))
     ok = x.filter(F.col("objs").isNotNull()).withColumn("method", F.lit("direct"))
     # only the rejected remainder reaches Python
+    from feedback_spark.session import ship_package
+
+    ship_package(raw.sparkSession)
     bad = (x.filter(F.col("objs").isNull())
            .withColumn("_txt", salvage_objects(F.col("s")))
            .withColumn("objs", F.transform(F.coalesce("_txt", F.array().cast("array<string>")),

@@ -107,6 +107,9 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
 
 def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text: str = "review_text") -> DataFrame:
     """Compound polarity in [-1, 1] as ``sentiment_raw``."""
+    from feedback_spark.session import ship_package
+
+    ship_package(r.sparkSession)
     keys, vals = _load_lexicon(lexicon)
     fn = F.arrow_udf(_token_valence_sum(keys, vals), "double")
     tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(LEXICON_TOKEN), 0)

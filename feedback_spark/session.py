@@ -52,6 +52,37 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``feedback_spark`` importable in Python workers (once per context).
+
+    The Arrow functions and ``mapInPandas`` jobs are defined in this package;
+    workers started outside the repository (another working directory, a
+    cluster without --py-files) could not unpickle them.  The package is
+    zipped on the driver and distributed with ``addPyFile``, as ``--py-files``
+    would do.
+    """
+    import zipfile
+
+    sc = spark.sparkContext
+    key = sc.applicationId
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg)
+    out = os.path.join(tempfile.mkdtemp(prefix="feedback-pyfiles-"), "feedback_spark.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(out)
+    _SHIPPED.add(key)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence test through the Hadoop file system of ``path`` (local, HDFS, object stores)."""
     jvm = spark.sparkContext._jvm

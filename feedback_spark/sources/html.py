@@ -122,6 +122,10 @@ def _rows(kind: str, page_id, url, html):
 
 
 def parse_pages(pages: DataFrame, kind: str, url_col: str = "url", html_col: str = "html", key: str = "page_id") -> DataFrame:
+    from feedback_spark.session import ship_package
+
+    ship_package(pages.sparkSession)
+
     def fn(batches):
         for b in batches:
             rows = []
