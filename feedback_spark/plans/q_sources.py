@@ -184,7 +184,10 @@ QUERIES = {
     ),
     "b3_raw_pages": (
         lambda spark, sf: B.from_trustpilot_html(table(spark, sf, "pages")).drop("card"),
-        None,
+        # the driver's pages carry no review-card markup: both engines must find none
+        """SELECT page_id, 'trustpilot' AS platform, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS author,
+  CAST(NULL AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS review_text, url AS source_url
+FROM pages WHERE contains(html, 'data-service-review-card-paper')""",
     ),
     "b4_from_twitter": (lambda spark, sf: B.from_twitter(_twitter_raw(spark, sf)), TWITTER_SQL),
     "b5_from_maps_html": (
