@@ -17,6 +17,9 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
+    event_log = os.environ.get("FEEDBACK_EVENT_LOG")  # optional: stage/task times for profiling
+    if event_log:
+        builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
     spark = (
         builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
