@@ -226,7 +226,7 @@ def salvage_objects(col: Column) -> Column:
 
 
 def parse_responses(raw: DataFrame, size: int = FV.OFFLINE_BATCH) -> DataFrame:
-    """K5 source + K8-K12: (file, body) -> one row per recovered object.
+    """K8-K12 over a (file, body) response table (A5): one row per recovered object.
 
     Output: slug, file, batch_no, i (0-based position), idx, method, and the
     response fields.
