@@ -33,7 +33,8 @@ def clean_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scored_from_clean(c: DataFrame) -> DataFrame:
-    return tag_themes(score_lexicon_lane(min_length(c, FV.MIN_TEXT_LEN)))
+    # the clean layer's text is already trimmed (C2): the >15 filter needs no second regex pass
+    return tag_themes(score_lexicon_lane(min_length(c, FV.MIN_TEXT_LEN, trim=False)))
 
 
 def scored_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
