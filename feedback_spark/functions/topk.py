@@ -24,6 +24,10 @@ def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, salt_key
     if salt_key is not None and buckets > 1:
         key = F.col(salt_key) if isinstance(salt_key, str) else salt_key
         salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(buckets)))
+        # an explicit partition count: the sub-group ranking is CPU work that must stay
+        # spread over the cluster even when the rows are few bytes (AQE would merge them)
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        salted = salted.repartition(n, *group, "_salt")
         w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
         df = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
     w = Window.partitionBy(*group).orderBy(*order)
