@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_spark.llm.common import table
+from feedback_spark.llm.simhash import near_duplicates
 from feedback_spark.llm.token_counts import count_tokens
 
 #: op10: a document over this many tokens is over the limit.
@@ -18,11 +19,17 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_duplicates(table(spark, sf_dir, "documents"), words=4, most=4)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
 QUERIES: dict = {
+    "op4_simhash": (op4_simhash, None),
     "op10_token_counts": (op10_token_counts, None),
 }
