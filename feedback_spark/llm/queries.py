@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_spark.llm.common import table
+from feedback_spark.llm.common import fold, table
 from feedback_spark.llm.simhash import near_duplicates
 from feedback_spark.llm.token_counts import count_tokens
+from feedback_spark.llm.toxicity import Model, fit, toxicity
 
+#: op1: share of folds held out, and the score from which a text is called toxic.
+TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
 #: op10: a document over this many tokens is over the limit.
 TOKEN_LIMIT = 2048
 
@@ -19,6 +22,18 @@ def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def toxic_model(spark: SparkSession, sf_dir: str) -> Model:
+    """Learned from the labelled documents that are not held out."""
+    labels = table(spark, sf_dir, "labels").where(fold(F.col("doc_id"), TOXIC_FOLDS) != TOXIC_HELD_OUT)
+    return fit(table(spark, sf_dir, "documents"), labels.select("doc_id", "toxic"))
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), toxic_model(spark, sf_dir))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), TOXIC_FOLDS) == TOXIC_HELD_OUT, F.lit(False)).alias("held_out"), "score",
+                         (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "total", "n_hits", "n_words")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, most=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -30,6 +45,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict = {
+    "op1_toxicity": (op1_toxicity, None),
     "op4_simhash": (op4_simhash, None),
     "op10_token_counts": (op10_token_counts, None),
 }
