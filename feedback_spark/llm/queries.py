@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_spark.llm.common import fold, table
+from feedback_spark.llm.secret_scan import digest, scan
 from feedback_spark.llm.simhash import near_duplicates
 from feedback_spark.llm.token_counts import count_tokens
 from feedback_spark.llm.toxicity import Model, fit, toxicity
@@ -39,6 +40,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan(table(spark, sf_dir, "documents"), out="found")
+    return found.select("doc_id", *[c.alias(k) for k, c in digest(F.col("found")).items()])
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -47,5 +53,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict = {
     "op1_toxicity": (op1_toxicity, None),
     "op4_simhash": (op4_simhash, None),
+    "op7_secret_scan": (op7_secret_scan, None),
     "op10_token_counts": (op10_token_counts, None),
 }
