@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_spark.llm.common import fold, table
+from feedback_spark.llm.mixing import mix
+from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
 from feedback_spark.llm.simhash import near_duplicates
 from feedback_spark.llm.token_counts import count_tokens
@@ -35,6 +37,17 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"), "total", "n_hits", "n_words")
 
 
+def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled table of the mixing: text and domain (language and quality class) of the documents in ``labels``."""
+    quality = table(spark, sf_dir, "labels").where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    docs = table(spark, sf_dir, "documents").where(F.col("lang").isNotNull()).select("doc_id", "text", "lang")
+    return docs.join(quality, "doc_id").select("text", F.concat_ws("/", "lang", F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("domain"))
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir)).drop("text_hash")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, most=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -45,6 +58,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", *[c.alias(k) for k, c in digest(F.col("found")).items()])
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit_pack(table(spark, sf_dir, "documents"), word_count(F.col("text")))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -52,7 +69,9 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict = {
     "op1_toxicity": (op1_toxicity, None),
+    "op2_mix_sources": (op2_mix_sources, None),
     "op4_simhash": (op4_simhash, None),
     "op7_secret_scan": (op7_secret_scan, None),
+    "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op10_token_counts": (op10_token_counts, None),
 }

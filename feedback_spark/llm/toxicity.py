@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import asdict, dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -275,8 +276,8 @@ def fit(docs: DataFrame, labels: DataFrame, most_toxic: int = MOST_TOXIC, most_c
             chosen[e] = w
     model.weights = dict(sorted(chosen.items(), key=lambda x: (-by[1][x[0]][0], x[0]))[:MOST_ENTRIES])
     model.exceptions = sorted({*model.exceptions, *learned_exceptions(sample, model)})
-    scored = [(r["toxic"], r["total"], r["n_words"]) for r in with_matches(sample, model, "folded", ("toxic",), folded=True).select("toxic", "total", "n_words").collect()]
-    model.curve = curve_of(scored, {k: totals.get(k, 0) / n for k, n in n_docs.items()})
+    points = [(r["toxic"], r["total"], r["n_words"]) for r in with_matches(sample, model, "folded", ("toxic",), folded=True).select("toxic", "total", "n_words").collect()]
+    model.curve = curve_of(points, {k: totals.get(k, 0) / n for k, n in n_docs.items()})
     return model
 
 
@@ -304,6 +305,14 @@ def learned_exceptions(sample: DataFrame, model: Model, least: int = 3) -> list[
     return [r["phrase"] for r in pairs.where((F.col("clean") >= least) & (F.col("toxic") == 0)).orderBy(F.desc("clean"), "phrase").limit(MOST_ENTRIES).collect()]
 
 
+def scored(model: Model, automaton, folded: str) -> tuple[float, int, int, float]:
+    """Total weight, matches, words and score of a folded text."""
+    total, hits = matches(automaton, folded)
+    n = folded.count(" ") + bool(folded)
+    z = sum(c * x for c, x in zip(model.curve, features(total, n), strict=True))
+    return total, hits, n, 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))
+
+
 def with_matches(docs: DataFrame, model: Model, text: str, keep: tuple[str, ...], folded: bool = False) -> DataFrame:
     """``keep`` columns, ``total`` weight, ``n_hits``, ``n_words`` and ``score`` of every row."""
     spark = docs.sparkSession
@@ -323,10 +332,7 @@ def with_matches(docs: DataFrame, model: Model, text: str, keep: tuple[str, ...]
             rows = []
             for t in b.column(b.num_columns - 1).to_pylist():
                 t = (t or "") if folded else fold_text(t, folding)
-                total, hits = matches(automaton, t)
-                n = t.count(" ") + bool(t)
-                z = sum(c * x for c, x in zip(m.curve, features(total, n), strict=True))
-                rows.append((total, hits, n, 1 / (1 + math.exp(-max(-30.0, min(30.0, z))))))
+                rows.append(scored(m, automaton, t))
             cols = [pa.array([r[i] for r in rows], kind) for i, kind in enumerate((pa.float64(), pa.int64(), pa.int64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays([*b.columns[:-1], *cols], schema=pa.schema([*list(b.schema)[:-1], *[pa.field(n, c.type) for n, c in zip(("total", "n_hits", "n_words", "score"), cols, strict=True)]]))
 
@@ -335,6 +341,29 @@ def with_matches(docs: DataFrame, model: Model, text: str, keep: tuple[str, ...]
     return kept.mapInArrow(score, schema)
 
 
+def without_toxic(docs: DataFrame, model: Model, least: float, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` (all columns) whose score is below ``least``; nulls and empty texts score as in ``toxicity``."""
+    spark = docs.sparkSession
+    python_ready(spark)
+    sent = spark.sparkContext.broadcast(json.dumps(asdict(model)))
+    key = f"toxicity:{zlib.crc32(sent.value.encode())}"
+
+    def build():
+        m = Model(**json.loads(sent.value))
+        return m, m.automaton(), Folding(m.alphabet)
+
+    @F.pandas_udf("double")
+    def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        m, automaton, folding = worker_state(key, build)
+        for part in texts:
+            out = []
+            for t in part:
+                out.append(scored(m, automaton, fold_text(t, folding))[3])
+            yield pd.Series(out, dtype="float64")
+
+    return docs.withColumn("__score", score(F.coalesce(F.col(text).cast("string"), F.lit("")))).where(F.col("__score") < least).select(*docs.columns)
+
+
 def toxicity(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per input row: ``keep`` columns, ``score`` (0 to 1), ``total`` weight, ``n_hits``, ``n_words``.
 
