@@ -29,10 +29,19 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
-    """Write ``df`` as Parquet in the shared checkpoint folder and read it back (cuts the lineage)."""
+#: Rows of a narrow table that one task writes.
+ROWS_A_TASK = 100_000
+
+
+def materialise(df: DataFrame, label: str, path: str | None = None, rows: int | None = None) -> DataFrame:
+    """Write ``df`` as Parquet in the shared checkpoint folder and read it back (cuts the lineage).
+
+    ``rows``: about how many rows a table just shuffled has at most; its last
+    stage then runs in as many tasks as these need, and writes no tiny files.
+    """
     path = path or new_folder(df.sparkSession, label)
-    df.write.parquet(path)
+    out = df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
+    out.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

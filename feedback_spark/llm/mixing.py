@@ -144,7 +144,7 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
         n = F.size(F.filter(words_of(F.col("text")), lambda w: w != "")).cast("long")
         return docs.select("doc_id", F.xxhash64(whole).alias("text_hash"), n.alias("n_tokens"), F.lit("all").alias("domain"),
                            F.array(F.lit(1.0)).alias("p"), F.array(F.lit("all")).alias("domains"), F.lit(1.0).alias("rate"))
-    table = materialise(posteriors(docs, model), "posteriors")
+    table = materialise(posteriors(docs, model), "posteriors", rows=2 * docs.count())
     steps, _ = solve(table, model.domains, targets, flatten, lower, upper)
     names = F.array(*[F.lit(d) for d in model.domains])
     best = F.element_at(names, F.array_position("p", F.array_max("p")).cast("int"))

@@ -86,12 +86,13 @@ def block_masks(most: int) -> list[int]:
     return [((x | y) ^ (1 << 63)) - (1 << 63) for x, y in combinations(bits, 2)]
 
 
-def units(fps: DataFrame, most: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
-    """Distinct ``fp`` dealt into units (key choice, key, cut pair) in which every close pair meets."""
+def units(fps: DataFrame, most: int, unit_rows: int = UNIT_ROWS, rows: int | None = None) -> DataFrame:
+    """Distinct ``fp`` (about ``rows``) dealt into units (key choice, key, cut pair) in which every close pair meets."""
     masks = block_masks(most)
     entries = fps.select("fp", F.explode(F.array(*[F.struct(F.lit(t).alias("t"), F.col("fp").bitwiseAND(F.lit(m)).alias("key")) for t, m in enumerate(masks)])).alias("k")).select("fp", "k.t", "k.key")
     sizes = entries.groupBy("t", "key").agg(F.count("*").alias("n")).where("n > 1")
-    met = materialise(entries.join(sizes, ["t", "key"]), "entries")
+    some = None if rows is None else rows * len(masks)
+    met = materialise(entries.join(sizes, ["t", "key"]), "entries", rows=some)
     small = met.where(F.col("n") <= unit_rows).select("t", "key", F.lit(0).alias("a"), F.lit(0).alias("b"), "fp")
     hot = met.where(F.col("n") > unit_rows).withColumn("rank", gray_rank(F.col("fp")))
     parts = F.least(F.ceil(F.col("n") / unit_rows), F.lit(MOST_CUTS))
@@ -99,7 +100,7 @@ def units(fps: DataFrame, most: int, unit_rows: int = UNIT_ROWS) -> DataFrame:
     cuts = hot.groupBy("t", "key").agg(F.max("n").alias("n"), F.percentile_approx("rank", share, 20_000).alias("all")).select(
         "t", "key", F.filter("all", lambda x, i: F.floor((i + 1) * parts / MOST_CUTS) != F.floor(i * parts / MOST_CUTS)).alias("cuts"))
     hot = hot.join(cuts, ["t", "key"]).select("t", "key", "fp", F.size(F.filter("cuts", lambda x: x < F.col("rank"))).alias("cut"))
-    hot = materialise(hot, "cuts")
+    hot = materialise(hot, "cuts", rows=some)
     nodes = hot.groupBy("t", "key", "cut").agg(F.bit_and("fp").alias("ones"), F.bit_or("fp").alias("some")).select(
         "t", "key", "cut", "ones", F.bitwise_not(F.col("ones").bitwiseXOR(F.col("some"))).alias("mask"))
     x, y = (nodes.select("t", "key", *[F.col(c).alias(f"{c}_{s}") for c in ("cut", "ones", "mask")]) for s in "ab")
@@ -161,14 +162,15 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """
     spark = docs.sparkSession
     rows = materialise(fingerprints(docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")), words=words), "fingerprints")
-    classes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes")
+    classes = materialise(rows.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "classes", rows=rows.count())
+    n = classes.count()
     python_ready(spark)
-    labels = components(links(units(classes.select("fp"), most, unit_rows), most)).withColumnRenamed("node", "fp")
+    labels = components(links(units(classes.select("fp"), most, unit_rows, n), most), rows=n * len(block_masks(most))).withColumnRenamed("node", "fp")
     rooted = classes.join(labels, "fp", "left")
     linked = rooted.where("root is not null")
     first = linked.groupBy("root").agg(F.min("first_id").alias("component_id"))
     known = materialise(linked.join(first, "root").select("fp", "root", "component_id").unionByName(
-        rooted.where("root is null").select("fp", F.col("fp").alias("root"), F.col("first_id").alias("component_id"))), "members")
+        rooted.where("root is null").select("fp", F.col("fp").alias("root"), F.col("first_id").alias("component_id"))), "members", rows=n)
     return rows.join(known, "fp").select("doc_id", "text_hash", "fp", "root", "component_id")
 
 

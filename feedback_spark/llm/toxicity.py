@@ -159,7 +159,7 @@ def family(words: list[str]) -> int:
 def labelled_sample(docs: DataFrame, labels: DataFrame, most_toxic: int, most_clean: int) -> tuple[DataFrame, dict[int, int]]:
     """Texts of a bounded sample of the labelled documents (``labels``: doc_id, toxic), and the labels' totals."""
     one = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic"))
-    one = materialise(one, "labels")
+    one = materialise(one, "labels", rows=labels.count())
     totals = {r["toxic"]: r["count"] for r in one.groupBy("toxic").count().collect()}
     ids = None
     for label, most in ((1, most_toxic), (0, most_clean)):
