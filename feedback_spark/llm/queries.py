@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_spark.llm.common import fold, table
+from feedback_spark.llm import language_id
 from feedback_spark.llm.mixing import mix
 from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
@@ -15,6 +16,8 @@ from feedback_spark.llm.toxicity import Model, fit, toxicity
 
 #: op1: share of folds held out, and the score from which a text is called toxic.
 TOXIC_FOLDS, TOXIC_HELD_OUT, TOXIC_FROM = 4, 2, 0.3
+#: op3: number of folds, and the one held out.
+LANG_FOLDS, LANG_HELD_OUT = 5, 0
 #: op10: a document over this many tokens is over the limit.
 TOKEN_LIMIT = 2048
 
@@ -48,6 +51,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(table(spark, sf_dir, "documents"), labelled_domains(spark, sf_dir)).drop("text_hash")
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = language_id.fit(docs.where(fold(F.col("doc_id"), LANG_FOLDS) != LANG_HELD_OUT).select("doc_id", "text", "lang"))
+    held_out = F.coalesce(fold(F.col("doc_id"), LANG_FOLDS) == LANG_HELD_OUT, F.lit(False))
+    return language_id.identify(docs, model).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_duplicates(table(spark, sf_dir, "documents"), words=4, most=4)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -70,6 +80,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mix_sources": (op2_mix_sources, None),
+    "op3_language_id": (op3_language_id, None),
     "op4_simhash": (op4_simhash, None),
     "op7_secret_scan": (op7_secret_scan, None),
     "op8_best_fit_packing": (op8_best_fit_packing, None),
