@@ -74,7 +74,7 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
 
 
 class Parser:
-    """All languages' automata in one table: next state, or the complement of the state after a phrase's end."""
+    """All languages' automata in one table: next state, or its complement where the symbol begins a phrase."""
 
     def __init__(self, spec: dict):
         import numpy as np
@@ -93,7 +93,7 @@ class Parser:
                 start[c] = ~(root + to)
             for s, out in enumerate(move):
                 table[root + s] = start
-                for c, to in out.items():
+                for c, to in out.items() if s else ():  # from the root every symbol begins a phrase
                     table[root + s, c] = root + to
         self.table = table.ravel()
         points = np.zeros(0x110000, np.uint8)
@@ -131,15 +131,15 @@ class Parser:
             grid[:len(parts[i]), col] = parts[i]
         n = len(self.langs)
         state = np.repeat(self.roots[:, None], len(parts), axis=1)
-        ended = np.zeros((n, len(parts)), np.int32)
+        begun = np.zeros((n, len(parts)), np.int32)
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # stretches longer than the step
         for step in range(lengths[0]):
             m = active[step]
             got = self.table[state[:, :m] * self.width + grid[step, :m]]
             sign = got >> 31
-            ended[:, :m] -= sign
+            begun[:, :m] -= sign
             state[:, :m] = got ^ sign
-        np.add.at(out, np.array(owner)[order], ended.T + 1)
+        np.add.at(out, np.array(owner)[order], begun.T)
         return out
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
