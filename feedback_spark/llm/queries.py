@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from feedback_spark.llm.common import fold, table
 from feedback_spark.llm import language_id
+from feedback_spark.llm.ann import nearest_neighbours
+from feedback_spark.llm.exact_topk import exact_topk
 from feedback_spark.llm.mixing import mix
 from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
@@ -63,6 +65,14 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+def op6_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, k=10)
+
+
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = scan(table(spark, sf_dir, "documents"), out="found")
     return found.select("doc_id", *[c.alias(k) for k, c in digest(F.col("found")).items()])
@@ -77,11 +87,29 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+#: Every query against every row: the same integers by brute force.
+OP5_SQL = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(CAST(x AS DOUBLE)))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+         CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id AND len(c.v) = len(q.v)),
+ranked AS (
+  SELECT query_id, vec_id, score, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+  FROM (SELECT query_id, vec_id, max(score) AS score FROM scored GROUP BY query_id, vec_id))
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
 QUERIES: dict = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mix_sources": (op2_mix_sources, None),
     "op3_language_id": (op3_language_id, None),
     "op4_simhash": (op4_simhash, None),
+    "op5_exact_topk": (op5_exact_topk, OP5_SQL),
+    "op6_ann": (op6_ann, None),
     "op7_secret_scan": (op7_secret_scan, None),
     "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op10_token_counts": (op10_token_counts, None),
