@@ -14,6 +14,7 @@ from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
 from feedback_spark.llm.simhash import near_duplicates
 from feedback_spark.llm.token_counts import count_tokens
+from feedback_spark.llm.token_shards import training_order
 from feedback_spark.llm.toxicity import Model, fit, toxicity
 
 #: op1: share of folds held out, and the score from which a text is called toxic.
@@ -82,6 +83,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit_pack(table(spark, sf_dir, "documents"), word_count(F.col("text")))
 
 
+def op9_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    with open(tokenizer_path("byte_bpe_50k.tiktoken"), "rb") as f:
+        ranks = f.read()
+    return training_order(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN, END_MARK, SHUFFLE_KEY)
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = count_tokens(table(spark, sf_dir, "documents"), tokenizer_path())
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
@@ -103,6 +112,9 @@ ranked AS (
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
 
+#: op9: the free id after the vocabulary closes a document; key of the training order.
+END_MARK, SHUFFLE_KEY = 50256, "epoch-0"
+
 QUERIES: dict = {
     "op1_toxicity": (op1_toxicity, None),
     "op2_mix_sources": (op2_mix_sources, None),
@@ -112,5 +124,6 @@ QUERIES: dict = {
     "op6_ann": (op6_ann, None),
     "op7_secret_scan": (op7_secret_scan, None),
     "op8_best_fit_packing": (op8_best_fit_packing, None),
+    "op9_token_shards": (op9_token_shards, None),
     "op10_token_counts": (op10_token_counts, None),
 }
