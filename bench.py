@@ -15,8 +15,8 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -32,6 +32,7 @@ from feedback_spark.plans import q_enrich as QE  # noqa: E402
 from feedback_spark.plans.base import clean_plan, scored_from_clean  # noqa: E402
 from feedback_spark.session import checkpoint_dir, get_spark  # noqa: E402
 
+os.environ.setdefault("FEEDBACK_DRIVER_MEMORY", "16g")  # this process starts the JVM
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 RUNS = int(os.environ.get("BENCH_RUNS", "5"))
@@ -68,7 +69,7 @@ def _collect(*builders):
 def main() -> None:
     spark = get_spark(f"local[{CPUS}]", shuffle_partitions=int(CPUS))
     ckpt = checkpoint_dir(spark)
-    out = tempfile.mkdtemp(prefix="bench-", dir=ckpt if not ckpt.startswith("file:") else None)
+    out = os.path.join(ckpt, f"bench-{uuid.uuid4().hex[:12]}")
     q: dict[str, float] = {}
     rows = {}
 

@@ -45,6 +45,8 @@ def portable(pattern: str) -> str:
             elif nxt == "s":
                 out.append(SPACE_CLASS_BODY if in_class else SPACE)
             elif nxt == "b" and not in_class:
+                if i and i + 2 < n and pattern[i + 2] not in "|)":
+                    raise ValueError(f"\\b inside {pattern!r}: only at the start or an alternative's end can it be rewritten")
                 out.append(LEAD_BOUNDARY if i == 0 else TRAIL_BOUNDARY)
             else:
                 out.append(pattern[i : i + 2])

@@ -69,6 +69,14 @@ def strip_fences(col: str | Column) -> Column:
     return clean_text(t)
 
 
+def between_fences(col: str | Column) -> Column:
+    """K8, agent route: of a text that begins with a fence, what stands before the next one, without a leading ``json``."""
+    t = clean_text(_c(col))
+    inner = F.split_part(t, F.lit("```"), F.lit(2))
+    inner = clean_text(F.regexp_replace(inner, "^json", ""))
+    return F.when(t.startswith("```"), inner).otherwise(t)
+
+
 def flatten_themes(col: str | Column) -> Column:
     """Theme array to the ``a | b`` text form."""
     return F.concat_ws(" | ", _c(col))
@@ -82,7 +90,8 @@ def parse_themes(col: str | Column, strict: bool = False) -> Column:
     understood the list form and gave an empty list for pipe-joined text.
     """
     c = clean_text(_c(col))
-    as_list = F.from_json(F.regexp_replace(c, "'", '"'), "array<string>")
+    # JSON with either quote; only text that is none is re-quoted (an apostrophe inside a name must survive)
+    as_list = F.coalesce(F.from_json(c, "array<string>"), F.from_json(F.regexp_replace(c, "'", '"'), "array<string>"))
     parts = F.filter(F.split(c, r"[\t ]*\|[\t ]*"), lambda x: F.length(x) > 0)
     empty = F.array().cast("array<string>")
     listy = c.startswith("[")

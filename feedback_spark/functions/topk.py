@@ -1,13 +1,11 @@
 """Exact top-k per group that survives a hot group.
 
-A plain ``row_number() over (partition by g order by o)`` sends a whole
-group to one task; if one product or theme holds a third of the rows, that
-task sorts a third of the table.  ``top_k`` ranks inside ``(g, salt)``
-sub-groups first (``salt`` is a hash bucket of a row key), keeps k rows per
-sub-group, then ranks the at most ``buckets * k`` survivors of each group.
-The global top-k of a group is always inside the union of its sub-groups'
-top-k, so the result is exact; ``order`` must end in a unique key so ties
-are deterministic.
+``row_number() over (partition by g order by o) <= k`` is planned with a
+partial group limit below the exchange: every task keeps its k best rows of a
+group before anything is shuffled, so a group that holds a third of all rows
+reaches its final task as at most k rows from each task.  Spark does this for
+k up to ``spark.sql.window.group.limit.threshold`` (1000); callers project to
+the columns they need first, so that only those are moved.
 """
 
 from __future__ import annotations
@@ -15,20 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-DEFAULT_BUCKETS = 32
 
-
-def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, salt_key: str | Column | None = None,
-          buckets: int = DEFAULT_BUCKETS, rank_col: str = "rank") -> DataFrame:
-    """Keep the first ``k`` rows of each ``group`` in ``order``; add ``rank`` (1..k)."""
-    if salt_key is not None and buckets > 1:
-        key = F.col(salt_key) if isinstance(salt_key, str) else salt_key
-        salted = df.withColumn("_salt", F.pmod(F.xxhash64(key), F.lit(buckets)))
-        # an explicit partition count: the sub-group ranking is CPU work that must stay
-        # spread over the cluster even when the rows are few bytes (AQE would merge them)
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        salted = salted.repartition(n, *group, "_salt")
-        w1 = Window.partitionBy(*group, "_salt").orderBy(*order)
-        df = salted.withColumn("_r1", F.row_number().over(w1)).filter(F.col("_r1") <= k).drop("_r1", "_salt")
+def top_k(df: DataFrame, group: list[str], order: list[Column], k: int, rank_col: str = "rank") -> DataFrame:
+    """Keep the first ``k`` rows of each ``group`` in ``order`` (unique at its end); add ``rank`` (1..k)."""
     w = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank_col, F.row_number().over(w).cast("long")).filter(F.col(rank_col) <= k)
+    return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k).withColumn(rank_col, F.col(rank_col).cast("long"))

@@ -93,7 +93,7 @@ def with_seq(r: DataFrame, order: list[str] | None = None, group: list[str] | No
     )
     if group:
         starts = out.groupBy(*group).agg(F.min("review_seq").alias("_g0"))  # one row per group
-        out = out.join(F.broadcast(starts), group).withColumn("review_seq", F.col("review_seq") - F.col("_g0") + 1).drop("_g0")
+        out = out.join(starts, group).withColumn("review_seq", F.col("review_seq") - F.col("_g0") + 1).drop("_g0")
     return out
 
 

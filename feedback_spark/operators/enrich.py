@@ -25,12 +25,21 @@ from feedback_spark.functions.text import clean_text, flatten_themes, strip_fenc
 P = "product"
 
 # Response object schema: scalar fields are read as text (an INT field holding
-# "2" would become null), themes as a list.
-OBJ_SCHEMA = "struct<idx:string," + ",".join(
-    f"{f}:array<string>" if f == "themes" else f"{f}:string" for f in FV.ENRICH_FIELDS) + ">"
+# "2" would become null); themes too, since they come as a list or as text.
+OBJ_SCHEMA = "struct<idx:string," + ",".join(f"{f}:string" for f in FV.ENRICH_FIELDS) + ">"
 ARR_SCHEMA = f"array<{OBJ_SCHEMA}>"
 
 
+def theme_list(col: str | Column) -> Column:
+    """Themes of a response: a JSON list as it is, any other text as one theme, empty or null as null."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.when(c.startswith("["), F.from_json(c, "array<string>")).when(c != "", F.array(c))
+
+
+def _response_fields(prefix: str) -> list[Column]:
+    return [(theme_list(f"{prefix}.{f}") if f == "themes" else F.col(f"{prefix}.{f}")).alias(f) for f in FV.ENRICH_FIELDS]
+
+
 # ---------------------------------------------------------------- batching
 def with_batches(r: DataFrame, size: int, seq: str = "review_seq") -> DataFrame:
     """K1: fixed-size batches in row order: batch_no (1-based) and pos (1-based)."""
@@ -38,6 +47,12 @@ def with_batches(r: DataFrame, size: int, seq: str = "review_seq") -> DataFrame:
             .withColumn("pos", F.pmod(F.col(seq) - 1, F.lit(size)).cast("long") + 1))
 
 
+def _prompt_text(max_chars: int | None) -> Column:
+    """The trimmed text, whole unless a limit is asked for (``FV.PROMPT_TEXT_CHARS`` is the original's)."""
+    t = clean_text("review_text")
+    return t if max_chars is None else F.substring(t, 1, max_chars)
+
+
 def _collect_lines(df: DataFrame, keys: list[str], order: str, line: Column, sep: str) -> DataFrame:
     # a batch holds at most `size` rows (5 or 150): bounded collect per group
     return df.groupBy(*keys).agg(
@@ -47,32 +62,32 @@ def _collect_lines(df: DataFrame, keys: list[str], order: str, line: Column, sep
 
 
 def batch_prompts(r: DataFrame, products: DataFrame, size: int = FV.ONLINE_BATCH,
-                  max_chars: int = FV.PROMPT_TEXT_CHARS) -> DataFrame:
+                  max_chars: int | None = None) -> DataFrame:
     """K2: online prompt per batch: product header, then numbered reviews."""
     b = with_batches(r, size)
     rating = F.when(F.col("rating").isNotNull(), F.concat(F.lit(" | Rating: "), F.col("rating").cast("string"), F.lit("★"))).otherwise("")
     line = F.concat(F.lit("Review "), F.col("pos").cast("string"), F.lit(" ["), F.coalesce("platform", F.lit("unknown")), rating,
-                    F.lit("]:\n"), F.substring(clean_text("review_text"), 1, max_chars))
+                    F.lit("]:\n"), _prompt_text(max_chars))
     body = _collect_lines(b, [P, "batch_no"], "pos", line, "\n\n")
     head = F.concat(F.lit("Product: "), F.col(P), F.lit(" — "), F.coalesce("description", F.lit("")), F.lit("\n"))
-    return (body.join(F.broadcast(products.select(P, "description")), P, "left")
+    return (body.join(products.select(P, "description"), P, "left")
             .select(P, "batch_no", "n_reviews", "first_seq", "last_seq", F.concat(head, F.lit("\n\n"), "_body").alias("prompt")))
 
 
 def offline_prompts(r: DataFrame, products: DataFrame, size: int = FV.OFFLINE_BATCH,
-                    max_chars: int = FV.PROMPT_TEXT_CHARS) -> DataFrame:
+                    max_chars: int | None = None) -> DataFrame:
     """K3: offline prompt per batch: instructions with the product type's
     vocabularies and the batch's count, then reviews numbered globally."""
     b = with_batches(r, size)
     rating = F.when(F.col("rating").isNotNull(), F.concat(F.lit(" | ★"), F.col("rating").cast("int").cast("string"))).otherwise("")
     date = F.when(F.col("date").isNotNull(), F.concat(F.lit(" | "), F.substring(F.col("date").cast("string"), 1, 10))).otherwise("")
     line = F.concat(F.lit("["), F.col("review_seq").cast("string"), F.lit("] ["), F.coalesce("platform", F.lit("unknown")),
-                    rating, date, F.lit("]\n"), F.substring(clean_text("review_text"), 1, max_chars), F.lit("\n"))
+                    rating, date, F.lit("]\n"), _prompt_text(max_chars), F.lit("\n"))
     body = _collect_lines(b, [P, "batch_no"], "pos", line, "\n")
     totals = b.groupBy(P).agg(F.max("batch_no").alias("total_batches"))  # one row per product
     vocab = vocab_table(r.sparkSession)
     ptype = F.coalesce(F.col("product_type"), F.lit(FV.DEFAULT_PRODUCT_TYPE))
-    x = (body.join(F.broadcast(totals), P).join(F.broadcast(products.select(P, "product_type", "description")), P, "left")
+    x = (body.join(totals, P).join(products.select(P, "product_type", "description"), P, "left")
          .withColumn("product_type", ptype).join(F.broadcast(vocab), "product_type", "left"))
     head = F.concat(
         F.lit("Annotate customer reviews of "), F.col(P), F.lit(" ("), F.coalesce("description", F.lit("")), F.lit(").\n"),
@@ -242,22 +257,18 @@ def parse_responses(raw: DataFrame, size: int = FV.OFFLINE_BATCH) -> DataFrame:
     as_map = F.from_json("s", "map<string,string>")
     first_list = F.try_element_at(F.filter(F.map_values(as_map), lambda v: v.startswith("[")), F.lit(1))
     direct_obj = F.when((first == "{") & (last == "}"), F.from_json(first_list, ARR_SCHEMA))
-    x = base.withColumn("objs", F.coalesce(direct_arr, direct_obj))
-    ok = x.filter(F.col("objs").isNotNull()).withColumn("method", F.lit("direct"))
-    # only the rejected remainder reaches Python
     from feedback_spark.session import ship_package
 
     ship_package(raw.sparkSession)
-    bad = (x.filter(F.col("objs").isNull())
-           .withColumn("_txt", salvage_objects(F.col("s")))
-           .withColumn("objs", F.transform(F.coalesce("_txt", F.array().cast("array<string>")),
-                                           lambda o: F.from_json(o, OBJ_SCHEMA)))
-           .withColumn("method", F.when(F.size("objs") > 0, "salvaged").otherwise("none"))
-           .drop("_txt"))
-    objs = ok.unionByName(bad).select("slug", "file", "batch_no", "method", F.posexplode("objs").alias("i", "o"))
+    # one pass: a body that parses directly crosses to Python as null only
+    x = base.withColumn("direct", F.coalesce(direct_arr, direct_obj))
+    x = x.withColumn("_txt", salvage_objects(F.when(F.col("direct").isNull(), F.col("s"))))
+    rest = F.transform(F.coalesce("_txt", F.array().cast("array<string>")), lambda o: F.from_json(o, OBJ_SCHEMA))
+    x = x.withColumn("objs", F.coalesce("direct", rest)).withColumn("method", F.when(F.col("direct").isNotNull(), "direct").otherwise("salvaged"))
+    objs = x.select("slug", "file", "batch_no", "method", F.posexplode("objs").alias("i", "o"))
     idx = F.coalesce(F.col("o.idx").try_cast("int").cast("long"), (F.col("batch_no") - 1) * size + 1 + F.col("i"))
     return objs.select("slug", "file", "batch_no", F.col("i").cast("long").alias("i"), idx.alias("idx"), "method",
-                       *[F.col(f"o.{f}").alias(f) for f in FV.ENRICH_FIELDS])
+                       *_response_fields("o"))
 
 
 def online_results(inputs: DataFrame, raw: DataFrame) -> DataFrame:
@@ -283,7 +294,7 @@ def online_results(inputs: DataFrame, raw: DataFrame) -> DataFrame:
     objs = F.when(F.size(arr) == F.col("n"), arr).otherwise(wrapped)
     ok = (base.select("slug", "batch_no", "file", objs.alias("objs")).filter(F.col("objs").isNotNull())
           .select("slug", "batch_no", "file", F.posexplode("objs").alias("i", "o"))
-          .select("slug", "batch_no", "file", (F.col("i") + 1).alias("pos"), "o.*"))
+          .select("slug", "batch_no", "file", (F.col("i") + 1).alias("pos"), *_response_fields("o")))
     # several files for one batch: the last file name wins (bounded: files per batch)
     ok = ok.groupBy("slug", "batch_no", "pos").agg(F.max_by(F.struct(*[F.col(f) for f in FV.ENRICH_FIELDS]), "file").alias("w")) \
         .select("slug", "batch_no", "pos", "w.*")
@@ -296,7 +307,7 @@ def online_results(inputs: DataFrame, raw: DataFrame) -> DataFrame:
 
 def split_out_of_range(parsed: DataFrame, totals: DataFrame) -> DataFrame:
     """Flag rows whose idx is outside 1..total of their product (``in_range``)."""
-    return parsed.join(F.broadcast(totals), "slug", "left").withColumn(
+    return parsed.join(totals, "slug", "left").withColumn(
         "in_range", F.coalesce((F.col("idx") >= 1) & (F.col("idx") <= F.col("total")), F.lit(False)))
 
 
@@ -333,6 +344,11 @@ def default_enrichment(r: DataFrame) -> DataFrame:
     return out.withColumn("themes_text", F.when(missing, F.lit("")).otherwise(F.col("themes_text")))
 
 
+def text_key(col: str = "review_text") -> Column:
+    """128-bit digest of a text (null: null): what joins on texts compare and shuffle."""
+    return F.unhex(F.md5(F.col(col)))
+
+
 def pending(r: DataFrame, done: DataFrame, retry_failed: bool = True) -> DataFrame:
     """Reviews whose text is not enriched yet (left anti on product + text).
 
@@ -340,13 +356,15 @@ def pending(r: DataFrame, done: DataFrame, retry_failed: bool = True) -> DataFra
     failed (defaulted) rows as done and never retried them.
     """
     d = done.filter(F.col("enrich_status") == "parsed") if retry_failed else done
-    return r.join(d.select(P, "review_text").distinct(), [P, "review_text"], "left_anti")
+    seen = d.select(P, text_key().alias("_key")).distinct()
+    return r.withColumn("_key", text_key()).join(seen, [P, "_key"], "left_anti").drop("_key")
 
 
 def merge_incremental(done: DataFrame, new: DataFrame, keep: DataFrame | None = None) -> DataFrame:
     """Earlier rows still wanted (left semi on ``keep``) plus the new rows."""
-    keep = keep if keep is not None else done.select(P, "review_text")
-    return done.join(keep.distinct(), [P, "review_text"], "left_semi").unionByName(new, allowMissingColumns=True)
+    wanted = done if keep is None else done.withColumn("_key", text_key()).join(
+        keep.select(P, text_key().alias("_key")).distinct(), [P, "_key"], "left_semi").drop("_key")
+    return wanted.unionByName(new, allowMissingColumns=True)
 
 
 def coverage(r: DataFrame, checked: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feedback_spark import fixed_values as FV
-from feedback_spark.functions.regex import escape_literal, portable
+from feedback_spark.functions.regex import escape_literal
 from feedback_spark.functions.text import snippet, stars
 from feedback_spark.functions.topk import top_k
 from feedback_spark.operators.metrics import with_family
@@ -28,8 +28,8 @@ def facet_filter(r: DataFrame, platforms: list | None = None, sentiments: list |
 
 
 def _ci(pattern: str, literal: bool) -> str:
-    # java.util.regex: (?iu) = Unicode-aware case-insensitive
-    return "(?iu)" + (escape_literal(pattern) if literal else portable(pattern))
+    # java.util.regex: i, u, U = case-insensitive, by Unicode, with Unicode \\b \\w \\s \\d as in Python's re
+    return "(?iuU)" + (escape_literal(pattern) if literal else pattern)
 
 
 def search_text(r: DataFrame, pattern: str, literal: bool = False) -> DataFrame:
@@ -55,10 +55,10 @@ def review_listing(r: DataFrame, cols: list[str] | None = None) -> DataFrame:
 
 
 def head(df: DataFrame, n: int, group: list[str] | None = None, order: list | None = None) -> DataFrame:
-    """First ``n`` rows per group in a total order (exact salted top-k)."""
+    """First ``n`` rows per group in a total order (each task keeps its n first before the shuffle)."""
     group = group or [P]
     order = order or [F.desc_nulls_last("date"), F.col("review_id")]
-    return top_k(df, group, order, n, salt_key="review_id")
+    return top_k(df, group, order, n)
 
 
 def profile(df: DataFrame, order: str = "review_id", sample_chars: int = 60) -> DataFrame:
@@ -83,18 +83,18 @@ def quotes(r: DataFrame, k: int = 6) -> DataFrame:
     fam = with_family(r).filter(F.col("sentiment").isin("Positive", "Negative"))
     # score sign flipped for Negative so both use one ascending order
     key = F.when(F.col("sentiment") == "Positive", -F.col("sentiment_score")).otherwise(F.col("sentiment_score"))
-    fam = fam.withColumn("_k", key)
-    out = top_k(fam, [P, "family", "sentiment"], [F.col("_k"), F.col("review_id")], k, salt_key="review_id")
-    return out.select(P, "family", "sentiment", "rank", "review_id", "sentiment_score",
-                      snippet("review_text").alias("snippet"), stars("rating").alias("stars"))
+    # only the cut text travels: each task keeps its k best of a group before the shuffle
+    fam = fam.select(P, "family", "sentiment", "review_id", "sentiment_score", key.alias("_k"), snippet("review_text").alias("snippet"), stars("rating").alias("stars"))
+    out = top_k(fam, [P, "family", "sentiment"], [F.col("_k"), F.col("review_id")], k)
+    return out.select(P, "family", "sentiment", "rank", "review_id", "sentiment_score", "snippet", "stars")
 
 
 def theme_quotes(r: DataFrame, k: int = 5) -> DataFrame:
     """Per theme, first k Positive and k Negative reviews in review order."""
     x = (r.filter(F.col("sentiment").isin("Positive", "Negative"))
-         .select(P, "review_id", "sentiment", "review_text", F.explode("themes").alias("theme")))
-    out = top_k(x, [P, "theme", "sentiment"], [F.col("review_id")], k, salt_key="review_id")
-    return out.select(P, "theme", "sentiment", "rank", "review_id", snippet("review_text").alias("snippet"))
+         .select(P, "review_id", "sentiment", snippet("review_text").alias("snippet"), F.explode("themes").alias("theme")))
+    out = top_k(x, [P, "theme", "sentiment"], [F.col("review_id")], k)
+    return out.select(P, "theme", "sentiment", "rank", "review_id", "snippet")
 
 
 def snippets(r: DataFrame, n: int = FV.QUOTE_CHARS) -> DataFrame:

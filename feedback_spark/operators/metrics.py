@@ -201,9 +201,9 @@ def theme_platform_matrix(r: DataFrame) -> DataFrame:
     )
 
 
-def theme_platform_pivot(r: DataFrame) -> DataFrame:
-    """H11 wide form: one column per platform (``pivot`` with a fixed list)."""
-    plats = sorted(FV.ADAPTER_PLATFORMS)
+def theme_platform_pivot(r: DataFrame, platforms: list[str]) -> DataFrame:
+    """H11 wide form: one column for each of ``platforms`` (the platform dimension; the columns are part of the plan)."""
+    plats = sorted(platforms)
     return theme_mentions(r, ["platform"]).groupBy(P, "theme").pivot("platform", plats).agg(F.first("mentions")).na.fill(0)
 
 

@@ -2,23 +2,19 @@
 
 ``top_phrases`` computes, for every group at once, the summed L2-normalised
 TF-IDF weight of each n-gram and keeps the top ``n`` (smoothed idf
-``ln((1+N)/(1+df)) + 1``, minimum document frequency, a vocabulary cap by
-total term frequency, stop words removed before n-grams are formed).
+``ln((1+N)/(1+df)) + 1``, minimum document frequency, stop words removed
+before n-grams are formed).
 
 Physical plan, chosen for skew and shuffle volume:
 
 1. documents are hash-partitioned once by (group, doc): the text is the
-   smallest thing to move, and every later per-document step (term counts,
-   the L2 norm) then needs no exchange;
-2. n-grams are built with array functions and exploded (narrow);
-3. term counts per document aggregate in place;
-4. document frequency per (group, term) shuffles only partially aggregated
-   rows;
-5. the vocabulary cap is an exact salted top-k (a hot group never sorts in
-   one task); the capped vocabulary (<= cap rows per group) is broadcast;
-6. per-document norms are a window over the existing partitioning;
-7. the final sum per (group, term) is partially aggregated before its
-   shuffle, and the top-n runs on that small result.
+   smallest thing to move, and term counts per document then aggregate in
+   place; they are written once as the (group, doc, term, tf) layer;
+2. document frequency per (group, term) shuffles only partially aggregated
+   rows, and the join of the weights reuses that partitioning;
+3. per-document norms are a window over (group, doc), bounded by a document;
+4. the final sum per (group, term) is partially aggregated before its
+   shuffle, and the top-n keeps n rows of a group per task.
 
 Groups with fewer than ``min_docs`` texts use the word-count fallback (F2).
 """
@@ -31,6 +27,7 @@ from pyspark.sql import functions as F
 from feedback_spark import fixed_values as FV
 from feedback_spark.functions.regex import PHRASE_TOKEN, SPACE
 from feedback_spark.functions.topk import top_k
+from feedback_spark.session import persisted
 
 TEXT = "review_text"
 DOC = "review_id"
@@ -62,55 +59,47 @@ def ngrams(tokens: Column, lo: int, hi: int) -> Column:
     return parts[0] if len(parts) == 1 else F.concat(*parts)
 
 
-MAX_BROADCAST_ROWS = 2_000_000   # rows of a per-group side we are willing to broadcast
-
-
-def _doc_counts(docs: DataFrame, group: list[str]) -> tuple[DataFrame, int]:
-    """Documents per group (one row per group) and the number of groups.
-
-    The group count is measured once (a scan of the group columns only) and
-    decides whether the per-group sides below may be broadcast.
-    """
-    counts = docs.groupBy(*group).agg(F.count("*").alias("n_docs"))
-    return counts, counts.count()
+def term_counts(docs: DataFrame, group: list[str], ngram_range: tuple[int, int], text: str = TEXT, doc: str = DOC,
+                partitions: int | None = None) -> DataFrame:
+    """(group, doc, term, tf) of every n-gram; each document also has the term '' once, so none is missing."""
+    keys = [*group, doc]
+    docs = docs.repartition(partitions, *keys) if partitions else docs.repartition(*keys)
+    toks = docs.select(*keys, phrase_tokens(F.col(text)).alias("_toks"))
+    terms = F.concat(F.array(F.lit("")), ngrams(F.col("_toks"), *ngram_range))
+    return toks.select(*keys, F.explode(terms).alias("term")).groupBy(*keys, "term").agg(F.count("*").alias("tf"))
 
 
 def top_phrases(r: DataFrame, group: list[str], n: int = 20, ngram_range: tuple[int, int] = (2, 3),
-                min_df: int = FV.TFIDF_MIN_DF, cap: int = FV.TFIDF_MAX_TERMS, min_docs: int = FV.TFIDF_MIN_DOCS,
+                min_df: int = FV.TFIDF_MIN_DF, cap: int | None = None, min_docs: int = FV.TFIDF_MIN_DOCS,
                 text: str = TEXT, doc: str = DOC, partitions: int | None = None) -> DataFrame:
-    """top-n TF-IDF phrases per group, with the F2 fallback for small groups.
+    """top-n TF-IDF phrases per group; groups under ``min_docs`` texts get F2's word counts.
+
+    ``cap`` limits a group's vocabulary to its most frequent terms
+    (``FV.TFIDF_MAX_TERMS`` is the original's); without it every term counts.
+    The texts are cut into terms once: the term counts are written as a layer,
+    and document counts, weights and norms are all derived from it.
 
     Output: group columns, rank, phrase, score (truncated sum), weight
     (sum rounded to 6 dp), method ('tfidf' | 'count').
     """
     docs = r.filter(F.col(text).isNotNull() & (F.length(text) > FV.TFIDF_MIN_CHARS)).select(*group, doc, text)
-    counts, n_groups = _doc_counts(docs, group)
-    flagged = docs.join(F.broadcast(counts) if n_groups <= MAX_BROADCAST_ROWS else counts, group)
-    big = flagged.filter(F.col("n_docs") >= min_docs)
-    small = flagged.filter(F.col("n_docs") < min_docs).drop("n_docs")
-    # the capped vocabulary holds at most cap rows per group: broadcast it only under the bound
-    tfidf = _tfidf(big, group, n, ngram_range, min_df, cap, text, doc, partitions,
-                   broadcast_vocab=n_groups * cap <= MAX_BROADCAST_ROWS)
-    words = top_words(small, group, n, text=text, doc=doc).withColumn("method", F.lit("count"))
-    return tfidf.unionByName(words)
-
-
-def _tfidf(docs: DataFrame, group: list[str], n: int, ngram_range, min_df: int, cap: int,
-           text: str, doc: str, partitions: int | None, broadcast_vocab: bool = True) -> DataFrame:
+    tf = persisted(term_counts(docs, group, ngram_range, text, doc, partitions), "terms")
+    counts = tf.filter(F.col("term") == "").groupBy(*group).agg(F.count("*").alias("n_docs"))
+    tfidf = _tfidf(tf.filter(F.col("term") != ""), counts.filter(F.col("n_docs") >= min_docs), group, n, min_df, cap, doc)
+    small = counts.filter(F.col("n_docs") < min_docs)
+    if small.isEmpty():  # no second pass over the texts
+        return tfidf
+    words = top_words(docs.join(small.select(*group), group), group, n, text=text, doc=doc)
+    return tfidf.unionByName(words.withColumn("method", F.lit("count")))
+
+
+def _tfidf(tf: DataFrame, counts: DataFrame, group: list[str], n: int, min_df: int, cap: int | None, doc: str) -> DataFrame:
     keys = [*group, doc]
-    # without an explicit count AQE may coalesce the partitions after the exchange
-    docs = docs.repartition(partitions, *keys) if partitions else docs.repartition(*keys)
-    toks = docs.select(*keys, "n_docs", phrase_tokens(F.col(text)).alias("_toks"))
-    grams = toks.select(*keys, "n_docs", F.explode(ngrams(F.col("_toks"), *ngram_range)).alias("term"))
-    tf = grams.groupBy(*keys, "term").agg(F.count("*").alias("tf"), F.first("n_docs").alias("n_docs"))
-    stats = tf.groupBy(*group, "term").agg(
-        F.count("*").alias("df"), F.sum("tf").alias("ttf"), F.first("n_docs").alias("n_docs"))
-    vocab = top_k(stats.filter(F.col("df") >= min_df), group, [F.desc("ttf"), F.col("term")], cap,
-                  salt_key="term", rank_col="_vr")
-    idf = vocab.select(*group, "term",
-                       (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    # capped vocabulary: at most `cap` rows per group
-    w = tf.join(F.broadcast(idf) if broadcast_vocab else idf, [*group, "term"]).select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
+    stats = tf.groupBy(*group, "term").agg(F.count("*").alias("df"), F.sum("tf").alias("ttf")).filter(F.col("df") >= min_df)
+    if cap is not None:
+        stats = top_k(stats, group, [F.desc("ttf"), F.col("term")], cap, rank_col="_vr")
+    idf = stats.join(counts, group).select(*group, "term", (F.log((F.col("n_docs") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
+    w = tf.join(idf, [*group, "term"]).select(*keys, "term", (F.col("tf") * F.col("idf")).alias("w"))
     norm = F.sqrt(F.sum(F.col("w") * F.col("w")).over(Window.partitionBy(*keys)))
     scored = w.select(*group, "term", (F.col("w") / norm).alias("wn"))
     sums = scored.groupBy(*group, "term").agg(F.sum("wn").alias("s"))
@@ -126,7 +115,7 @@ def top_words(docs: DataFrame, group: list[str], n: int = 20, text: str = TEXT,
     words = docs.select(*group, doc, F.posexplode(F.split(F.lower(F.col(text)), f"{SPACE}+")).alias("pos", "word"))
     words = words.filter((F.length("word") > min_len) & ~F.col("word").isin(stops))
     agg = words.groupBy(*group, "word").agg(F.count("*").alias("cnt"), F.min(F.struct(doc, "pos")).alias("first"))
-    top = top_k(agg, group, [F.desc("cnt"), F.col("first")], n, salt_key="word")
+    top = top_k(agg, group, [F.desc("cnt"), F.col("first")], n)
     return top.select(*group, "rank", F.col("word").alias("phrase"), F.col("cnt").alias("score"),
                       F.col("cnt").cast("double").alias("weight"))
 

@@ -9,7 +9,7 @@
   no join back: the score is computed in place on the row.  Tokens outside the
   rule vocabulary are nulled in the JVM first (a hash-set test), so only
   positions and the few relevant words cross into Python.  The lexicon is a
-  table; it is collected once behind a size check and shipped with the task.
+  table; it is collected once and shipped with the task.
 * D7 lane choice per product is a one-row-per-product flag joined back
   (bounded by the number of products), never a driver round trip.
 """
@@ -26,9 +26,6 @@ from feedback_spark import fixed_values as FV
 from feedback_spark.functions.regex import LEXICON_TOKEN, portable
 from feedback_spark.functions.text import label, label_to_score
 
-MAX_LEXICON_ROWS = 200_000
-MAX_PREFILTER_WORDS = 50_000
-
 
 def lexicon_table(spark) -> DataFrame:
     return spark.createDataFrame(FV.DEFAULT_LEXICON, "token string, valence double")
@@ -40,10 +37,7 @@ def _load_lexicon(lexicon: DataFrame | list | None) -> tuple[list[str], list[flo
     elif isinstance(lexicon, list):
         rows = lexicon
     else:
-        # dimension table with a proven bound: checked before it is collected
-        n = lexicon.count()
-        if n > MAX_LEXICON_ROWS:
-            raise ValueError(f"lexicon has {n} rows; at most {MAX_LEXICON_ROWS} are supported")
+        # a dimension table (one row per word of a language), shipped with the task
         rows = [(r[0], float(r[1])) for r in lexicon.select("token", "valence").collect()]
     d = {}
     for tok, val in rows:
@@ -114,10 +108,9 @@ def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text
     fn = F.arrow_udf(_token_valence_sum(keys, vals), "double")
     tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(LEXICON_TOKEN), 0)
     relevant = set(keys) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | {"but"}
-    if len(relevant) <= MAX_PREFILTER_WORDS:
-        # positions matter, words outside the rule vocabulary do not: they cross to
-        # Python as nulls (a hash-set test in the JVM), which shrinks the Arrow batches
-        tokens = F.transform(tokens, lambda t: F.when(t.isin(sorted(relevant)), t))
+    # positions matter, words outside the rule vocabulary do not: they cross to
+    # Python as nulls (a hash-set test in the JVM), which shrinks the Arrow batches
+    tokens = F.transform(tokens, lambda t: F.when(t.isin(sorted(relevant)), t))
     s = fn(tokens)
     bangs = F.least(F.length(text) - F.length(F.regexp_replace(F.col(text), "!", "")), F.lit(FV.EXCLAIM_MAX))
     amp = bangs * FV.EXCLAIM_STEP
@@ -159,22 +152,32 @@ def score_lexicon_lane(r: DataFrame, lexicon: DataFrame | list | None = None) ->
 
 
 def score_sentiment(r: DataFrame, products: DataFrame, lexicon: DataFrame | list | None = None,
-                    llm_col: str = "llm_sentiment") -> DataFrame:
+                    llm_col: str = "llm_sentiment", use_lexicon: bool = True) -> DataFrame:
     """Lane per product.
 
     Allow-listed product (``products.use_llm``) with some non-null LLM label
-    -> D6 label scores; otherwise the lexicon lane D1-D5.  The per-product
-    flag is one row per product (bounded), joined back by broadcast.
+    -> D6 label scores; otherwise the lexicon lane D1-D5.  Without a lexicon
+    (``use_lexicon=False``) the rest keeps a ``sentiment`` that it already
+    has, and is ``Unknown`` / 0.0 otherwise.  The flag is a window-free
+    one-row-per-product aggregate joined back; texts of the LLM lane reach the
+    scorer as nulls.
     """
     flags = (
         r.groupBy("product").agg(F.max(F.col(llm_col).isNotNull()).alias("_has_llm"))
         .join(products.select("product", "use_llm"), "product", "left")
         .select("product", (F.coalesce(F.col("use_llm"), F.lit(False)) & F.col("_has_llm")).alias("_llm_lane"))
     )
-    scored = score_lexicon_lane(r, lexicon).join(F.broadcast(flags), "product", "left")
+    marked = r.join(flags, "product", "left")
     llm = F.col("_llm_lane")
+    if use_lexicon:
+        text = marked.withColumn("_text", F.col("review_text")).withColumn("review_text", F.when(~llm, F.col("review_text")))
+        scored, lane = score_lexicon_lane(text, lexicon).withColumn("review_text", F.col("_text")).drop("_text"), "lexicon"
+    elif "sentiment" in r.columns:
+        scored, lane = marked, "given"
+    else:
+        scored, lane = marked.withColumn("sentiment", F.lit("Unknown")).withColumn("sentiment_score", F.lit(0.0)), "none"
     return (
-        scored.withColumn("sentiment_lane", F.when(llm, "llm").otherwise("lexicon"))
+        scored.withColumn("sentiment_lane", F.when(llm, "llm").otherwise(lane))
         .withColumn("sentiment_score", F.when(llm, label_to_score(llm_col)).otherwise(F.col("sentiment_score")))
         .withColumn("sentiment", F.when(llm, F.col(llm_col)).otherwise(F.col("sentiment")))
         .drop("_llm_lane")

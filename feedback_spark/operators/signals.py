@@ -27,7 +27,7 @@ def _sentences(r: DataFrame, keep: list[str] | None = None) -> DataFrame:
 
 def _count_snippets(x: DataFrame, n: int) -> DataFrame:
     agg = x.groupBy(P, "snippet").agg(F.count("*").alias("n"), F.min(F.struct("review_id", "pos")).alias("first"))
-    top = top_k(agg, [P], [F.desc("n"), F.col("first")], n, salt_key="snippet")
+    top = top_k(agg, [P], [F.desc("n"), F.col("first")], n)
     return top.select(P, "rank", "snippet", "n", F.col("first.review_id").alias("first_review_id"))
 
 
@@ -63,7 +63,7 @@ def _flag_snippet(primary: str, strict: bool) -> Column:
 def flagged(r: DataFrame, flag: str, primary: str, n: int, strict: bool = False) -> DataFrame:
     """First n flagged rows in review order with their snippet."""
     x = r.filter(F.col(flag) == F.lit(True)).select(P, "review_id", _flag_snippet(primary, strict).alias("snippet"))
-    return top_k(x, [P], [F.col("review_id")], n, salt_key="review_id").withColumn("n", F.lit(1).cast("long"))
+    return top_k(x, [P], [F.col("review_id")], n).withColumn("n", F.lit(1).cast("long"))
 
 
 def flagged_requests(r: DataFrame, n: int = 6, strict: bool = False) -> DataFrame:

@@ -45,10 +45,10 @@ def _stem(pattern: str) -> str:
 
 
 def theme_array(text_col: str = "review_text", type_col: str = "product_type",
-                patterns: dict | None = None, stem: bool = False) -> F.Column:
+                patterns: dict | None = None, stem: bool = False, lowered: bool = False) -> F.Column:
     """Array of matching themes for the row's product type (taxonomy order)."""
     patterns = patterns or FV.THEME_PATTERNS
-    lc = F.lower(F.col(text_col))
+    lc = F.col(text_col) if lowered else F.lower(F.col(text_col))
     # one CASE branch per product type: a row only evaluates its own type's patterns
     out = None
     for pt, lst in patterns.items():
@@ -61,7 +61,8 @@ def theme_array(text_col: str = "review_text", type_col: str = "product_type",
 
 def tag_themes(r: DataFrame, stem: bool = False) -> DataFrame:
     """Add ``themes`` (array) by whole-word pattern match."""
-    return r.withColumn("themes", theme_array(stem=stem))
+    # the lower-cased text is a column of its own, so that it is made once for all patterns
+    return r.withColumn("_lc", F.lower("review_text")).withColumn("themes", theme_array("_lc", stem=stem, lowered=True)).drop("_lc")
 
 
 def review_theme(r: DataFrame, keep: list[str] | None = None) -> DataFrame:
@@ -75,9 +76,6 @@ def theme_ord(spark) -> DataFrame:
     return F.broadcast(taxonomy(spark).select("product_type", "theme", "ord"))
 
 
-MAX_WIDE_THEMES = 1000
-
-
 def themes_wide(r: DataFrame, known: list[str] | None = None, llm_col: str | None = None) -> DataFrame:
     """One boolean ``theme_<name>`` column per known theme (+ LLM themes).
 
@@ -91,9 +89,7 @@ def themes_wide(r: DataFrame, known: list[str] | None = None, llm_col: str | Non
         parsed = parse_themes(llm_col)
         r = r.withColumn("_llm_themes", parsed)
         vocab = r.select(F.explode("_llm_themes").alias("t")).distinct()
-        n = vocab.count()  # the column set is part of the plan: check its size before collecting
-        if n > MAX_WIDE_THEMES:
-            raise ValueError(f"{n} distinct themes; a wide table supports at most {MAX_WIDE_THEMES}")
+        # one name per column of the result: the plan needs them, and is as wide as they are many
         extra = [x[0] for x in vocab.collect()]
         known += [t for t in sorted(extra) if t and t not in known]
         src = F.col("_llm_themes")

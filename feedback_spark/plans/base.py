@@ -21,7 +21,7 @@ from feedback_spark import fixed_values as FV
 from feedback_spark.operators.clean import clean_reviews, dedup_first, min_length
 from feedback_spark.operators.sentiment import score_lexicon_lane
 from feedback_spark.operators.themes import tag_themes
-from feedback_spark.session import checkpoint_dir, path_exists
+from feedback_spark.session import checkpoint_dir, input_state, path_exists
 from feedback_spark.sources.testdata import reviews
 
 _LAYERS: dict = {}
@@ -42,7 +42,8 @@ def scored_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _persisted(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
-    key = (id(spark), os.path.normpath(sf_dir), name)
+    folder = sf_dir.rstrip("/")
+    key = (spark.sparkContext.applicationId, folder, input_state(spark, f"{folder}/documents.parquet"), name)
     path = _LAYERS.get(key)
     if path is None or not path_exists(spark, path):
         import uuid

@@ -18,8 +18,8 @@ ALL_THEMES = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _
 
 
 def conversation_reviews(spark, sf):
-    """User turns of ``conversations`` as review rows of one more source."""
-    c = table(spark, sf, "conversations").filter(F.col("role") == "user")
+    """Turns of ``conversations`` as review rows of one more source."""
+    c = table(spark, sf, "conversations")
     return c.select(
         (F.lit(10**12) + F.col("conv_id") * 1000 + F.col("turn")).alias("review_id"),
         F.lit("google_maps").alias("platform"),
@@ -28,7 +28,7 @@ def conversation_reviews(spark, sf):
 
 
 CONV_SQL = ("SELECT 1000000000000 + conv_id * 1000 + turn AS review_id, 'google_maps' AS platform, text AS review_text "
-            "FROM conversations WHERE role = 'user'")
+            "FROM conversations")
 
 
 def _c1(spark, sf):
@@ -112,16 +112,17 @@ def _stem_sql_hits() -> str:
 
 def _e3(spark, sf):
     r = scored_layer(spark, sf)
-    txt = F.when(F.pmod("review_id", F.lit(2)) == 0, flatten_themes("themes")).otherwise(F.to_json("themes"))
+    themes = F.concat("themes", F.array(F.lit("Driver's attitude")))
+    txt = F.when(F.pmod("review_id", F.lit(2)) == 0, F.concat_ws(" | ", themes)).otherwise(F.to_json(themes))
     return (r.select("product", "review_id", parse_themes(txt).alias("parsed"))
             .select("product", "review_id", F.explode("parsed").alias("theme")))
 
 
 E3_SQL = with_base(r"""
-, tx AS (SELECT product, review_id, CASE WHEN review_id % 2 = 0 THEN array_to_string(themes, ' | ')
-                                          ELSE CAST(to_json(themes) AS VARCHAR) END AS t FROM scored),
+, tx AS (SELECT product, review_id, CASE WHEN review_id % 2 = 0 THEN array_to_string(list_append(themes, 'Driver''s attitude'), ' | ')
+                                          ELSE CAST(to_json(list_append(themes, 'Driver''s attitude')) AS VARCHAR) END AS t FROM scored),
 px AS (SELECT product, review_id, CASE WHEN t IS NULL OR t = '' THEN []::VARCHAR[]
-                                        WHEN starts_with(t, '[') THEN from_json(replace(t, '''', '"'), '["VARCHAR"]')
+                                        WHEN starts_with(t, '[') THEN from_json(t, '["VARCHAR"]')
                                         ELSE list_filter(string_split_regex(t, '[\t ]*\|[\t ]*'), lambda x: length(x) > 0) END AS parsed
        FROM tx)
 SELECT product, review_id, unnest(parsed) AS theme FROM px""")
@@ -207,6 +208,18 @@ WHERE rating IS NULL AND sentiment_raw < -{FV.LABEL_THRESHOLD}
 ELSE 0.0 END AS score FROM (SELECT doc_id, CASE WHEN toxic = 1 THEN 'NEGATIVE' WHEN quality = 1 THEN 'positive' END AS llm_label FROM labels)""",
     ),
     "d7_score_sentiment": (_d7, _d7_sql()),
+    "d7_without_lexicon": (
+        lambda spark, sf: D.score_sentiment(clean_layer(spark, sf).join(llm_labels(spark, sf), "review_id", "left"), products(spark), use_lexicon=False)
+        .select("product", "review_id", "sentiment_lane", "sentiment", "sentiment_score"),
+        with_base(f"""
+, j AS (SELECT s.*, l.llm_sentiment FROM clean s LEFT JOIN ({LLM_SQL}) l ON l.review_id = s.review_id),
+fl AS (SELECT product, (({" OR ".join(f"product = {sql_str(p)}" for p, _, _, u in FV.PRODUCTS if u) or "FALSE"}) AND bool_or(llm_sentiment IS NOT NULL)) AS llm FROM j GROUP BY product)
+SELECT j.product, review_id, CASE WHEN fl.llm THEN 'llm' ELSE 'none' END AS sentiment_lane,
+       CASE WHEN fl.llm THEN llm_sentiment ELSE 'Unknown' END AS sentiment,
+       CASE WHEN fl.llm AND lower(llm_sentiment) = 'positive' THEN 0.5 WHEN fl.llm AND lower(llm_sentiment) = 'negative' THEN -0.5
+            ELSE 0.0 END AS sentiment_score
+FROM j JOIN fl ON fl.product = j.product"""),
+    ),
     "e1_taxonomy": (
         lambda spark, sf: clean_layer(spark, sf).select("product_type").distinct().join(E.taxonomy(spark), "product_type"),
         with_base("SELECT DISTINCT c.product_type, t.theme, t.ord, t.pattern FROM clean c JOIN (VALUES "

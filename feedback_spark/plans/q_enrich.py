@@ -19,8 +19,11 @@ from feedback_spark.functions.regex import SPACE, sql_str
 from feedback_spark.operators import clean as C
 from feedback_spark.operators import enrich as K
 from feedback_spark.operators import metrics as M
+from feedback_spark.functions.text import between_fences
 from feedback_spark.operators import signals as G
 from feedback_spark.plans.base import clean_layer
+from feedback_spark.plans.sql_base import trim_sql
+from feedback_spark.session import input_state
 from feedback_spark.sources.testdata import products, table
 
 BATCH = FV.ONLINE_BATCH  # batch size of the stand-in responses
@@ -94,7 +97,7 @@ def _obj(retry: bool) -> Txt:
         x = Txt(*pieces)
         return (x.spark, x.sql())
     return Txt(
-        "{", idx, '"sentiment":"', sent, '","themes":', _case("review_id", 3, ["[]", '["UX"]', '["Pricing","Reliability"]']),
+        "{", idx, '"sentiment":"', sent, '","themes":', _case("review_id", 3, ["[]", '"Driver\'s attitude"', '["Pricing","Reliability"]']),
         ',"priority":"P', (lambda: (F.pmod(F.col("review_id"), F.lit(4)) + 1).cast("string"), "CAST(review_id % 4 + 1 AS VARCHAR)"),
         '","churn_risk":"', _case("review_id", 3, ["Low", "Medium", "High"]), '"',
         ',"is_feature_request":', _when(*_mod("review_id", 4, 1), "true", "false"),
@@ -116,7 +119,7 @@ def enrich_input(spark, sf):
     Numbering cuts lineage with a checkpoint (C8); the numbered frame is kept
     per (session, folder) so one query plan does not number the input twice.
     """
-    key = (id(spark), sf)
+    key = (spark.sparkContext.applicationId, sf, input_state(spark, f"{sf.rstrip('/')}/documents.parquet"))
     if key not in _NUMBERED:
         r = C.min_length(clean_layer(spark, sf), FV.MIN_TEXT_LEN)
         _NUMBERED[key] = C.with_seq(r, ["product", "review_id"], group=["product"])
@@ -182,11 +185,16 @@ responses AS (
 
 # ---------------------------------------------------------------- parse (SQL)
 def _sql_schema(obj: bool = True) -> str:
-    fields = ", ".join(['"idx":"VARCHAR"'] + [f'"{f}":["VARCHAR"]' if f == "themes" else f'"{f}":"VARCHAR"'
+    fields = ", ".join(['"idx":"VARCHAR"'] + [f'"{f}":"JSON"' if f == "themes" else f'"{f}":"VARCHAR"'
                                               for f in FV.ENRICH_FIELDS])
     return "'{" + fields + "}'" if obj else "'[{" + fields + "}]'"
 
 
+def _themes_sql(x: str) -> str:
+    """Themes given as a JSON list or as text."""
+    return f"(CASE json_type({x}) WHEN 'ARRAY' THEN from_json({x}, '[\"VARCHAR\"]') WHEN 'VARCHAR' THEN [{x} ->> '$'] END)"
+
+
 WS = r"[\t\n\x0B\f\r ]"
 
 
@@ -206,7 +214,7 @@ def parsed_sql() -> str:
     fixes = " ".join(
         f"WHEN json_valid(c || {sql_str(sfx)}) AND json_type(c || {sql_str(sfx)}) = 'ARRAY' THEN c || {sql_str(sfx)}"
         for sfx in suffixes)
-    fields = ", ".join(f"o.{f} AS {f}" for f in FV.ENRICH_FIELDS)
+    fields = ", ".join(f"{_themes_sql('o.themes') if f == 'themes' else f'o.{f}'} AS {f}" for f in FV.ENRICH_FIELDS)
     return f""",
 rs AS (SELECT file, regexp_extract(file, '([^/]+)_response_b\\d+\\.json$', 1) AS slug,
               TRY_CAST(regexp_extract(file, '_b(\\d+)\\.json$', 1) AS BIGINT) AS batch_no, {_strip_sql('body')} AS s FROM responses),
@@ -368,7 +376,7 @@ def _agent_prompts_sql() -> str:
 
 def _prompts_sql(size: int, online: bool) -> str:
     from feedback_spark.plans.sql_base import trim_sql, with_base
-    txt = f"substr({trim_sql('review_text')}, 1, {FV.PROMPT_TEXT_CHARS})"
+    txt = trim_sql("review_text")
     pr = ", ".join(f"({sql_str(p)}, {sql_str(t)}, {sql_str(d)})" for p, t, d, _ in FV.PRODUCTS)
     if online:
         line = (f"'Review ' || CAST(pos AS VARCHAR) || ' [' || coalesce(platform, 'unknown') || "
@@ -441,7 +449,7 @@ inp AS (SELECT *, (review_seq - 1) // {BATCH} + 1 AS batch_no, (review_seq - 1)
 SELECT i.product, i.review_id, i.batch_no, i.pos,
        CASE WHEN o.sentiment IS NOT NULL OR o.priority IS NOT NULL THEN 'parsed' ELSE 'missing' END AS enrich_status,
        o.sentiment AS sentiment, o.priority AS priority,
-       CASE WHEN o.sentiment IS NOT NULL OR o.priority IS NOT NULL THEN coalesce(array_to_string(o.themes, ' | '), '') ELSE '' END AS themes_text,
+       CASE WHEN o.sentiment IS NOT NULL OR o.priority IS NOT NULL THEN coalesce(array_to_string({_themes_sql('o.themes')}, ' | '), '') ELSE '' END AS themes_text,
        {bools}
 FROM inp i LEFT JOIN ow ON ow.slug = lower(i.product) AND ow.batch_no = i.batch_no AND ow.pos = i.pos""").replace(
         "o.sentiment", "ow.o.sentiment").replace("o.priority", "ow.o.priority").replace("o.themes", "ow.o.themes").replace(
@@ -460,7 +468,7 @@ def _e4_llm(spark, sf):
 
 def _e4_llm_sql() -> str:
     known = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _ in lst))
-    extra = [t for t in sorted(["UX", "Pricing", "Reliability"]) if t not in known]
+    extra = [t for t in sorted(["Driver's attitude", "Pricing", "Reliability"]) if t not in known]
     cols = ", ".join(f"list_contains(lt, {sql_str(t)}) AS \"theme_{t}\"" for t in known + extra)
     return _with(MERGED_SQL + f""",
 ml AS (SELECT product, review_id, CASE WHEN themes_text IS NULL OR themes_text = '' THEN []::VARCHAR[]
@@ -497,6 +505,12 @@ SELECT product, review_id, review_seq, (review_seq - 1) // {FV.OFFLINE_BATCH} +
     "k5_agent_prompts": (lambda spark, sf: K.agent_prompts(enrich_input(spark, sf)), _agent_prompts_sql()),
     "k6_synthesis_prompts": (lambda spark, sf: K.synthesis_prompts(enrich_input(spark, sf), _answers(spark, sf)), _synth_sql()),
     "k7_assemble_agents": (lambda spark, sf: K.assemble_agents(enrich_input(spark, sf), _answers(spark, sf)), _agents_sql()),
+    "k8_between_fences": (
+        lambda spark, sf: responses(spark, sf).select("file", between_fences("body").alias("stripped")),
+        _with(f"""
+SELECT file, CASE WHEN starts_with(t, '```') THEN {trim_sql("regexp_replace(split_part(t, '```', 2), '^json', '')")} ELSE t END AS stripped
+FROM (SELECT file, {trim_sql("body")} AS t FROM responses)"""),
+    ),
     "k8_strip_fences": (
         lambda spark, sf: responses(spark, sf).select("file", K.strip_fences("body").alias("stripped")),
         _with(f"\nSELECT file, {_strip_sql('body')} AS stripped FROM responses"),

@@ -7,6 +7,8 @@ import os
 
 from pyspark.sql import functions as F
 
+from feedback_spark import fixed_values as FV
+from feedback_spark.functions.regex import sql_str
 from feedback_spark.plans import q_enrich as QE
 from feedback_spark.plans.sql_base import with_base
 from feedback_spark.sources import files as A
@@ -56,7 +58,26 @@ def _a8(spark, sf):
     return back.groupBy("product").agg(F.count("*").alias("files"))
 
 
+def _a2(spark, sf):
+    """Tiers enriched -> clean -> raw, of which only the last two exist."""
+    root = work_dir(spark, "tiers")
+    r = reviews(spark, sf).select(*COLS)
+    A.write_layer(r, os.path.join(root, "raw"), partition_by=None, fmt="csv")
+    A.write_layer(r.filter(F.col("rating").isNotNull()), os.path.join(root, "clean"), partition_by=None, fmt="csv")
+    found = A.resolve_tier(spark, [os.path.join(root, t) for t in ("enriched", "clean", "raw")])
+    return found.groupBy("platform").agg(F.count("*").alias("n"), F.sum(F.length("review_text")).alias("chars"))
+
+
+def _a3(spark, sf):
+    return (reviews(spark, sf).groupBy("product").agg(F.count("*").alias("reviews"))
+            .join(products(spark), "product").select("product", "product_type", "description", "use_llm", "reviews"))
+
+
 QUERIES = {
+    "a2_tiered_source": (_a2, with_base("SELECT platform, count(*) AS n, sum(length(review_text)) AS chars FROM reviews WHERE rating IS NOT NULL GROUP BY platform")),
+    "a3_products": (_a3, with_base("SELECT r.product, p.product_type, p.description, p.use_llm, r.reviews FROM (SELECT product, count(*) AS reviews FROM reviews GROUP BY product) r JOIN (VALUES "
+                                   + ", ".join(f"({sql_str(p)}, {sql_str(t)}, {sql_str(d)}, {u})" for p, t, d, u in FV.PRODUCTS)
+                                   + ") p(product, product_type, description, use_llm) ON p.product = r.product")),
     "a1_csv_roundtrip": (_a1, with_base("SELECT platform, author, rating, review_text FROM reviews")),
     "a4_a7_layer_catalogue": (_a7, with_base("SELECT product, count(*) AS records FROM reviews GROUP BY product")),
     "a5_read_responses": (_a5, QE._with("\nSELECT file, method, count(*) AS objects FROM parsed GROUP BY file, method")),

@@ -32,6 +32,9 @@ def _q(fn):
     return lambda spark, sf: fn(scored_layer(spark, sf))
 
 
+#: Platform dimension of the wide H11 table.
+PIVOT_PLATFORMS = [*M.FV.ADAPTER_PLATFORMS, "google_maps"]
+
 QUERIES = {
     "h1_kpis": (
         _q(M.kpis),
@@ -129,9 +132,9 @@ JOIN (SELECT DISTINCT product, platform FROM scored) p ON p.product = t.product
 LEFT JOIN c ON c.product = t.product AND c.theme = t.theme AND c.platform = p.platform"""),
     ),
     "h11_theme_platform_pivot": (
-        _q(M.theme_platform_pivot),
+        _q(lambda r: M.theme_platform_pivot(r, PIVOT_PLATFORMS)),
         with_base(f"""
-SELECT product, theme, {', '.join(f"CAST(coalesce(sum(CASE WHEN platform = '{p}' THEN 1 END), 0) AS BIGINT) AS {p}" for p in sorted(M.FV.ADAPTER_PLATFORMS))}
+SELECT product, theme, {', '.join(f"CAST(coalesce(sum(CASE WHEN platform = '{p}' THEN 1 END), 0) AS BIGINT) AS {p}" for p in sorted(PIVOT_PLATFORMS))}
 FROM ({EXPL}) GROUP BY product, theme"""),
     ),
     "h12_score_quartiles": (

@@ -54,7 +54,7 @@ def _app_store_raw(spark, sf):
 def _reddit_raw(spark, sf):
     c = table(spark, sf, "conversations")
     post = F.struct(
-        F.substring("text", 1, 40).alias("title"),
+        F.when(F.pmod("turn", F.lit(3)) == 0, F.col("text")).otherwise(F.substring("text", 1, 40)).alias("title"),
         F.when(F.pmod("turn", F.lit(3)) == 0, F.lit("")).otherwise(F.col("text")).alias("selftext"),
         (F.lit(1700000000) + F.col("conv_id") * 86400 + F.col("turn") * 60).cast("double").alias("created_utc"),
         F.col("role").alias("author"),
@@ -84,9 +84,9 @@ def _pages(spark, sf, kind):
             F.lit('"></div>')))
         card = F.concat(
             F.lit('<article data-service-review-card-paper="true"><h2 data-service-review-title-typography="true">'), _esc(title),
-            F.lit("</h2>"), rating, F.lit('<p data-service-review-text-typography="true">'), _esc(F.col("text")), F.lit("</p>"),
-            F.lit('<time datetime="'), F.date_format(_date(), "yyyy-MM-dd"), F.lit('T10:00:00.000Z"></time>'),
-            F.lit('<aside aria-label="Info for user_'), F.pmod("doc_id", F.lit(50)).cast("string"), F.lit('"></aside></article>'))
+            F.lit('<br></h2><img src="a.png" alt="">'), rating, F.lit('<input type="hidden"><p data-service-review-text-typography="true">'), _esc(F.col("text")), F.lit("<br></p>"),
+            F.lit('<p>unclosed<div class="x"><hr><time datetime="'), F.date_format(_date(), "yyyy-MM-dd"), F.lit('T10:00:00.000Z"></time>'),
+            F.lit('<aside aria-label="Info for user_'), F.pmod("doc_id", F.lit(50)).cast("string"), F.lit('"></aside></div></article>'))
     else:
         card = F.concat(
             F.lit('<div data-review-id="'), F.col("doc_id").cast("string"), F.lit('"><div class="d4r55">user_'),
@@ -94,7 +94,7 @@ def _pages(spark, sf, kind):
             F.when(F.pmod("doc_id", F.lit(4)) == 0, F.lit("")).otherwise(F.concat(
                 F.lit('<span aria-label="'), (F.pmod("doc_id", F.lit(5)) + 1).cast("string"), F.lit(' stars"></span>'))),
             F.lit('<span class="rsqaWe">'), (F.pmod("doc_id", F.lit(9)) + 1).cast("string"), F.lit(" weeks ago</span>"),
-            F.lit('<span class="wiI7pd">'), _esc(F.col("text")), F.lit("</span></div>"))
+            F.lit('<img src="a.png"><br><span class="wiI7pd">'), _esc(F.col("text")), F.lit("<br></span></div>"))
     # ten cards per page: a bounded group
     pages = d.groupBy(F.floor(F.col("doc_id") / 10).alias("page_id")).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("doc_id", card.alias("c")))), lambda x: x["c"]), "").alias("cards"))
@@ -102,6 +102,14 @@ def _pages(spark, sf, kind):
                         F.concat(F.lit("<html><body><main>"), F.col("cards"), F.lit("</main></body></html>")).alias("html"))
 
 
+def _carded_pages(spark, sf):
+    """The raw web pages, each with one review card (and void elements) before its own markup."""
+    card = F.concat(F.lit('<article data-service-review-card-paper="1"><img src="a.png"><h2 data-service-review-title-typography="1">Page '), F.col("page_id").cast("string"),
+                    F.lit('</h2><br><div data-service-review-rating="'), (F.pmod("page_id", F.lit(5)) + 1).cast("string"),
+                    F.lit('"></div><p data-service-review-text-typography="1">seen<br></p></article>'))
+    return table(spark, sf, "pages").select("page_id", "url", F.concat(card, F.coalesce("html", F.lit(""))).alias("html"))
+
+
 def _b7(spark, sf):
     prev = reviews(spark, sf).select("platform", "review_id", "review_text")
     new = (reviews(spark, sf).filter(F.col("platform").isin("reddit", "twitter"))
@@ -132,10 +140,10 @@ REDDIT_SQL = f"""SELECT platform, date, author, rating, review_text, source_url
   SELECT conv_id, turn, 'reddit' AS platform,
          strftime(make_timestamp(CAST((1700000000 + conv_id * 86400 + turn * 60) * 1000000 AS BIGINT)), '%Y-%m-%d') AS date,
          role AS author, CAST(NULL AS DOUBLE) AS rating,
-         {trim_sql("substr(text, 1, 40) || ' ' || CASE WHEN turn % 3 = 0 THEN '' ELSE text END")} AS review_text,
+         {trim_sql("CASE WHEN turn % 3 = 0 THEN text ELSE substr(text, 1, 40) || ' ' || text END")} AS review_text,
          'https://reddit.com/r/reviews/' || CAST(conv_id AS VARCHAR) || '/' || CAST(turn AS VARCHAR) AS source_url
   FROM conversations
-  WHERE length({trim_sql("CASE WHEN turn % 3 = 0 OR text = '' THEN substr(text, 1, 40) ELSE text END")}) >= 20)
+  WHERE length({trim_sql("text")}) >= 20)
 QUALIFY row_number() OVER (PARTITION BY review_text ORDER BY conv_id, turn) = 1"""
 
 TWITTER_SQL = f"""SELECT platform, date, author, rating, review_text, source_url FROM (
@@ -183,11 +191,9 @@ QUERIES = {
         _tp_sql(),
     ),
     "b3_raw_pages": (
-        lambda spark, sf: B.from_trustpilot_html(table(spark, sf, "pages")).drop("card"),
-        # the driver's pages carry no review-card markup: both engines must find none
-        """SELECT page_id, 'trustpilot' AS platform, CAST(NULL AS VARCHAR) AS date, CAST(NULL AS VARCHAR) AS author,
-  CAST(NULL AS DOUBLE) AS rating, CAST(NULL AS VARCHAR) AS review_text, url AS source_url
-FROM pages WHERE contains(html, 'data-service-review-card-paper')""",
+        lambda spark, sf: B.from_trustpilot_html(_carded_pages(spark, sf)).drop("card"),
+        """SELECT page_id, 'trustpilot' AS platform, '' AS date, '' AS author, CAST(page_id % 5 + 1 AS DOUBLE) AS rating,
+  'Page ' || CAST(page_id AS VARCHAR) || ' seen' AS review_text, url AS source_url FROM pages""",
     ),
     "b4_from_twitter": (lambda spark, sf: B.from_twitter(_twitter_raw(spark, sf)), TWITTER_SQL),
     "b5_from_maps_html": (

@@ -12,6 +12,7 @@ import os
 from pyspark.sql import functions as F
 
 from feedback_spark.operators.sentiment import score_lexicon_lane
+from feedback_spark.operators.themes import tag_themes
 from feedback_spark.plans.sql_base import base_ctes, scoring_ctes
 from feedback_spark.sources.testdata import reviews
 from feedback_spark.streaming import stream as S
@@ -32,17 +33,28 @@ def _m1(spark, sf):
     return spark.read.parquet(out).select("product", "review_text")
 
 
-def _m2(spark, sf):
+def _m2_stream(spark, sf):
     root, landing = _landed(spark, sf)
     s = S.read_landing(spark, landing)
     s = (s.withColumn("review_text", S.clean_text("review_text")).filter(F.length("review_text") > FV.MIN_TEXT_LEN_INGEST)
-         .withColumn("event_ts", F.coalesce(F.col("date"), F.lit("1970-01-01").cast("date")).cast("timestamp")))
-    scored = score_lexicon_lane(s)
+         .filter(F.col("date").isNotNull()).withColumn("event_ts", F.col("date").cast("timestamp")))
+    return root, s
+
+
+def _m2(spark, sf):
+    root, s = _m2_stream(spark, sf)
     out = os.path.join(root, "counts")
-    S.stream_counts(spark, scored, out, os.path.join(root, "ckpt"))
+    S.stream_counts(spark, score_lexicon_lane(s), out, os.path.join(root, "ckpt"))
     return S.read_latest(spark, out, ["product", "window_start", "sentiment"])
 
 
+def _m2_themes(spark, sf):
+    root, s = _m2_stream(spark, sf)
+    out = os.path.join(root, "counts")
+    S.stream_counts(spark, tag_themes(s), out, os.path.join(root, "ckpt"), counts=S.theme_window_counts)
+    return S.read_latest(spark, out, ["product", "window_start", "theme"])
+
+
 def _m3(spark, sf):
     root, landing = _landed(spark, sf)
     s = S.read_landing(spark, landing).withColumn("review_text", S.clean_text("review_text")).filter(
@@ -52,7 +64,7 @@ def _m3(spark, sf):
     return spark.read.parquet(done).select("product", "review_text", "enrich_status")
 
 
-def _m2_sql() -> str:
+def _m2_sql(value: str = "sentiment", source: str = "sc2") -> str:
     import re
 
     # same prefix as the batch plans, but scoring the cleaned rows before dedup;
@@ -64,12 +76,13 @@ def _m2_sql() -> str:
 cl2 AS (SELECT * FROM cleaned),
 {second}
 SELECT product, CAST(time_bucket(INTERVAL 30 DAY, CAST(date AS TIMESTAMP), TIMESTAMP '1970-01-01') AS DATE) AS window_start,
-       sentiment, count(*) AS n
-FROM sc2 GROUP BY ALL"""
+       {value}, count(*) AS n
+FROM {source} GROUP BY ALL"""
 
 
 QUERIES = {
     "m1_stream_ingest": (_m1, "WITH " + base_ctes() + "\nSELECT product, review_text FROM clean"),
     "m2_stream_counts": (_m2, _m2_sql()),
+    "m2_theme_counts": (_m2_themes, _m2_sql("theme", "(SELECT product, date, unnest(themes) AS theme FROM sc2)")),
     "m3_stream_enrich": (_m3, "WITH " + base_ctes() + "\nSELECT product, review_text, 'queued' AS enrich_status FROM clean"),
 }

@@ -36,8 +36,7 @@ def tfidf_sql(docs_sql: str, group: list[str], n: int, lo: int, hi: int, tag: st
 {tag}_gr AS (SELECT {g}, review_id, n_docs, unnest(list_concat({grams}, []::VARCHAR[])) AS term FROM {tag}_tok),
 {tag}_tf AS (SELECT {g}, review_id, term, count(*) AS tf, any_value(n_docs) AS n_docs FROM {tag}_gr GROUP BY {g}, review_id, term),
 {tag}_st AS (SELECT {g}, term, count(*) AS df, sum(tf) AS ttf, any_value(n_docs) AS n_docs FROM {tag}_tf GROUP BY {g}, term),
-{tag}_voc AS (SELECT * FROM {tag}_st WHERE df >= {FV.TFIDF_MIN_DF}
-  QUALIFY row_number() OVER (PARTITION BY {g} ORDER BY ttf DESC, term) <= {FV.TFIDF_MAX_TERMS}),
+{tag}_voc AS (SELECT * FROM {tag}_st WHERE df >= {FV.TFIDF_MIN_DF}),
 {tag}_w AS (SELECT {', '.join(f'a.{c}' for c in group)}, a.review_id, a.term,
   a.tf * (ln((b.n_docs + 1) / (b.df + 1)) + 1) AS w FROM {tag}_tf a JOIN {tag}_voc b ON {on} AND a.term = b.term),
 {tag}_wn AS (SELECT {g}, term, w / sqrt(sum(w * w) OVER (PARTITION BY {g}, review_id)) AS wn FROM {tag}_w),

@@ -115,6 +115,11 @@ FROM (SELECT product, {MONTH} AS period, sentiment, unnest(themes) AS theme FROM
         _q(lambda r: J.search_text(r, SEARCH_PATTERN).select("product", "review_id")),
         with_base(f"SELECT product, review_id FROM scored WHERE regexp_matches(review_text, {_ci_sql(SEARCH_PATTERN)})"),
     ),
+    "j2_search_boundaries": (
+        _q(lambda r: J.search_text(r, r"refund|\bslow|(\bapp|\bsync) ").select("product", "review_id")),
+        with_base("SELECT product, review_id FROM scored WHERE regexp_matches(lower(review_text), "
+                  r"'refund|(^|[^\p{L}\p{N}_])slow|(^|[^\p{L}\p{N}_])(app|sync) ')"),
+    ),
     "j2_search_literal": (
         _q(lambda r: J.search_text(r, "Edgewonk but", literal=True).select("product", "review_id")),
         with_base("SELECT product, review_id FROM scored WHERE contains(lower(review_text), 'edgewonk but')"),

@@ -3,39 +3,50 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str = "feedback_spark") -> SparkSession:
-    """Session with the settings the operators assume (AQE on, UTC, no UI).
+#: Query-level defaults; each is set only where the deployment (spark-submit, spark-defaults) has not.
+SQL_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.execution.arrow.pyspark.enabled": "true",
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+}
 
-    On a cluster the master and resources come from spark-submit; only the
-    query-level defaults are set here.
+
+def get_spark(master: str | None = None, shuffle_partitions: int | None = None, app: str = "feedback_spark") -> SparkSession:
+    """Session with the settings the operators assume (AQE on, UTC).
+
+    Master, memory and partition counts come from the deployment.  Of the
+    query-level defaults only those are set that the session's configuration
+    does not name; ``shuffle_partitions`` (for local runs) likewise yields to
+    an explicit ``spark.sql.shuffle.partitions``.
     """
     builder = SparkSession.builder.appName(app)
     if master:
-        builder = builder.master(master)
+        builder = builder.master(master).config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     event_log = os.environ.get("FEEDBACK_EVENT_LOG")  # optional: stage/task times for profiling
     if event_log:
         builder = builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log)
-    spark = (
-        builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.adaptive.advisoryPartitionSizeInBytes", os.environ.get("FEEDBACK_ADVISORY_PARTITION", "64m"))
-        .config("spark.sql.files.maxPartitionBytes", os.environ.get("FEEDBACK_MAX_PARTITION_BYTES", "128m"))
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.sql.streaming.stateStore.providerClass",
-                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("FEEDBACK_DRIVER_MEMORY", "16g"))
-        .getOrCreate()
-    )
+    memory = os.environ.get("FEEDBACK_DRIVER_MEMORY")  # local runs start the JVM themselves
+    if memory:
+        builder = builder.config("spark.driver.memory", memory)
+    spark = builder.getOrCreate()
+    given = spark.sparkContext.getConf()
+    wanted = dict(SQL_DEFAULTS)
+    if shuffle_partitions is not None:
+        wanted["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    for key, value in wanted.items():
+        if not given.contains(key):
+            spark.conf.set(key, value)
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 
@@ -43,11 +54,14 @@ def get_spark(master: str | None = None, shuffle_partitions: int = 8, app: str =
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    A cluster sets this to shared storage; it is only filled in here when
-    unset (local runs and tests), with a fresh scratch folder.
+    A cluster must set it to shared storage; only a local session (one
+    machine) gets a fresh scratch folder when it is unset.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = spark.sparkContext.master
+        if not re.match(r"local(\[|$)", master):
+            raise RuntimeError(f"spark.checkpoint.dir is not set; on {master} it must name a folder that all machines share")
         current = tempfile.mkdtemp(prefix="feedback-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
@@ -93,6 +107,21 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
+def input_state(spark: SparkSession, path: str) -> str:
+    """What identifies the present content of a table's folder or file: names, sizes and times of its files."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return ";".join(sorted(f"{s.getPath().getName()}:{s.getLen()}:{s.getModificationTime()}" for s in fs.listStatus(p)))
+
+
+def persisted(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back."""
+    path = f"{checkpoint_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never local)."""
     checkpoint_dir(df.sparkSession)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedback_spark.sources.payloads import REVIEW_SCHEMA
@@ -10,6 +10,11 @@ from feedback_spark.sources.payloads import REVIEW_SCHEMA
 CSV_OPTIONS = {"header": "true", "multiLine": "true", "escape": '"', "quote": '"', "mode": "PERMISSIVE"}
 
 
+def plain_path(col: str) -> Column:
+    """``_metadata.file_path`` as it is on disk: the reader gives it URL-encoded."""
+    return F.url_decode(F.replace(F.col(col), F.lit("+"), F.lit("%2B")))
+
+
 def read_reviews(spark: SparkSession, path: str, schema: str = REVIEW_SCHEMA) -> DataFrame:
     """A1: review CSV whose texts hold newlines, quotes and commas.
 
@@ -54,14 +59,13 @@ def read_responses(spark: SparkSession, glob: str) -> DataFrame:
     ``wholetext`` keeps a file in one row; the file name comes from the
     ``_metadata`` column and the batch number from its ``_bNN.json`` suffix.
     """
-    df = spark.read.text(glob, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("body"))
+    df = spark.read.text(glob, wholetext=True).select(plain_path("_metadata.file_path").alias("file"), F.col("value").alias("body"))
     return df.withColumn("batch_no", F.regexp_extract("file", r"_b(\d+)\.json$", 1).try_cast("long"))
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+def export_csv(df: DataFrame, path: str) -> None:
     """CSV export with a header and quoted fields (embedded quotes doubled)."""
-    out = df.coalesce(1) if single_file else df  # single_file only for small, already-filtered exports
-    (out.write.mode("overwrite").option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path))
+    (df.write.mode("overwrite").option("header", "true").option("escape", '"').option("quoteAll", "false").csv(path))
 
 
 def catalogue(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFrame:
@@ -75,11 +79,14 @@ def catalogue(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
     listing = (spark.read.format("binaryFile").option("pathGlobFilter", pattern).option("recursiveFileLookup", "true")
                .load(root).select("path", "length", "modificationTime"))
     counts = (spark.read.options(**CSV_OPTIONS).option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).csv(root)
-              .select(F.col("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("records")))
+              .select(plain_path("_metadata.file_path").alias("path")).groupBy("path").agg(F.count("*").alias("records")))
+    bare = F.regexp_replace("path", "^(\\w+):/+", "$1:/")  # file:/x and file:///x are one path
+    counts, listing = counts.withColumn("path", bare), listing.withColumn("path", bare)
+    empty = F.when(F.col("length") == 0, F.lit(0))  # a file that the count did not match stays null otherwise
     return (listing.join(counts, "path", "left")
             .select(F.regexp_extract("path", r"^(.*)/[^/]+$", 1).alias("folder"),
                     F.regexp_extract("path", r"([^/]+)$", 1).alias("file"),
-                    F.coalesce("records", F.lit(0)).alias("records"),
+                    F.coalesce("records", empty).alias("records"),
                     F.round(F.col("length") / 1024, 1).alias("size_kb"), F.col("modificationTime").alias("modified")))
 
 

@@ -16,89 +16,87 @@ from pyspark.sql import DataFrame
 
 OUT_SCHEMA = ("page_id long, card int, platform string, date string, author string, rating double, "
               "review_text string, source_url string")
+# Class names and labels of the review pages' markup.
 _STAR = re.compile(r"(\d+)\s+star")
 _MAPS_TEXT = re.compile(r"review-full-text|wiI7pd|Jtu6Td")
 _MAPS_DATE = re.compile(r"dehysf|rsqaWe")
 _MAPS_AUTHOR = re.compile(r"d4r55|TSUbDb")
 _MAPS_ITEM = re.compile(r"review-item|jJc9Ad|WMbnJf")
+_MAPS_ID = re.compile(r"<div\b[^>]*\sdata-review-id", re.I)
+# HTML elements that have no end tag.
+_VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
 
 
 class _Cards(HTMLParser):
-    """Collect per-card fields; ``kind`` selects the markup rules."""
+    """Collect per-card fields; ``kind`` selects the markup rules, ``by_id`` what opens a map card."""
 
-    def __init__(self, kind: str):
+    def __init__(self, kind: str, by_id: bool = True):
         super().__init__(convert_charrefs=True)
-        self.kind = kind
+        self.kind, self.by_id = kind, by_id
         self.cards: list[dict] = []
-        self.card_depth = 0
-        self.depth = 0
-        self.capture: list[tuple[str, int]] = []  # (field, depth at open)
+        self.open: list[tuple[str, str | None]] = []  # tags not closed yet, each with the field it captures ("card": the card)
 
-    def _attrs(self, attrs):
-        return {k: (v if v is not None else "") for k, v in attrs}
+    def _opens_card(self, tag: str, a: dict) -> bool:
+        if self.kind == "trustpilot":
+            return tag == "article" and "data-service-review-card-paper" in a
+        return tag == "div" and ("data-review-id" in a if self.by_id else bool(_MAPS_ITEM.search(a.get("class", ""))))
 
-    def handle_starttag(self, tag, attrs):
-        a = self._attrs(attrs)
-        self.depth += 1
-        if self.card_depth == 0:
-            if self.kind == "trustpilot" and tag == "article" and "data-service-review-card-paper" in a:
-                self._open()
-            elif self.kind == "google_maps" and tag == "div" and ("data-review-id" in a or _MAPS_ITEM.search(a.get("class", ""))):
-                self._open()
-            return
-        card = self.cards[-1]
-        cls = a.get("class", "")
+    def _field(self, tag: str, a: dict, card: dict) -> str | None:
+        """The field whose text this element holds; values held in attributes are stored at once."""
+        cls, label = a.get("class", ""), a.get("aria-label", "")
         if self.kind == "trustpilot":
-            if tag == "div" and "data-service-review-rating" in a and "rating" not in card:
-                card["rating"] = a["data-service-review-rating"]
-            elif tag == "p" and "data-service-review-text-typography" in a and "text" not in card:
-                self._cap("text")
-            elif tag == "h2" and "data-service-review-title-typography" in a and "title" not in card:
-                self._cap("title")
-            elif tag == "time" and "date" not in card:
-                card["date"] = a.get("datetime", "")[:10]
-            elif tag == "aside" and "author" not in card:
-                card["author"] = a.get("aria-label", "").replace("Info for ", "")
+            if tag == "div" and "data-service-review-rating" in a:
+                card.setdefault("rating", a["data-service-review-rating"])
+            elif tag == "time":
+                card.setdefault("date", a.get("datetime", "")[:10])
+            elif tag == "aside":
+                card.setdefault("author", label.replace("Info for ", ""))
+            field = {"p": "text" if "data-service-review-text-typography" in a else None,
+                     "h2": "title" if "data-service-review-title-typography" in a else None}.get(tag)
         else:
-            label = a.get("aria-label", "")
-            if "rating" not in card and _STAR.search(label):
-                card["rating"] = _STAR.search(label).group(1)
-            if tag == "span" and "text" not in card and ("data-expandable-section" in a or _MAPS_TEXT.search(cls)):
-                self._cap("text")
-            elif tag == "span" and "date" not in card and _MAPS_DATE.search(cls):
-                self._cap("date")
-            elif tag == "div" and "author" not in card and _MAPS_AUTHOR.search(cls):
-                self._cap("author")
-
-    def _open(self):
-        self.cards.append({})
-        self.card_depth = self.depth
-
-    def _cap(self, field):
-        self.cards[-1][field] = ""
-        self.capture.append((field, self.depth))
+            if star := _STAR.search(label):
+                card.setdefault("rating", star.group(1))
+            field = None
+            if tag == "span":
+                field = "expanded" if "data-expandable-section" in a else "text" if _MAPS_TEXT.search(cls) else "date" if _MAPS_DATE.search(cls) else None
+            elif tag == "div" and _MAPS_AUTHOR.search(cls):
+                field = "author"
+        return field if field not in card else None
+
+    def handle_starttag(self, tag, attrs):
+        a = {k: (v if v is not None else "") for k, v in attrs}
+        inside = any(f == "card" for _, f in self.open)
+        field = None
+        if inside:
+            field = self._field(tag, a, self.cards[-1])
+            if field:
+                self.cards[-1][field] = ""
+        elif self._opens_card(tag, a):
+            self.cards.append({})
+            field = "card"
+        if tag not in _VOID:
+            self.open.append((tag, field))
 
     def handle_endtag(self, tag):
-        while self.capture and self.capture[-1][1] >= self.depth:
-            self.capture.pop()
-        if self.card_depth and self.depth <= self.card_depth:
-            self.card_depth = 0
-            self.capture.clear()
-        self.depth = max(self.depth - 1, 0)
+        for i in range(len(self.open) - 1, -1, -1):
+            if self.open[i][0] == tag:  # also ends what was left open inside; an end tag of nothing is ignored
+                del self.open[i:]
+                return
 
     def handle_data(self, data):
-        if self.card_depth and self.capture:
-            for field, _ in self.capture:
+        for _, field in self.open:
+            if field and field != "card":
                 self.cards[-1][field] += data.strip()
 
 
-def parse_page(html: str, kind: str) -> list[dict]:
-    p = _Cards(kind)
-    try:
-        p.feed(html or "")
-        p.close()
-    except Exception:  # a broken page yields the cards read so far
-        pass
+def parse_page(html: str | None, kind: str) -> list[dict]:
+    """Cards of a page; a page cut short yields the cards read so far."""
+    p = _Cards(kind, by_id=bool(_MAPS_ID.search(html or "")))
+    p.feed(html or "")
+    p.close()
+    for card in p.cards:
+        if "expanded" in card:
+            card["text"] = card.pop("expanded")
     return p.cards
 
 

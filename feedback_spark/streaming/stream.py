@@ -24,34 +24,50 @@ from pyspark.sql import functions as F
 
 from feedback_spark import fixed_values as FV
 from feedback_spark.functions.text import clean_date, clean_rating, clean_text
-from feedback_spark.session import checkpoint_dir
+from feedback_spark.operators.enrich import text_key
+from feedback_spark.session import checkpoint_dir, path_exists
 
 REVIEW_STREAM_SCHEMA = ("review_id long, product string, product_type string, platform string, date date, author string, "
                         "rating double, review_text string, source_url string")
 
 
+#: How far behind the newest event a row may come.
+WATERMARK = "90 days"
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder for one run under the shared checkpoint folder."""
     root = checkpoint_dir(spark)
     return os.path.join(root, f"{name}-{uuid.uuid4().hex[:12]}")
 
 
-def read_landing(spark: SparkSession, landing: str, files_per_trigger: int = 1) -> DataFrame:
-    return (spark.readStream.schema(REVIEW_STREAM_SCHEMA).option("maxFilesPerTrigger", files_per_trigger)
-            .parquet(landing))
+def read_landing(spark: SparkSession, landing: str, files_per_trigger: int | None = None) -> DataFrame:
+    """Landed files as a stream; ``files_per_trigger`` (None: no limit) paces the micro-batches."""
+    reader = spark.readStream.schema(REVIEW_STREAM_SCHEMA)
+    if files_per_trigger is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_trigger)
+    return reader.parquet(landing)
+
+
+def _cleaned(s: DataFrame) -> DataFrame:
+    return (s.withColumn("review_text", clean_text("review_text")).withColumn("date", clean_date("date"))
+            .withColumn("rating", clean_rating("rating")).filter(F.length("review_text") > FV.MIN_TEXT_LEN_INGEST))
+
 
+def undated(s: DataFrame) -> DataFrame:
+    """M1, rows without a date: they have no event time, so they pass cleaned but not deduplicated, without state."""
+    return _cleaned(s).filter(F.col("date").isNull())
 
-def clean_stream(s: DataFrame, watermark: str = "36500 days") -> DataFrame:
+
+def clean_stream(s: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """M1 transformation: trim, coerce, length filter, late-safe dedup on (product, text).
 
     The dedup state is keyed by a 128-bit digest of the text (``text_key``),
     so the state store holds 16-byte keys instead of whole texts.  The
-    watermark bounds how long keys are kept; the default spans the test data's
-    event time so no row is dropped as late.
+    watermark bounds how long keys are kept: rows that come later than it are
+    dropped.  Rows without a date go by ``undated``.
     """
-    x = (s.withColumn("review_text", clean_text("review_text")).withColumn("date", clean_date("date"))
-         .withColumn("rating", clean_rating("rating")).filter(F.length("review_text") > FV.MIN_TEXT_LEN_INGEST)
-         .withColumn("event_ts", F.coalesce(F.col("date"), F.lit("1970-01-01").cast("date")).cast("timestamp"))
+    x = (_cleaned(s).filter(F.col("date").isNotNull()).withColumn("event_ts", F.col("date").cast("timestamp"))
          .withColumn("text_key", F.unhex(F.md5("review_text"))))
     return (x.withWatermark("event_ts", watermark).dropDuplicatesWithinWatermark(["product", "text_key"])
             .drop("text_key"))
@@ -64,18 +80,32 @@ def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str) -> Non
     q.awaitTermination()
 
 
-def window_counts(s: DataFrame, width: str = "30 days", watermark: str = "36500 days") -> DataFrame:
+def window_counts(s: DataFrame, width: str = "30 days", watermark: str = WATERMARK) -> DataFrame:
     """M2 transformation: (product, window, sentiment) counts."""
     return (s.withWatermark("event_ts", watermark)
             .groupBy("product", F.window("event_ts", width).alias("w"), "sentiment").agg(F.count("*").alias("n"))
             .select("product", F.col("w.start").cast("date").alias("window_start"), "sentiment", "n"))
 
 
-def stream_counts(spark: SparkSession, scored_stream: DataFrame, out: str, ckpt: str, width: str = "30 days") -> None:
+def theme_window_counts(s: DataFrame, width: str = "30 days", watermark: str = WATERMARK) -> DataFrame:
+    """M2 transformation: (product, window, theme) counts of a stream with ``themes``."""
+    return (s.withWatermark("event_ts", watermark).select("product", "event_ts", F.explode("themes").alias("theme"))
+            .groupBy("product", F.window("event_ts", width).alias("w"), "theme").agg(F.count("*").alias("n"))
+            .select("product", F.col("w.start").cast("date").alias("window_start"), "theme", "n"))
+
+
+def append_counts(counts: DataFrame, out: str, ckpt: str) -> None:
+    """M2 in append mode: a window is written once, when the watermark has passed its end."""
+    (counts.writeStream.format("parquet").option("path", out).option("checkpointLocation", ckpt).outputMode("append")
+     .trigger(availableNow=True).start().awaitTermination())
+
+
+def stream_counts(spark: SparkSession, scored_stream: DataFrame, out: str, ckpt: str, width: str = "30 days",
+                  counts=window_counts) -> None:
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (window_counts(scored_stream, width).writeStream.outputMode("update").foreachBatch(sink)
+    q = (counts(scored_stream, width).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -93,11 +123,9 @@ def stream_enrich(spark: SparkSession, stream: DataFrame, done_path: str, ckpt:
     def sink(batch: DataFrame, batch_id: int) -> None:
         # one row per text inside the micro-batch, smallest id first (partial-aggregated)
         fresh = batch.groupBy("product", "review_text").agg(F.min("review_id").alias("review_id"))
-        try:
-            done = spark.read.parquet(done_path).select("product", "review_text")
-            fresh = fresh.join(done, ["product", "review_text"], "left_anti")
-        except Exception:  # first batch: nothing enriched yet
-            pass
+        if path_exists(spark, done_path):  # else the first batch: nothing enriched yet
+            done = spark.read.parquet(done_path).select("product", text_key().alias("_key"))
+            fresh = fresh.withColumn("_key", text_key()).join(done, ["product", "_key"], "left_anti").drop("_key")
         (fresh.withColumn("batch_id", F.lit(batch_id)).withColumn("enrich_status", F.lit("queued"))
          .write.mode("append").parquet(done_path))
 

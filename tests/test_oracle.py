@@ -6,12 +6,13 @@ Set FEEDBACK_TEST_SF=/root/testdata/sf0.01 for the driver's scale.
 import pytest
 
 import __spark_entry__ as E
+from feedback_spark.plans.registry import all_queries
 from feedback_spark.plans.compare import compare, duck
 
 from conftest import SF_ORACLE
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {name: spec[0] for name, spec in all_queries().items()}
+SQL = {name: spec[1] for name, spec in all_queries().items() if spec[1] is not None}
 
 
 @pytest.fixture(scope="module")

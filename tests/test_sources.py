@@ -79,3 +79,36 @@ def test_html_jobs(spark):
     assert [(r.review_text, r.rating) for r in tp] == [("Good Fast & easy", 4.0), ("No rating card", None), ("T", None)]
     mp = from_maps_html(pages).collect()
     assert [(r.review_text, r.rating, r.author, r.date) for r in mp] == [("Driver was on time", 5.0, "Bo", "2 weeks ago")]
+
+
+VOID = """<main><article data-service-review-card-paper="1"><img src="a.png"><p data-service-review-text-typography="1">one<br>two<br></p>
+<p>unclosed<time datetime="2026-03-04T00:00:00Z"></article>
+<article data-service-review-card-paper="1"><input><div><hr><p data-service-review-text-typography="1">second<img></p></div></article>
+<article data-service-review-card-paper="1"><h2 data-service-review-title-typography="1">third</h2></b></article></main>"""
+VOID_MAPS = """<div data-review-id="1"><br><span class="wiI7pd">cut text</span><span data-expandable-section="">the whole long text</span></div>
+<div class="jJc9Ad"><span class="wiI7pd">no card, since ids are on the page</span></div>
+<div data-review-id="2"><img src="x"><div><span class="wiI7pd">another long text<br></span></div></div>"""
+
+
+def test_void_elements_keep_every_card():
+    cards = parse_page(VOID, "trustpilot")
+    assert [c.get("text", c.get("title")) for c in cards] == ["onetwo", "second", "third"] and cards[0]["date"] == "2026-03-04"
+    assert [c["text"] for c in parse_page(VOID_MAPS, "google_maps")] == ["the whole long text", "another long text"]
+    by_class = VOID_MAPS.replace(" data-review-id", " class=\"review-item\" data-x")
+    assert len(parse_page(by_class, "google_maps")) == 3
+    assert parse_page("", "trustpilot") == parse_page(None, "google_maps") == []
+
+
+def test_paths_with_spaces(spark):
+    import os
+    from pyspark.sql import functions as F
+    from feedback_spark.sources import files as A
+    from feedback_spark.streaming.stream import work_dir
+
+    root = os.path.join(work_dir(spark, "spaces"), "a b+c")
+    A.write_layer(spark.createDataFrame([("Country Delight", "x"), ("B", "y"), ("B", "z")], "product string, review_text string").coalesce(1), root, "product", "csv")
+    got = {r["folder"].rsplit("=", 1)[1]: r["records"] for r in A.catalogue(spark, root).collect()}
+    assert got == {"Country Delight": 1, "B": 2}
+    spark.createDataFrame([("[]",)], "value string").coalesce(1).write.text(os.path.join(root, "country delight_response_b01.json"))
+    raw = A.read_responses(spark, os.path.join(root, "country delight_response_b01.json"))
+    assert raw.select(F.col("file").contains("a b+c/country delight_response_b01.json")).first()[0]
