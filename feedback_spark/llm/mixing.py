@@ -2,8 +2,8 @@
 
 1. A word classifier (naive Bayes, words of the labelled table's commonest
    ``MOST_WORDS``) is fitted on a labelled table by one aggregate.
-2. Each document gets posteriors over the domains: its words' log weights are
-   looked up in the broadcast word table (bounded) and added up per document,
+2. Each document gets posteriors over the domains: the log weights of its words
+   in the broadcast word table (bounded) are added up per document,
    tempered so that a long text counts as ``EVIDENCE`` words at most.
 3. Rates r >= lower minimise the squared gap between the expected domain token
    totals sum(n * p_d * r) and the targets, by projected gradient.  A step is a
@@ -30,8 +30,14 @@ MARK = "\x00"
 
 
 def words_of(text: Column) -> Column:
-    """Lower-case runs of letters (and empty strings at cuts)."""
-    return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"[^\p{L}]+")
+    """Lower-case runs between white space (an empty string where white space begins or ends the text)."""
+    return F.split(F.lower(F.coalesce(text.cast("string"), F.lit(""))), r"\s+")
+
+
+def number_of(words: Column) -> Column:
+    """Words without the empty strings at the ends."""
+    n = F.size(words)
+    return (n - (F.element_at(words, 1) == "").cast("int") - ((n > 1) & (F.element_at(words, -1) == "")).cast("int")).cast("long")
 
 
 class Classifier:
@@ -42,9 +48,10 @@ class Classifier:
 
 
 def fit_classifier(labelled: DataFrame, most_labelled: int = MOST_LABELLED, most_words: int = MOST_WORDS) -> Classifier | None:
-    """From ``labelled`` (text, domain): at most ``most_labelled`` rows in hash order; None without any labelled row."""
-    rows = labelled.select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("domain").cast("string").alias("domain")).where("domain is not null")
-    sample = materialise(rows.select("domain", "text", F.xxhash64("text", "domain").alias("h")).orderBy("h").limit(most_labelled).select("domain", "text"), "labelled")
+    """From ``labelled`` (text, domain): about ``most_labelled`` rows at most, drawn in place; None without any labelled row."""
+    rows = labelled.where("domain is not null").select(F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"), F.col("domain").cast("string").alias("domain"))
+    n = rows.count()
+    sample = materialise(rows if n <= most_labelled else rows.where(F.rand(13) < most_labelled / n), "labelled")
     shares = {r["domain"]: r["count"] for r in sample.groupBy("domain").count().orderBy(F.desc("count"), "domain").collect()}  # at most most_labelled rows
     if not shares:
         return None
@@ -59,18 +66,21 @@ def fit_classifier(labelled: DataFrame, most_labelled: int = MOST_LABELLED, most
     totals = counts.agg(F.count("*").alias("v"), *[F.coalesce(F.sum(f"c_{i}"), F.lit(0)).alias(f"c_{i}") for i in range(len(domains))]).first()
     weights = [F.log((F.col(f"c_{i}") + 0.5) / F.lit(totals[f"c_{i}"] + 0.5 * totals["v"] + 0.5)).alias(f"w_{i}") for i in range(len(domains))]
     table = materialise(counts.select("word", *weights), "weights")
-    return Classifier(table, domains, [math.log(shares[d] / sum(shares.values())) for d in domains])
+    none = table.sparkSession.createDataFrame([(MARK, *[0.0] * len(domains))], table.schema)  # finds every document once
+    return Classifier(table.where(F.col("word") != MARK).unionByName(none), domains, [math.log(shares[d] / sum(shares.values())) for d in domains])
 
 
 def posteriors(docs: DataFrame, model: Classifier, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per (doc_id, text_hash): copies (equal rows), n_tokens (words of one copy), p (array, adds up to 1)."""
     k = len(model.domains)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    words = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), F.explode(F.concat(F.array(F.lit(MARK)), words_of(F.col(text)))).alias("word"))
-    known = words.join(F.broadcast(model.words), "word", "left")  # at most MOST_WORDS rows
+    split = docs.select(F.col(doc_id).alias("doc_id"), F.xxhash64(whole).alias("text_hash"), words_of(F.col(text)).alias("words"))
+    words = split.select("doc_id", "text_hash", number_of(F.col("words")).alias("n"), F.explode(F.concat(F.array(F.lit(MARK)), F.col("words"))).alias("word"))
+    known = words.join(F.broadcast(model.words), "word")  # at most MOST_WORDS rows; other words weigh nothing
+    mark = F.col("word") == MARK
     sums = known.groupBy("doc_id", "text_hash").agg(
-        F.count(F.when(F.col("word") == MARK, 1)).alias("copies"), F.count(F.when((F.col("word") != MARK) & (F.col("word") != ""), 1)).alias("n"),
-        F.count("w_0").alias("hits"), *[F.coalesce(F.sum(f"w_{i}"), F.lit(0.0)).alias(f"s_{i}") for i in range(k)])
+        F.count(F.when(mark, 1)).alias("copies"), F.sum(F.when(mark, F.col("n"))).alias("n"), F.count(F.when(~mark, 1)).alias("hits"),
+        *[F.sum(f"w_{i}").alias(f"s_{i}") for i in range(k)])
     sums = sums.withColumn("scale", F.when(F.col("hits") > 0, F.lit(1.0) / F.greatest(F.col("copies").cast("double"), F.col("hits") / EVIDENCE)).otherwise(F.lit(0.0)))
     logit = F.array(*[F.lit(model.prior[i]) + F.col(f"s_{i}") * F.col("scale") for i in range(k)])
     odds = F.transform("logit", lambda x: F.exp(x - F.array_max("logit")))
@@ -141,8 +151,8 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
     model = fit_classifier(labelled)
     if model is None:
         whole = F.coalesce(F.col("text").cast("string"), F.lit(""))
-        n = F.size(F.filter(words_of(F.col("text")), lambda w: w != "")).cast("long")
-        return docs.select("doc_id", F.xxhash64(whole).alias("text_hash"), n.alias("n_tokens"), F.lit("all").alias("domain"),
+        split = docs.select("doc_id", F.xxhash64(whole).alias("text_hash"), words_of(F.col("text")).alias("words"))
+        return split.select("doc_id", "text_hash", number_of(F.col("words")).alias("n_tokens"), F.lit("all").alias("domain"),
                            F.array(F.lit(1.0)).alias("p"), F.array(F.lit("all")).alias("domains"), F.lit(1.0).alias("rate"))
     table = materialise(posteriors(docs, model), "posteriors", rows=2 * docs.count())
     steps, _ = solve(table, model.domains, targets, flatten, lower, upper)

@@ -9,7 +9,7 @@ from feedback_spark.llm.common import fold, table
 from feedback_spark.llm import language_id
 from feedback_spark.llm.ann import nearest_neighbours
 from feedback_spark.llm.exact_topk import exact_topk
-from feedback_spark.llm.mixing import mix
+from feedback_spark.llm.mixing import MOST_LABELLED, mix
 from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
 from feedback_spark.llm.simhash import near_duplicates
@@ -44,10 +44,15 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def labelled_domains(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The labelled table of the mixing: text and domain (language and quality class) of the documents in ``labels``."""
-    quality = table(spark, sf_dir, "labels").where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    """The labelled table of the mixing: text and domain (language and quality class) of documents in ``labels``.
+
+    The first ``MOST_LABELLED`` labels in hash order are looked up in the
+    documents (a broadcast of their ids), so no texts are shuffled.
+    """
+    quality = table(spark, sf_dir, "labels").where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    picked = quality.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MOST_LABELLED)
     docs = table(spark, sf_dir, "documents").where(F.col("lang").isNotNull()).select("doc_id", "text", "lang")
-    return docs.join(quality, "doc_id").select("text", F.concat_ws("/", "lang", F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("domain"))
+    return docs.join(F.broadcast(picked), "doc_id").select("text", F.concat_ws("/", "lang", F.when(F.col("quality") == 1, "good").otherwise("poor")).alias("domain"))
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
