@@ -13,6 +13,7 @@ string-aware brace scan), so Python touches only damaged files.
 from __future__ import annotations
 
 import json
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -188,47 +189,46 @@ def assemble_agents(r: DataFrame, answers: DataFrame) -> DataFrame:
 
 
 # ---------------------------------------------------------------- responses
+_DECODER = json.JSONDecoder()
+
+
 def _salvage(body: str | None) -> list[str] | None:
-    """Repair a damaged JSON array: try closing suffixes, then scan for objects."""
+    """K10 + K11: every complete object of a damaged array, in order.
+
+    The decoder reads one value from each brace after the first bracket; it
+    knows about strings and nesting, so what is left over is only text between
+    objects and an object that the end of the body cuts off.
+    """
     if body is None:
         return None
-    start = body.find("[")
-    if start < 0:
-        return []
-    cand = body[start:]
-    for suffix in ("", "]", "\n]", ",null]"):
+    found: list[str] = []
+    at = body.find("[")
+    while at >= 0 and (at := body.find("{", at)) >= 0:
         try:
-            val = json.loads(cand + suffix)
+            value, end = _DECODER.raw_decode(body, at)
         except ValueError:
-            continue
-        if isinstance(val, list):
-            return [json.dumps(o) for o in val if isinstance(o, dict)]
-    out, depth, begin, in_str, esc = [], 0, -1, False, False
-    for i, ch in enumerate(cand):
-        if in_str:
-            if esc:
-                esc = False
-            elif ch == "\\":
-                esc = True
-            elif ch == '"':
-                in_str = False
-            continue
-        if ch == '"':
-            in_str = depth > 0
-        elif ch == "{":
-            if depth == 0:
-                begin = i
-            depth += 1
-        elif ch == "}" and depth > 0:
+            end = _past_broken_object(body, at)
+            value = None
+        if isinstance(value, dict):
+            found.append(json.dumps(value))
+        at = end
+    return found
+
+
+def _past_broken_object(body: str, at: int) -> int:
+    """Where to go on after an object that does not parse: its closing brace, or the end if there is none."""
+    for m in _TOKENS.finditer(body, at):
+        if m[0] == "{":
+            depth = depth + 1 if m.start() > at else 1
+        elif m[0] == "}":
             depth -= 1
             if depth == 0:
-                try:
-                    val = json.loads(cand[begin:i + 1])
-                    if isinstance(val, dict):
-                        out.append(cand[begin:i + 1])
-                except ValueError:
-                    pass
-    return out
+                return m.end()
+    return len(body)
+
+
+#: A string (also one that never ends) or a brace outside strings.
+_TOKENS = re.compile(r'"(?:[^"\\]|\\.)*(?:"|$)|[{}]', re.S)
 
 
 def _salvage_batch(bodies: pa.Array) -> pa.Array:

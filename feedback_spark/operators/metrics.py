@@ -192,13 +192,13 @@ def platform_summary(r: DataFrame, key: str = "platform") -> DataFrame:
 
 def theme_platform_matrix(r: DataFrame) -> DataFrame:
     """Theme x platform counts incl. zeros; all-zero themes dropped (long form)."""
-    counts = theme_mentions(r, ["platform"])
-    themes = counts.select(P, "theme").distinct()
-    plats = r.select(P, "platform").distinct()
-    grid = themes.join(plats, P)  # equi-join on product: (themes x platforms) per product, small
-    return grid.join(counts, [P, "theme", "platform"], "left").select(
-        P, "theme", "platform", F.coalesce("mentions", F.lit(0)).cast("long").alias("mentions")
-    )
+    # one pass: the theme '' stands for the platform itself, so that platforms without themes are known too
+    every = F.explode(F.concat(F.coalesce("themes", F.array().cast("array<string>")), F.array(F.lit("")))).alias("theme")
+    counts = r.filter(F.col("platform").isNotNull()).select(P, "platform", every).groupBy(P, "theme", "platform").agg(F.count("*").alias("mentions"))
+    platforms = counts.groupBy(P).agg(F.collect_set("platform").alias("platforms"))  # the platform dimension of a product
+    found = counts.filter(F.col("theme") != "").groupBy(P, "theme").agg(F.map_from_entries(F.collect_list(F.struct("platform", "mentions"))).alias("m"))
+    grid = found.join(platforms, P).select(P, "theme", F.explode("platforms").alias("platform"), "m")
+    return grid.select(P, "theme", "platform", F.coalesce(F.element_at("m", F.col("platform")), F.lit(0)).cast("long").alias("mentions"))
 
 
 def theme_platform_pivot(r: DataFrame, platforms: list[str]) -> DataFrame:

@@ -58,11 +58,15 @@ def test_with_seq_dense(spark):
         assert p.lo == 1 and p.hi == p.n == p.d
 
 
-def test_tfidf_same_without_broadcast(spark, monkeypatch):
+def test_tfidf_same_without_broadcast(spark):
     from feedback_spark.operators import phrases as PH
 
     r = scored_layer(spark, SF)
     a = sorted(map(tuple, PH.top_phrases(r, ["product"], 10, (1, 2)).collect()))
-    monkeypatch.setattr(PH, "MAX_BROADCAST_ROWS", 0)      # forces the shuffle-join path
-    b = sorted(map(tuple, PH.top_phrases(r, ["product"], 10, (1, 2)).collect()))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # forces the shuffle-join path
+    try:
+        b = sorted(map(tuple, PH.top_phrases(r, ["product"], 10, (1, 2)).collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b and len(a) > 0

@@ -31,22 +31,16 @@ def _first_counts(items):
 
 
 def test_feature_requests(spark):
-    rows = sorted(_rows(spark), key=lambda r: r.review_id)
-    req, sup = re.compile(FV.FEATURE_REQUEST_PATTERN, re.I), re.compile(FV.REQUEST_SUPPRESS_PATTERN, re.I)
-    got = {}
-    for r in G.feature_requests(scored_layer(spark, SF), n=6).collect():
-        got.setdefault(r.product, []).append((r.snippet, r.n))
-    for prod in {r.product for r in rows}:
-        items = []
-        for r in rows:
-            if r.product != prod or r.sentiment not in ("Negative", "Neutral"):
-                continue
-            for pos, sent in enumerate(re.split(r"[.!?\n]", r.review_text)):
-                s = sent.strip()
-                if req.search(s) and not sup.search(s) and 25 < len(s) < 180:
-                    items.append(((r.review_id, pos), s[:120]))
-        want = _first_counts(items)[:6]
-        assert [tuple(x) for x in got.get(prod, [])] == want, prod
+    """Rows of FIXTURES.md section 6, with the answer worked out by hand."""
+    ask = "It would be nice if it had dark mode"
+    rows = [
+        ("P", 1, "Neutral", f"Fine so far. {ask}."), ("P", 2, "Negative", f"{ask}! Thanks"), ("P", 3, "Positive", f"{ask}."),
+        ("P", 4, "Neutral", "would be nice if so"), ("P", 5, "Neutral", f"It would be nice if it had {'very ' * 40}long lists"),
+        ("P", 6, "Negative", "Please add support for more brokers in the next version"), ("Q", 7, "Neutral", "Nothing is asked for in this text"),
+    ]
+    df = spark.createDataFrame(rows, "product string, review_id long, sentiment string, review_text string")
+    got = [(r.product, r.rank, r.snippet, r.n, r.first_review_id) for r in G.feature_requests(df).orderBy("rank").collect()]
+    assert got == [("P", 1, ask, 2, 1), ("P", 2, rows[5][3], 1, 6)]
 
 
 def test_churn_sentences(spark):
