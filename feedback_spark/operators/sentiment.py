@@ -27,6 +27,10 @@ from feedback_spark.functions.regex import LEXICON_TOKEN, portable
 from feedback_spark.functions.text import label, label_to_score
 
 
+#: Marks a word in capitals on its way to the scorer.
+CAPS_MARK = "^"
+
+
 def lexicon_table(spark) -> DataFrame:
     return spark.createDataFrame(FV.DEFAULT_LEXICON, "token string, valence double")
 
@@ -60,6 +64,8 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
         n_rows = len(tokens)
         lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = pc.list_flatten(tokens)
+        caps = pc.fill_null(pc.starts_with(flat, CAPS_MARK), False).to_numpy(zero_copy_only=False)
+        flat = pc.utf8_ltrim(flat, characters=CAPS_MARK)
         total = len(flat)
         if total == 0:
             return pa.array(np.zeros(n_rows), pa.float64())
@@ -72,7 +78,9 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
         valence[has] = val_np[pc.drop_null(idx).to_numpy()]
         def member(values):
             return pc.fill_null(pc.is_in(flat, value_set=values), False).to_numpy(zero_copy_only=False)
-        bst = (member(up).astype(np.float64) - member(down).astype(np.float64)) * FV.BOOSTER_STEP
+        is_up, is_down = member(up), member(down)
+        bst = (is_up.astype(np.float64) - is_down.astype(np.float64)) * FV.BOOSTER_STEP + (is_up | is_down) * caps * FV.CAPS_STEP
+        least, spared = member(pa.array(["least"])), member(pa.array(FV.LEAST_SPARED))
         isneg = member(neg)
         boost = np.zeros(total)
         negated = np.zeros(total, dtype=bool)
@@ -84,7 +92,12 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
             prev_n[d:] = isneg[:-d]
             boost += np.where(ok, prev_b * scales[d - 1], 0.0)
             negated |= ok & prev_n
+        boost += caps * FV.CAPS_STEP
         v = np.where(valence > 0, valence + boost, np.where(valence < 0, valence - boost, 0.0))
+        prev_least, prev_spared = np.zeros(total, dtype=bool), np.zeros(total, dtype=bool)
+        prev_least[1:] = least[:-1] & (pos[1:] >= 1)
+        prev_spared[2:] = spared[:-2] & (pos[2:] >= 2)
+        v = np.where(prev_least & ~prev_spared, v * FV.NEGATION_SCALE, v)
         v = np.where(negated, v * FV.NEGATION_SCALE, v)
         is_but = pc.fill_null(pc.equal(flat, "but"), False).to_numpy(zero_copy_only=False)
         first_but = np.full(n_rows, np.iinfo(np.int64).max)
@@ -106,18 +119,23 @@ def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text
     ship_package(r.sparkSession)
     keys, vals = _load_lexicon(lexicon)
     fn = F.arrow_udf(_token_valence_sum(keys, vals), "double")
-    tokens = F.regexp_extract_all(F.lower(F.col(text)), F.lit(LEXICON_TOKEN), 0)
-    relevant = set(keys) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | {"but"}
+    raw = F.regexp_extract_all(F.col(text), F.lit(LEXICON_TOKEN), 0)
+    relevant = set(keys) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | set(FV.LEAST_SPARED) | {"but", "least"}
     # positions matter, words outside the rule vocabulary do not: they cross to
     # Python as nulls (a hash-set test in the JVM), which shrinks the Arrow batches
-    tokens = F.transform(tokens, lambda t: F.when(t.isin(sorted(relevant)), t))
-    s = fn(tokens)
+    words = sorted(relevant)
+    shouted = lambda t: (t == F.upper(t)) & (t != F.lower(t))
+    r = r.withColumn("_raw", raw).withColumn("_caps", F.size(F.filter("_raw", shouted)))
+    # capitals stress a word only where the text is not all in capitals
+    mixed = (F.col("_caps") > 0) & (F.col("_caps") < F.size("_raw"))
+    s = fn(F.transform("_raw", lambda t: F.when(F.lower(t).isin(words), F.concat(F.when(mixed & shouted(t), F.lit(CAPS_MARK)).otherwise(F.lit("")), F.lower(t)))))
     bangs = F.least(F.length(text) - F.length(F.regexp_replace(F.col(text), "!", "")), F.lit(FV.EXCLAIM_MAX))
-    amp = bangs * FV.EXCLAIM_STEP
+    asks = F.length(text) - F.length(F.replace(F.col(text), F.lit("?"), F.lit("")))
+    amp = bangs * FV.EXCLAIM_STEP + F.when(asks > FV.QUESTION_MANY, F.lit(FV.QUESTION_MOST)).when(asks > 1, asks * FV.QUESTION_STEP).otherwise(F.lit(0.0))
     s2 = F.when(s > 0, s + amp).when(s < 0, s - amp).otherwise(s)
     compound = s2 / F.sqrt(s2 * s2 + F.lit(FV.COMPOUND_ALPHA))
     compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), compound))
-    return r.withColumn("sentiment_raw", F.round(compound, 4))
+    return r.withColumn("sentiment_raw", F.round(compound, 4)).drop("_raw", "_caps")
 
 
 def rating_sentiment(rating: Column) -> tuple[Column, Column]:

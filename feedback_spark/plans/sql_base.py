@@ -61,7 +61,8 @@ def _booster(expr: str) -> str:
 def scoring_ctes(src: str = "clean1", out: str = "scored") -> str:
     """D1-D5 + E2 over CTE ``src`` (columns of the review schema)."""
     boost = " + ".join(
-        f"(CASE WHEN p > {d} THEN {_booster(f't[p - {d}]')} * {FV.BOOSTER_DISTANCE_SCALE[d - 1]} ELSE 0.0 END)"
+        f"(CASE WHEN p > {d} THEN ({_booster(f't[p - {d}]')} + CASE WHEN mixed AND u[p - {d}] AND {_booster(f't[p - {d}]')} <> 0 "
+        f"THEN {FV.CAPS_STEP} ELSE 0.0 END) * {FV.BOOSTER_DISTANCE_SCALE[d - 1]} ELSE 0.0 END)"
         for d in (1, 2, 3)
     )
     neg = " OR ".join(f"(p > {d} AND t[p - {d}] IN {sql_in(FV.NEGATION_WORDS)})" for d in (1, 2, 3))
@@ -72,22 +73,28 @@ def scoring_ctes(src: str = "clean1", out: str = "scored") -> str:
     )
     thr = FV.LABEL_THRESHOLD
     return f"""{lexicon_values()},
-toks AS (SELECT product, review_id, regexp_extract_all(lower(review_text), {sql_str(LEXICON_TOKEN)}) AS t FROM {src}),
-tk AS (SELECT product, review_id, t, unnest(t) AS tok, generate_subscripts(t, 1) AS p FROM toks),
+toks AS (SELECT product, review_id, list_transform(rt, lambda x: lower(x)) AS t, u, len(list_filter(u, lambda x: x)) BETWEEN 1 AND len(u) - 1 AS mixed
+         FROM (SELECT *, list_transform(rt, lambda x: x = upper(x) AND x <> lower(x)) AS u
+               FROM (SELECT product, review_id, regexp_extract_all(review_text, {sql_str(LEXICON_TOKEN)}) AS rt FROM {src}))),
+tk AS (SELECT product, review_id, t, u, mixed, unnest(t) AS tok, generate_subscripts(t, 1) AS p FROM toks),
 tv AS (
-  SELECT tk.product, tk.review_id, tk.p, lex.valence AS v0, ({boost}) AS boost, ({neg}) AS negated,
+  SELECT tk.product, tk.review_id, tk.p, lex.valence AS v0, ({boost}) + (CASE WHEN mixed AND u[p] THEN {FV.CAPS_STEP} ELSE 0.0 END) AS boost, ({neg}) AS negated,
+         (p > 1 AND t[p - 1] = 'least' AND NOT (p > 2 AND t[p - 2] IN {sql_in(FV.LEAST_SPARED)})) AS leastly,
          coalesce(list_position(tk.t, 'but'), 0) AS fb
   FROM tk JOIN lex ON lex.token = tk.tok),
 tv2 AS (
   SELECT product, review_id,
          (CASE WHEN v0 > 0 THEN v0 + boost ELSE v0 - boost END)
-         * (CASE WHEN negated THEN {FV.NEGATION_SCALE} ELSE 1.0 END)
+         * (CASE WHEN leastly THEN {FV.NEGATION_SCALE} ELSE 1.0 END) * (CASE WHEN negated THEN {FV.NEGATION_SCALE} ELSE 1.0 END)
          * (CASE WHEN fb > 0 AND p < fb THEN {FV.BUT_BEFORE} WHEN fb > 0 AND p > fb THEN {FV.BUT_AFTER} ELSE 1.0 END) AS v
   FROM tv),
 tsum AS (SELECT product, review_id, sum(v) AS s FROM tv2 GROUP BY product, review_id),
 pol AS (
   SELECT c.*, coalesce(tsum.s, 0.0) AS s0,
-         least(length(c.review_text) - length(replace(c.review_text, '!', '')), {FV.EXCLAIM_MAX}) * {FV.EXCLAIM_STEP} AS amp
+         least(length(c.review_text) - length(replace(c.review_text, '!', '')), {FV.EXCLAIM_MAX}) * {FV.EXCLAIM_STEP}
+         + CASE WHEN length(c.review_text) - length(replace(c.review_text, '?', '')) > {FV.QUESTION_MANY} THEN {FV.QUESTION_MOST}
+                WHEN length(c.review_text) - length(replace(c.review_text, '?', '')) > 1
+                THEN (length(c.review_text) - length(replace(c.review_text, '?', ''))) * {FV.QUESTION_STEP} ELSE 0.0 END AS amp
   FROM {src} c LEFT JOIN tsum ON tsum.product = c.product AND tsum.review_id = c.review_id),
 pol2 AS (
   SELECT *, CASE WHEN s0 > 0 THEN s0 + amp WHEN s0 < 0 THEN s0 - amp ELSE s0 END AS s2 FROM pol),

@@ -7,12 +7,15 @@ from feedback_spark import fixed_values as FV
 from feedback_spark.operators.sentiment import lexicon_polarity
 
 LEX = dict(FV.DEFAULT_LEXICON)
-VOCAB = list(LEX) + FV.BOOSTER_UP + FV.BOOSTER_DOWN + FV.NEGATION_WORDS + ["but", "app", "the", "it"]
+VOCAB = list(LEX) + FV.BOOSTER_UP + FV.BOOSTER_DOWN + FV.NEGATION_WORDS + ["but", "app", "the", "it", "least", "at", "very"]
 
 
 def brute(text: str) -> float:
     import re
-    toks = re.findall(r"[\w']+", text.lower())
+    raw = re.findall(r"[\w']+", text)
+    toks = [t.lower() for t in raw]
+    shouts = [t.isupper() for t in raw]
+    mixed = 0 < sum(shouts) < len(raw)
     but = toks.index("but") if "but" in toks else None
     s = 0.0
     for i, t in enumerate(toks):
@@ -25,23 +28,35 @@ def brute(text: str) -> float:
                 continue
             p = toks[i - d]
             step = FV.BOOSTER_STEP if p in FV.BOOSTER_UP else -FV.BOOSTER_STEP if p in FV.BOOSTER_DOWN else 0.0
+            if step and mixed and shouts[i - d]:
+                step += 0.733
             boost += step * FV.BOOSTER_DISTANCE_SCALE[d - 1]
             neg = neg or p in FV.NEGATION_WORDS
+        boost += 0.733 if mixed and shouts[i] else 0.0
         v = v + boost if v > 0 else v - boost
+        if i and toks[i - 1] == "least" and not (i > 1 and toks[i - 2] in ("at", "very")):
+            v *= FV.NEGATION_SCALE
         if neg:
             v *= FV.NEGATION_SCALE
         if but is not None:
             v *= FV.BUT_BEFORE if i < but else FV.BUT_AFTER if i > but else 1.0
         s += v
     amp = min(text.count("!"), FV.EXCLAIM_MAX) * FV.EXCLAIM_STEP
+    asks = text.count("?")
+    amp += 0.96 if asks > 3 else 0.18 * asks if asks > 1 else 0.0
     s = s + amp if s > 0 else s - amp if s < 0 else s
     return round(max(-1.0, min(1.0, s / math.sqrt(s * s + FV.COMPOUND_ALPHA))), 4)
 
 
 def test_lexicon_matches_bruteforce(spark):
     rnd = random.Random(11)
-    texts = [" ".join(rnd.choice(VOCAB) for _ in range(rnd.randrange(0, 14))) + "!" * rnd.randrange(0, 6)
-             for _ in range(400)]
+    def word():
+        w = rnd.choice(VOCAB)
+        return w.upper() if rnd.random() < 0.3 else w.title() if rnd.random() < 0.1 else w
+
+    texts = [" ".join(word() for _ in range(rnd.randrange(0, 14))) + "!" * rnd.randrange(0, 6) + "?" * rnd.randrange(0, 6)
+             for _ in range(600)]
+    texts += [t.upper() for t in texts[:40]]
     df = spark.createDataFrame(list(enumerate(texts)), "review_id long, review_text string")
     got = {r.review_id: r.sentiment_raw for r in lexicon_polarity(df).collect()}
     for i, t in enumerate(texts):
