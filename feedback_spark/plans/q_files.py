@@ -24,7 +24,7 @@ def _a1(spark, sf):
     out = os.path.join(root, "reviews_csv")
     A.export_csv(reviews(spark, sf).select(*COLS), out)          # A6: texts hold newlines, quotes, commas
     back = A.read_reviews(spark, out)                             # A1: multi-line aware, fixed schema
-    return back.select("platform", "author", "rating", "review_text")
+    return back.select("platform", F.col("date").cast("string").alias("date"), "author", "rating", "review_text", "source_url")
 
 
 def _a7(spark, sf):
@@ -54,8 +54,7 @@ def _a8(spark, sf):
     root = work_dir(spark, "prompts")
     prompts = K.batch_prompts(QE.enrich_input(spark, sf), products(spark), QE.BATCH)
     A.write_prompts(prompts, os.path.join(root, "prompts"))
-    back = spark.read.text(os.path.join(root, "prompts"), wholetext=True)
-    return back.groupBy("product").agg(F.count("*").alias("files"))
+    return spark.read.parquet(os.path.join(root, "prompts")).select("product", "batch_no", "prompt")
 
 
 def _a2(spark, sf):
@@ -78,9 +77,8 @@ QUERIES = {
     "a3_products": (_a3, with_base("SELECT r.product, p.product_type, p.description, p.use_llm, r.reviews FROM (SELECT product, count(*) AS reviews FROM reviews GROUP BY product) r JOIN (VALUES "
                                    + ", ".join(f"({sql_str(p)}, {sql_str(t)}, {sql_str(d)}, {u})" for p, t, d, u in FV.PRODUCTS)
                                    + ") p(product, product_type, description, use_llm) ON p.product = r.product")),
-    "a1_csv_roundtrip": (_a1, with_base("SELECT platform, author, rating, review_text FROM reviews")),
+    "a1_csv_roundtrip": (_a1, with_base("SELECT platform, CAST(date AS VARCHAR) AS date, author, rating, review_text, source_url FROM reviews")),
     "a4_a7_layer_catalogue": (_a7, with_base("SELECT product, count(*) AS records FROM reviews GROUP BY product")),
     "a5_read_responses": (_a5, QE._with("\nSELECT file, method, count(*) AS objects FROM parsed GROUP BY file, method")),
-    "a8_write_prompts": (_a8, QE._with("""
-SELECT product, count(DISTINCT (review_seq - 1) // 5) AS files FROM seqd GROUP BY product""")),
+    "a8_write_prompts": (_a8, f"SELECT product, batch_no, prompt FROM ({QE._prompts_sql(QE.BATCH, True)})"),
 }

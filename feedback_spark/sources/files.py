@@ -91,6 +91,11 @@ def catalogue(spark: SparkSession, root: str, pattern: str = "*.csv") -> DataFra
 
 
 def write_prompts(prompts: DataFrame, path: str) -> None:
-    """One text file set per batch (partitioned by product and batch)."""
-    (prompts.select("product", "batch_no", "prompt").write.mode("overwrite")
-     .partitionBy("product", "batch_no").text(path))
+    """The prompts as one table (product, batch_no, prompt), a folder per product."""
+    prompts.select("product", "batch_no", "prompt").write.mode("overwrite").partitionBy("product").parquet(path)
+
+
+def export_prompt(spark: SparkSession, table: str, product: str, batch_no: int, path: str) -> None:
+    """One batch's prompt of the table as a text file in ``path``."""
+    one = spark.read.parquet(table).filter((F.col("product") == product) & (F.col("batch_no") == batch_no)).select("prompt")
+    one.write.mode("overwrite").text(path)

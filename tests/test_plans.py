@@ -27,6 +27,10 @@ def _plan(df) -> str:
 def test_plan_properties(spark, name):
     plan = _plan(QUERIES[name](spark, SF_SMALL))
     assert "BatchEvalPython" not in plan, name
+    lines = plan.splitlines()
+    for i, line in enumerate(lines):  # a window over one partition: only C8's offsets, a row per partition
+        if " Window [" in line and any("Exchange SinglePartition" in x for x in lines[i + 1:i + 4]):
+            assert "_cnt" in line, (name, line)
     for schema in re.findall(r"ReadSchema: (struct<[^\]]*?>)(?:,|$|\])", plan):
         if "doc_id" in schema and "text" in schema:
             assert "lang" not in schema and "source:" not in schema, (name, schema)

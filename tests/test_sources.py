@@ -112,3 +112,15 @@ def test_paths_with_spaces(spark):
     spark.createDataFrame([("[]",)], "value string").coalesce(1).write.text(os.path.join(root, "country delight_response_b01.json"))
     raw = A.read_responses(spark, os.path.join(root, "country delight_response_b01.json"))
     assert raw.select(F.col("file").contains("a b+c/country delight_response_b01.json")).first()[0]
+
+
+def test_one_prompt_as_a_file(spark):
+    import os
+    from feedback_spark.sources import files as A
+    from feedback_spark.streaming.stream import work_dir
+
+    root = work_dir(spark, "prompts")
+    df = spark.createDataFrame([("Country Delight", 1, "a\nb"), ("Country Delight", 2, "c")], "product string, batch_no long, prompt string")
+    A.write_prompts(df, os.path.join(root, "table"))
+    A.export_prompt(spark, os.path.join(root, "table"), "Country Delight", 1, os.path.join(root, "one"))
+    assert [r["value"] for r in spark.read.text(os.path.join(root, "one"), wholetext=True).collect() if r["value"]] == ["a\nb\n"]
