@@ -166,16 +166,22 @@ def theme_summary(r: DataFrame) -> DataFrame:
     """H9: H8 columns for every taxonomy theme of the product, zeros kept."""
     from feedback_spark.operators.themes import theme_ord
 
-    spark = r.sparkSession
-    present = r.select(P, "product_type").distinct()
+    # one pass over the reviews; a product then is one row that holds its themes' figures (bounded by the taxonomy)
+    each = _with_mark(r, "product_type", "sentiment", "sentiment_score").groupBy(P, "theme").agg(
+        *sentiment_counts(), F.round(mean4("sentiment_score"), 3).alias("avg_sentiment"), F.collect_set("product_type").alias("types"))
+    names = ("total", "positive", "negative", "neutral", "avg_sentiment")
+    product = each.groupBy(P).agg(F.collect_list(F.struct("theme", *names)).alias("cells"), F.array_distinct(F.flatten(F.collect_list("types"))).alias("types"))
     # products x their taxonomy: bounded by (#products x themes per type)
-    grid = present.join(theme_ord(spark), "product_type")
-    stats = theme_stats(r).select(P, "theme", "total", "positive", "negative", "neutral", "avg_sentiment")
-    return grid.join(stats, [P, "theme"], "left").select(
-        P, "theme", "ord",
-        *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in ("total", "positive", "negative", "neutral")],
-        "avg_sentiment",
-    )
+    grid = product.select(P, "cells", F.explode("types").alias("product_type")).join(theme_ord(r.sparkSession), "product_type")
+    cell = F.try_element_at(F.filter("cells", lambda c: c["theme"] == F.col("theme")), F.lit(1))
+    found = grid.select(P, "theme", "ord", cell.alias("c"))
+    return found.select(P, "theme", "ord", *[F.coalesce(F.col(f"c.{c}"), F.lit(0)).cast("long").alias(c) for c in names[:4]], F.col("c.avg_sentiment").alias("avg_sentiment"))
+
+
+def _with_mark(r: DataFrame, *cols: str) -> DataFrame:
+    """One row per review and theme, and one with the theme '' for the review itself."""
+    themes = F.concat(F.coalesce("themes", F.array().cast("array<string>")), F.array(F.lit("")))
+    return r.select(P, *cols, F.explode(themes).alias("theme"))
 
 
 def platform_summary(r: DataFrame, key: str = "platform") -> DataFrame:
@@ -192,13 +198,13 @@ def platform_summary(r: DataFrame, key: str = "platform") -> DataFrame:
 
 def theme_platform_matrix(r: DataFrame) -> DataFrame:
     """Theme x platform counts incl. zeros; all-zero themes dropped (long form)."""
-    # one pass: the theme '' stands for the platform itself, so that platforms without themes are known too
-    every = F.explode(F.concat(F.coalesce("themes", F.array().cast("array<string>")), F.array(F.lit("")))).alias("theme")
-    counts = r.filter(F.col("platform").isNotNull()).select(P, "platform", every).groupBy(P, "theme", "platform").agg(F.count("*").alias("mentions"))
-    platforms = counts.groupBy(P).agg(F.collect_set("platform").alias("platforms"))  # the platform dimension of a product
-    found = counts.filter(F.col("theme") != "").groupBy(P, "theme").agg(F.map_from_entries(F.collect_list(F.struct("platform", "mentions"))).alias("m"))
-    grid = found.join(platforms, P).select(P, "theme", F.explode("platforms").alias("platform"), "m")
-    return grid.select(P, "theme", "platform", F.coalesce(F.element_at("m", F.col("platform")), F.lit(0)).cast("long").alias("mentions"))
+    # one pass over the reviews; a product then is one row that holds its cells (bounded by themes x platforms)
+    counts = _with_mark(r.filter(F.col("platform").isNotNull()), "platform").groupBy(P, "theme", "platform").agg(F.count("*").alias("mentions"))
+    product = counts.groupBy(P).agg(F.collect_list(F.struct("theme", "platform", "mentions")).alias("cells"), F.collect_set("platform").alias("platforms"),
+                                    F.collect_set(F.when(F.col("theme") != "", F.col("theme"))).alias("themes"))
+    grid = product.select(P, "cells", "platforms", F.explode("themes").alias("theme")).select(P, "cells", "theme", F.explode("platforms").alias("platform"))
+    cell = F.try_element_at(F.filter("cells", lambda c: (c["theme"] == F.col("theme")) & (c["platform"] == F.col("platform"))), F.lit(1))
+    return grid.select(P, "theme", "platform", F.coalesce(cell["mentions"], F.lit(0)).cast("long").alias("mentions"))
 
 
 def theme_platform_pivot(r: DataFrame, platforms: list[str]) -> DataFrame:

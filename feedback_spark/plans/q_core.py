@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from feedback_spark import fixed_values as FV
 from feedback_spark.functions.regex import sql_str
-from feedback_spark.functions.text import clean_date, clean_rating, clean_text, flatten_themes, label, label_to_score, parse_themes
+from feedback_spark.functions.text import clean_date, clean_rating, clean_text, label, label_to_score, parse_themes
 from feedback_spark.operators import clean as C
 from feedback_spark.operators import sentiment as D
 from feedback_spark.operators import themes as E

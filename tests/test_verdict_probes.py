@@ -160,3 +160,21 @@ def test_late_rows_and_evicted_state(spark):
     q = undated.writeStream.format("parquet").option("path", f"{out}-undated").option("checkpointLocation", f"{ckpt}-undated").trigger(availableNow=True).start()
     q.awaitTermination()
     assert [r["review_id"] for r in spark.read.parquet(f"{out}-undated").collect()] == [4]
+
+
+def test_grids_read_their_layer_once(spark):
+    from feedback_spark.plans.base import scored_layer
+
+    r = scored_layer(spark, "/root/testdata/sf0.001")
+    for df in (M.theme_summary(r), M.theme_platform_matrix(r)):
+        assert df._jdf.queryExecution().executedPlan().toString().count("FileScan parquet") == 1
+
+
+def test_no_machine_local_checkpoints_on_a_cluster():
+    from types import SimpleNamespace
+
+    from feedback_spark.session import checkpoint_dir
+
+    cluster = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(master="spark://host:7077"))
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(cluster)
