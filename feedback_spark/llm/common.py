@@ -33,15 +33,16 @@ def new_folder(spark: SparkSession, label: str) -> str:
 ROWS_A_TASK = 100_000
 
 
-def materialise(df: DataFrame, label: str, path: str | None = None, rows: int | None = None) -> DataFrame:
+def materialise(df: DataFrame, label: str, path: str | None = None, rows: int | None = None, codec: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared checkpoint folder and read it back (cuts the lineage).
 
     ``rows``: about how many rows a table just shuffled has at most; its last
     stage then runs in as many tasks as these need, and writes no tiny files.
+    ``codec``: the files' compression (None: the session's).
     """
     path = path or new_folder(df.sparkSession, label)
     out = df if rows is None else df.coalesce(max(1, -(-rows // ROWS_A_TASK)))
-    out.write.parquet(path)
+    out.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -33,6 +33,8 @@ from feedback_spark.llm.pretokens import worker_state
 
 #: Ids of a sequence, sequences of a shard, rounds of the Feistel network, shards that one task writes.
 LENGTH, SLOTS, ROUNDS, SHARDS_A_TASK = 512, 1024, 6, 8
+#: Compression of the sequences' and shards' tables.
+CODEC = "zstd"
 
 
 def encoding(ranks: bytes, pattern: str):
@@ -123,7 +125,7 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, end: int, key: str
     empty table gives an empty shard table; other columns are left out.
     """
     spark = docs.sparkSession
-    made = materialise(sequences(docs, ranks, pattern, end, text, doc_id, length), "sequences")
+    made = materialise(sequences(docs, ranks, pattern, end, text, doc_id, length), "sequences", codec=CODEC)
     counts = sorted((r["part"], r["count"]) for r in made.groupBy("part").count().collect())  # one row a task
     n = sum(c for _, c in counts)
     start, at = [], 0
@@ -156,36 +158,47 @@ def write_shards(docs: DataFrame, ranks: bytes, pattern: str, end: int, key: str
         if held:
             yield out(at, held)
 
-    dealt.mapInArrow(assemble, SHARD_SCHEMA).write.parquet(path)
+    dealt.mapInArrow(assemble, SHARD_SCHEMA).write.parquet(path, compression=CODEC)
     return n
 
 
 SHARD_SCHEMA = "shard long, first_slot long, n int, stride int, payload binary, doc_ids array<long>, seq_nos array<int>, sizes array<int>"
 
 
+def unpacked(shards: DataFrame, last: str) -> DataFrame:
+    """A row per sequence of shard rows, in slot order: slot, shard, doc_id, seq_no, n_tokens, and ``ids`` or ``crc``."""
+    python_ready(shards.sparkSession)
+
+    def cut(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+
+        for b in batches:
+            for at in range(b.num_rows):
+                row = b.slice(at, 1)
+                shard, first, n, stride = (row.column(c)[0].as_py() for c in ("shard", "first_slot", "n", "stride"))
+                whole = memoryview(row.column("payload")[0].as_buffer())
+                parts = [whole[k * stride:(k + 1) * stride] for k in range(n)]
+                given = pa.array([p.tobytes() for p in parts], pa.binary()) if last == "ids" else pa.array([zlib.crc32(p) for p in parts], pa.int64())
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(first, first + n), pa.int64()), pa.array(np.full(n, shard), pa.int64()), row.column("doc_ids").flatten(),
+                                                  row.column("seq_nos").flatten(), row.column("sizes").flatten(), given], ["slot", "shard", "doc_id", "seq_no", "n_tokens", last])
+
+    kind = {"ids": "binary", "crc": "long"}[last]
+    return shards.mapInArrow(cut, f"slot long, shard long, doc_id long, seq_no int, n_tokens int, {last} {kind}")
+
+
 def read_slots(spark: SparkSession, path: str, first: int = 0, last: int | None = None, slots: int = SLOTS) -> DataFrame:
     """slot, shard, doc_id, seq_no, n_tokens, ids (binary) of the slots first..last (ends included), to resume a run."""
     shards = spark.read.schema(SHARD_SCHEMA).parquet(path).where(F.col("shard") >= first // slots)
     if last is not None:
         shards = shards.where(F.col("shard") <= last // slots)
-    each = listed_slots(lambda i: F.substring(F.col("payload"), i * F.col("stride") + 1, F.col("stride")).alias("ids"))
-    rows = shards.select("shard", F.inline(each))
-    rows = rows.where(F.col("slot") >= first)
+    rows = unpacked(shards, "ids").where(F.col("slot") >= first)
     return rows if last is None else rows.where(F.col("slot") <= last)
 
 
-def listed_slots(last) -> Column:
-    """A shard's rows in slot order: slot, doc_id, seq_no, n_tokens and ``last(index)``."""
-    return F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.struct(
-        (F.col("first_slot") + i).alias("slot"), F.element_at("doc_ids", i + 1).alias("doc_id"), F.element_at("seq_nos", i + 1).alias("seq_no"),
-        F.element_at("sizes", i + 1).alias("n_tokens"), last(i)))
-
-
 def training_order(docs: DataFrame, ranks: bytes, pattern: str, end: int, key: str, length: int = LENGTH, slots: int = SLOTS, path: str | None = None) -> DataFrame:
     """Write the shards and read them back: slot, shard, doc_id, seq_no, n_tokens, crc (CRC-32 of the sequence's bytes in its shard)."""
     spark = docs.sparkSession
     path = path or new_folder(spark, "shards")
     write_shards(docs, ranks, pattern, end, key, path, length=length, slots=slots)
-    shards = spark.read.schema(SHARD_SCHEMA).parquet(path)
-    each = listed_slots(lambda i: F.crc32(F.substring(F.col("payload"), i * F.col("stride") + 1, F.col("stride"))).alias("crc"))
-    return shards.select("shard", F.inline(each)).select("slot", "shard", "doc_id", "seq_no", "n_tokens", "crc")
+    return unpacked(spark.read.schema(SHARD_SCHEMA).parquet(path), "crc")
