@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from feedback_spark.llm.common import materialise
+
 #: Queries of one pass over the candidates (their vectors are broadcast: bounded).
 QUERIES_A_PASS = 4096
 #: Candidates of one task at least (fewer tasks, fewer local results).
@@ -30,8 +32,8 @@ def usable(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 def passes(queries: DataFrame) -> Iterator[list[tuple[int, list[float]]]]:
     """The queries in bounded passes by a hash of their id: (vec_id, vector) lists; one vector an id (the smallest)."""
-    one = queries.groupBy("vec_id").agg(F.min("vector").alias("vector"))
-    n = queries.count()
+    one = materialise(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
+    n = one.count()
     slabs = max(1, -(-n // QUERIES_A_PASS))
     for k in range(slabs if n else 0):
         part = one.where(F.pmod(F.xxhash64("vec_id"), F.lit(slabs)) == k) if slabs > 1 else one

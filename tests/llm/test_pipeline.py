@@ -1,3 +1,4 @@
+import os
 import sys
 
 import pytest
@@ -8,7 +9,7 @@ from feedback_spark.llm.queries import TOXIC_FROM, toxic_model
 from feedback_spark.llm.secret_scan import thresholds, with_spans
 from feedback_spark.llm.toxicity import Folding, fold_text, scored
 
-sys.path.insert(0, "tests/llm")
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 SF = "/root/testdata/sf0.001"
 
 
