@@ -149,6 +149,20 @@ def entries_of(words: set[str]) -> set[str]:
     return out
 
 
+class Supported(dict):
+    """word -> the wanted entries that it supports, worked out once a word (bounded)."""
+
+    def __init__(self, wanted: frozenset):
+        super().__init__()
+        self.wanted = wanted
+
+    def __missing__(self, word: str) -> tuple[str, ...]:
+        if len(self) >= 200_000:
+            self.clear()
+        self[word] = out = tuple(e for e in entries_of({word}) if e in self.wanted)
+        return out
+
+
 def family(words: list[str]) -> int:
     """Smallest hash of the word 5-grams: copies with small edits mostly share it."""
     from xxhash import xxh64_intdigest
@@ -208,10 +222,11 @@ def documents_with(sample: DataFrame, label: int, wanted: frozenset | None = Non
         import pyarrow as pa
 
         n: Counter = Counter()
+        supported = None if wanted is None else Supported(wanted)
         for b in batches:
             for t in b.column(0).to_pylist():
-                mine = entries_of(set(t.split()))
-                n.update(mine if wanted is None else mine & wanted)
+                words = set(t.split())
+                n.update(entries_of(words) if supported is None else {e for w in words for e in supported[w]})
         yield pa.RecordBatch.from_arrays([pa.array(list(n), pa.string()), pa.array(list(n.values()), pa.int64())], ["entry", "n"])
 
     return sample.where(F.col("toxic") == label).select("folded").mapInArrow(count, "entry string, n long").groupBy("entry").agg(F.sum("n").alias("n"))
@@ -224,12 +239,13 @@ def families_with(sample: DataFrame, wanted: frozenset) -> dict[int, dict[str, t
         import pyarrow as pa
 
         most: dict = {}
+        supported = Supported(wanted)
         for b in batches:
             for label, t, f in zip(*(b.column(c).to_pylist() for c in ("toxic", "folded", "family")), strict=True):
-                n: Counter = Counter()
+                n: dict = {}
                 for w, k in Counter(t.split()).items():
-                    for e in entries_of({w}) & wanted:
-                        n[e] += k
+                    for e in supported[w]:
+                        n[e] = n.get(e, 0) + k
                 for e, k in n.items():
                     most[label, e, f] = max(k, most.get((label, e, f), 0))
         rows = list(most.items())
@@ -288,12 +304,12 @@ def learned_exceptions(sample: DataFrame, model: Model, least: int = 3) -> list[
     def around(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        weights = json.loads(spec)["weights"]
+        supported = Supported(frozenset(json.loads(spec)["weights"]))
         out: set = set()
         for b in batches:
             for label, t, f in zip(*(b.column(c).to_pylist() for c in ("toxic", "folded", "family")), strict=True):
                 w = t.split()
-                hit = {x for x in set(w) if not entries_of({x}).isdisjoint(weights)}
+                hit = {x for x in set(w) if supported[x]}
                 for x, y in zip(w, w[1:], strict=False):
                     if x in hit or y in hit:
                         out.add((f"{x} {y}", label, f))
