@@ -27,8 +27,8 @@ ACCESS = r"AKIA[A-Z0-9]{12,}+"
 HEX = r"[0-9a-f]{32,}+"
 ASSIGN_LEAST = 8
 KINDS = ("assign", "access", "hex", "random")
-#: A whole run of token characters: what the battery tests.
-RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_-]{20,}+={0,2}+"
+#: A whole run of token characters: what the battery tests.  A run may follow ``=``; ``=`` is padding only where no token character comes next.
+RUN = r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}+(?:={1,2}+(?![A-Za-z0-9+/_-]))?+"
 #: name -> (whole-run pattern, alphabet in order, chance that two symbols of ordinary text agree)
 ENCODINGS = {
     "hex": (r"[0-9a-f]+|[0-9A-F]+", "0123456789abcdef", 0.125),

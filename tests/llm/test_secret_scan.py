@@ -72,6 +72,23 @@ def test_battery_tells_random_runs_from_words(spark):
     assert all(s["start"] == 5 for s in spans) and len(spans) >= 0.7 * len(secrets)
 
 
+def test_runs_after_equals_ampersand_and_quotes(spark):
+    rng = random.Random(7)
+    key = lambda: "".join(rng.choices(string.ascii_letters + string.digits, k=40))
+    shapes = [("auth=", ""), ("https://host/x?a=1&sig=", "&b=2"), ("AWS_ACCESS_CREDENTIAL_VALUE=", ""), ('x="', '" y'), ("x='", "'"), ("a&", "&"), ("auth: ", ""), ("auth==", "=="), ("p=", "==&q=1"), ("é=", "=")]
+    rows = [(i, a, key(), b) for i, (a, b) in enumerate(shapes * 5)]
+    docs = spark.createDataFrame([(i, a + k + b) for i, a, k, b in rows], "doc_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in scan(docs).collect()}
+    hidden = {r["doc_id"]: r["text"] for r in redact(docs).collect()}
+    missed = 0
+    for i, a, k, b in rows:
+        pad = len(b) - len(b.lstrip("="))
+        assert {tuple(s) for s in got[i]} <= {(len(a), 3, len(a) + len(k) + pad)}  # the name before is no part of the run
+        missed += not got[i]
+        assert (k in hidden[i]) == (not got[i])
+    assert missed <= 0.1 * len(rows)
+
+
 def test_constant_and_short_runs_do_not_crash(spark):
     df = spark.createDataFrame([(t,) for t in ["====", "a" * 20, "A" * 25 + "==", "_" * 21, "0" * 5000]], "run string")
     assert all(r[0] is not None for r in df.select(p_values(F.array("run"))[0]).collect())
