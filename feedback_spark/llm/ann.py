@@ -10,7 +10,7 @@ Search: a query probes the lists of its nearest centroids.  Within a list the
 squared distances are added up one column block after the other; after each, a
 hypothesis test compares the partial distance, scaled up to all dimensions,
 with the k-th best so far, and gives up candidates that are larger beyond doubt
-(``DOUBT``).  Survivors get their exact distance from the original vectors.
+(``DOUBT``) and beyond the rounding of the stored blocks.  Survivors get their exact distance from the original vectors.
 """
 
 from __future__ import annotations
@@ -127,8 +127,15 @@ def build_index(table: DataFrame, vec_id: str = "vec_id", vector: str = "embeddi
     return Index(materialise(dealt.mapInArrow(block, "list int, n int, ids binary, turned binary, original binary"), "index"), centroids, n)
 
 
-def scan_list(ids, turned, original, q_id: int, q_turned, q, best: Best) -> None:
-    """Adaptive dimension scan of one block; scores in ``best`` are negative squared distances."""
+def norms(original):
+    """Lengths of the rows."""
+    import numpy as np
+
+    return np.sqrt((original * original).sum(1))
+
+
+def scan_list(ids, turned, original, sizes, q_id: int, q_turned, q, best: Best) -> None:
+    """Adaptive dimension scan of one block (``sizes``: its rows' lengths); scores in ``best`` are negative squared distances."""
     import numpy as np
 
     d = len(q)
@@ -136,12 +143,14 @@ def scan_list(ids, turned, original, q_id: int, q_turned, q, best: Best) -> None
     least = best.bound()
     if np.isfinite(least):
         part = np.zeros(len(live))
+        single = np.finfo(np.float32)  # ``turned`` was rounded to it: a distance is wrong by this much at most
+        slack = single.eps * (sizes[live] + np.sqrt(q @ q)) + single.smallest_subnormal * np.sqrt(d)
         for a in range(0, d - COLUMNS, COLUMNS):
             gap = turned[a:a + COLUMNS, live] - q_turned[a:a + COLUMNS, None]
             part += (gap * gap).sum(0)
             seen = a + COLUMNS
-            keep = part * (d / seen) <= -least * (1 + DOUBT / np.sqrt(seen)) ** 2
-            live, part = live[keep], part[keep]
+            keep = np.sqrt(part) <= np.sqrt(-least * seen / d) * (1 + DOUBT / np.sqrt(seen)) + slack
+            live, part, slack = live[keep], part[keep], slack[keep]
             if not len(live):
                 return
     gap = original[live] - q
@@ -179,8 +188,9 @@ def search(index: Index, queries: DataFrame, k: int, probed: float = PROBED) ->
                     ids = np.frombuffer(ids, np.int64)
                     turned = np.frombuffer(turned, np.float32).reshape(-1, n).astype(np.float64)
                     original = np.frombuffer(original, np.float64).reshape(n, -1)
+                    sizes = norms(original)
                     for j in by[at]:
-                        scan_list(ids, turned, original, q_ids[j], q_turned[j], q[j], best.setdefault(j, Best(k)))
+                        scan_list(ids, turned, original, sizes, q_ids[j], q_turned[j], q[j], best.setdefault(j, Best(k)))
             rows = [(q_ids[j], i, np.sqrt(-s)) for j, b in best.items() for s, i in zip(b.scores, b.ids.tolist(), strict=True)]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array([float(r[2]) for r in rows], pa.float64())], ["query_id", "vec_id", "score"])

@@ -113,6 +113,14 @@ def test_large_lists_are_dealt_over_tasks(spark, monkeypatch):
     assert index.table.agg(F.sum("n")).first()[0] == index.rows == 600
 
 
+def test_copies_over_several_blocks_keep_the_smaller_ids(spark, monkeypatch):
+    monkeypatch.setattr(ann, "BLOCK", 32)
+    ids = np.random.default_rng(6).permutation(np.arange(1000, 1400)).tolist()
+    copies = [(i, v) for v in ([float(x) for x in np.random.default_rng(8).standard_normal(64)],) for i in ids]
+    got = ann.nearest_neighbours(frame(spark, data(200, 64, 7) + copies), F.col("vec_id") == 1000, 10, probed=1.0).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(k, 1000 + k, 0.0) for k in range(1, 11)]
+
+
 def test_ann_recall(spark):
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
     ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
