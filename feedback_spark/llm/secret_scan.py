@@ -175,8 +175,10 @@ def with_spans(docs: DataFrame, limits: dict[int, int], text: str = "text", out:
     as_spans = lambda c, k: F.transform(c, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end")))
     chosen = F.filter("__random", lambda s, i: F.coalesce(F.element_at("__good", i + 1), F.lit(False)))
     placed_all = at.withColumns({"__base": F.concat(*[as_spans(F.col(f"__{k}"), i) for i, k in enumerate(KINDS[:3])]), "__added": as_spans(chosen, 3)})
-    alone = F.filter("__added", lambda s: ~F.exists("__base", lambda b: (b["start"] < s["end"]) & (s["start"] < b["end"])))
-    return placed_all.withColumn(out, F.sort_array(F.concat("__base", alone))).select(*docs.columns, out)
+    # how far the base spans, in order, cover the run from its start without a hole
+    reached = lambda s: F.aggregate(F.sort_array("__base"), s["start"], lambda a, b: F.when((b["start"] <= a) & (a < b["end"]), b["end"]).otherwise(a))
+    open_ = F.filter("__added", lambda s: reached(s) < s["end"])
+    return placed_all.withColumn(out, F.sort_array(F.concat("__base", open_))).select(*docs.columns, out)
 
 
 def listed(spans: Column, base_only: bool = False) -> Column:
@@ -190,8 +192,8 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     """One row per input row: ``keep`` columns and ``out``, the array of (start, rank of the kind, end).
 
     Base kinds: assign (group 2 of 8 or more characters), access, hex, each
-    leftmost and non-overlapping; random runs that the battery finds are added
-    unless they overlap a base span.  A null or empty text has no spans;
+    leftmost and non-overlapping; random runs (20 characters or more) that the
+    battery finds are added unless base spans cover them whole.  A null or empty text has no spans;
     repeated rows are scanned each; an empty table gives no rows.
     """
     limits = thresholds(docs, text, alpha)

@@ -89,6 +89,19 @@ def test_runs_after_equals_ampersand_and_quotes(spark):
     assert missed <= 0.1 * len(rows)
 
 
+def test_random_runs_go_only_where_base_spans_cover_them_whole(spark):
+    rng = random.Random(11)
+    key = lambda n: "".join(rng.choices(string.ascii_letters + string.digits, k=n))
+    hexes = lambda n: "".join(rng.choices("0123456789abcdef", k=n))
+    parts = [f"{key(30)}Z{hexes(32)}Z{key(30)}" for _ in range(20)] + [f"{key(40)}/AKIA{key(16).upper()}" for _ in range(20)]
+    covered = [f"token={key(40)}" for _ in range(20)]
+    docs = spark.createDataFrame([(i, f"see {t} end") for i, t in enumerate(parts + covered)], "doc_id long, text string")
+    got, hidden = {r["doc_id"]: r["spans"] for r in scan(docs).collect()}, {r["doc_id"]: r["text"] for r in redact(docs).collect()}
+    assert all(any(s["rank"] in (1, 2) for s in got[i]) for i in range(len(parts)))
+    assert sum(any((s["start"], s["rank"], s["end"]) == (4, 3, 4 + len(t)) for s in got[i]) and hidden[i] == "see [SECRET] end" for i, t in enumerate(parts)) >= 0.9 * len(parts)
+    assert all([s["rank"] for s in got[i]] == [0] for i in range(len(parts), len(parts + covered)))
+
+
 def test_constant_and_short_runs_do_not_crash(spark):
     df = spark.createDataFrame([(t,) for t in ["====", "a" * 20, "A" * 25 + "==", "_" * 21, "0" * 5000]], "run string")
     assert all(r[0] is not None for r in df.select(p_values(F.array("run"))[0]).collect())
