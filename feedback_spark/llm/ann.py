@@ -210,7 +210,8 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int, vec_id: str =
     rows but those of the query's own id; ties go to the smaller vec_id.  Rows
     without an id and vectors that are null, empty, zero or hold null or
     non-finite components take no part, nor do those of another dimension than
-    the commonest.  Repeated rows count once; fewer candidates than k in the
+    the commonest.  Rows that share an id count once, by the least distance over
+    all their vectors; fewer candidates than k in the
     probed lists give fewer rows unless all lists are probed; an empty table
     gives none.
     """

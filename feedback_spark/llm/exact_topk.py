@@ -83,8 +83,8 @@ def exact_topk(table: DataFrame, is_query: Column, k: int, vec_id: str = "vec_id
     ``is_query`` (over ``vec_id``), candidates all rows but those of the
     query's own id.  Rows without an id, and vectors that are null, empty or
     hold null or non-finite components, take no part; vectors of different
-    dimension never meet.  Repeated rows count once (an id's best score; as a
-    query its smallest vector); scores beyond a long are kept at its ends.
+    dimension never meet.  Rows that share an id count once, by the best score
+    over all their vectors, as queries and as candidates; scores beyond a long are kept at its ends.
     Fewer candidates than k give fewer rows, an empty table none.
     """
     spark = table.sparkSession

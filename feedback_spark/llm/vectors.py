@@ -31,13 +31,13 @@ def usable(table: DataFrame, vec_id: str, vector: str) -> DataFrame:
 
 
 def passes(queries: DataFrame) -> Iterator[list[tuple[int, list[float]]]]:
-    """The queries in bounded passes by a hash of their id: (vec_id, vector) lists; one vector an id (the smallest)."""
-    one = materialise(queries.groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
+    """The queries in bounded passes by a hash of both: (vec_id, vector) lists, each distinct one once (an id may have several)."""
+    one = materialise(queries.select("vec_id", "vector").distinct(), "queries")
     n = one.count()
     slabs = max(1, -(-n // QUERIES_A_PASS))
     for k in range(slabs if n else 0):
-        part = one.where(F.pmod(F.xxhash64("vec_id"), F.lit(slabs)) == k) if slabs > 1 else one
-        rows = part.orderBy("vec_id").collect()  # about QUERIES_A_PASS rows
+        part = one.where(F.pmod(F.xxhash64("vec_id", "vector"), F.lit(slabs)) == k) if slabs > 1 else one
+        rows = part.orderBy("vec_id", "vector").collect()  # about QUERIES_A_PASS rows
         if rows:
             yield [(r["vec_id"], r["vector"]) for r in rows]
 

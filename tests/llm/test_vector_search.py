@@ -1,5 +1,6 @@
 import math
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -121,6 +122,18 @@ def test_copies_over_several_blocks_keep_the_smaller_ids(spark, monkeypatch):
     assert sorted((r["rank"], r["vec_id"], r["score"]) for r in got) == [(k, 1000 + k, 0.0) for k in range(1, 11)]
 
 
+def test_every_vector_of_a_query_id_is_searched(spark, tmp_path):
+    rows = data(120, 8, 4) + [(i, [-3 * x for x in v]) for i, v in data(120, 8, 5)] + [(100, [5.0, 1.0]), (7, [0.5, 2.0])]
+    frame(spark, rows).write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = sorted(tuple(r[c] for c in ("query_id", "rank", "vec_id", "score")) for r in op5_exact_topk(spark, str(tmp_path)).collect())
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    assert got == sorted(con.execute(OP5_SQL).fetchall())
+    twins = [(0, [1.0, 1.0]), (0, [9.0, 9.0]), (1, [1.0, 1.0]), (2, [9.0, 9.0]), (3, [5.0, 5.5])]
+    near = ann.nearest_neighbours(frame(spark, twins), F.col("vec_id") == 0, 2).collect()
+    assert sorted((r["rank"], r["vec_id"], r["score"]) for r in near) == [(1, 1, 0.0), (2, 2, 0.0)]
+
+
 def test_ann_recall(spark):
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
     ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
