@@ -1,7 +1,7 @@
 """Approximate nearest neighbours: lists of nearby vectors, probed with an adaptive dimension scan.
 
-Index: k-means centroids of a bounded sample; every row goes to the list of its
-nearest centroid.  A list's vectors, turned by one random rotation, are stored
+Index: k-means centroids of a bounded sample, for each dimension its own; every
+row goes to the list of its dimension's nearest centroid.  A list's vectors, turned by one random rotation, are stored
 in blocks with the dimensions side by side (column blocks), beside the original
 vectors; large lists are dealt over several tasks.  The index is a Parquet
 table in the shared checkpoint folder.
@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from feedback_spark.llm.common import materialise, python_ready
 from feedback_spark.llm.vectors import BLOCK, Best, blocks, few_tasks, passes, ranked, usable
 
-#: Rows (on average) that the centroids are fitted on, k-means rounds, lists at most, rows a list should have.
+#: Rows (on average) that the centroids are fitted on, k-means rounds, lists of a dimension at most, rows a list should have.
 SAMPLE_ROWS, ROUNDS, MOST_LISTS, ROWS_A_LIST = 20_000, 8, 1024, 400
 #: Share of the lists that a query probes, and at least how many.
 PROBED, LEAST_PROBED = 0.75, 8
@@ -62,42 +62,50 @@ def k_means(x, lists: int, seed: int = 9):
 
 
 class Index:
-    """Blocks (list, ids, dimension, turned, original) as a table, and the centroids."""
+    """Blocks (list, n, ids, turned, original) as a table, and by dimension the number of its first list and the centroids."""
 
-    def __init__(self, table: DataFrame, centroids, rows: int):
+    def __init__(self, table: DataFrame, centroids: dict, rows: int):
         self.table, self.centroids, self.rows = table, centroids, rows
 
 
 def build_index(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", sample_rows: int = SAMPLE_ROWS) -> Index | None:
-    """Index of every usable row of the commonest dimension; None if there is none."""
+    """Index of every usable row; None if there is none."""
     import numpy as np
 
     spark = table.sparkSession
     python_ready(spark)
     rows = usable(table, vec_id, vector).where(F.exists("vector", lambda x: x != 0))
-    dims = rows.groupBy(F.size("vector").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
-    if dims is None:
+    dims = {r["d"]: r["count"] for r in rows.groupBy(F.size("vector").alias("d")).count().orderBy("d").collect()}  # a row for each dimension
+    if not dims:
         return None
-    d, n = dims["d"], dims["count"]
-    rows = rows.where(F.size("vector") == d)
-    part = rows.select("vector").where(F.rand(9) < min(1.0, sample_rows / n)).collect() or rows.select("vector").limit(sample_rows).collect()
-    sample = np.array([r["vector"] for r in part], np.float64)
-    sample /= max(np.abs(sample).max(), 1e-300)  # centroids are directions of a common scale; distances below use the rows' own
-    scale = float(np.abs(np.array([r["vector"] for r in part])).max())
-    centroids = k_means(sample, int(min(MOST_LISTS, max(1, n // ROWS_A_LIST)))) * scale
-    sent = spark.sparkContext.broadcast((centroids, rotation(d)))
+    n = sum(dims.values())
+    parts: dict[int, list] = {d: [] for d in dims}
+    for r in rows.select("vector").where(F.rand(9) < min(1.0, sample_rows / n)).collect():
+        parts[len(r["vector"])].append(r["vector"])
+    centroids, first = {}, 0
+    for d, part in parts.items():
+        sample = np.array(part or [[0.0] * d], np.float64)  # a dimension without a row in the sample has one list
+        scale = max(float(np.abs(sample).max()), 1e-300)  # centroids are directions of a common scale; distances below use the rows' own
+        c = k_means(sample / scale, int(min(MOST_LISTS, max(1, dims[d] // ROWS_A_LIST)))) * scale
+        centroids[d] = first, c
+        first += len(c)
+    sent = spark.sparkContext.broadcast(centroids)
 
     def assign(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
-        c, turn = sent.value
+        turns: dict = {}
         for ids, x in blocks(batches):
-            at = nearest(x, c).argmin(1)
-            turned = (x @ turn).astype(np.float32)
+            d = x.shape[1]
+            first, c = sent.value[d]
+            if d not in turns:
+                turns[d] = rotation(d)
+            at = first + nearest(x, c).argmin(1)
+            turned = (x @ turns[d]).astype(np.float32)
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(ids, pa.int64()), pa.array([r.tobytes() for r in turned], pa.binary()), pa.array([r.tobytes() for r in x], pa.binary())], ["list", "vec_id", "turned", "original"])
 
     assigned = materialise(rows.mapInArrow(assign, "list int, vec_id long, turned binary, original binary"), "assigned")
-    sizes = assigned.groupBy("list").count().collect()  # at most MOST_LISTS rows
+    sizes = assigned.groupBy("list").count().collect()  # at most MOST_LISTS rows a dimension
     deals = {r["list"]: -(-r["count"] // ROWS_A_DEAL) for r in sizes if r["count"] > ROWS_A_DEAL}
     parts = F.lit(1)
     if deals:
@@ -162,14 +170,23 @@ def search(index: Index, queries: DataFrame, k: int, probed: float = PROBED) ->
     import numpy as np
 
     spark = queries.sparkSession
-    d = index.centroids.shape[1]
-    turn = rotation(d)
     results = None
-    for slab in passes(queries.where(F.size("vector") == d)):
-        q = np.array([v for _, v in slab], np.float64)
-        n = min(len(index.centroids), max(LEAST_PROBED, int(np.ceil(probed * len(index.centroids)))))
-        lists = np.argsort(nearest(q, index.centroids), axis=1)[:, :n].astype(np.int32)
-        sent = spark.sparkContext.broadcast(([i for i, _ in slab], q, q @ turn, lists))
+    for slab in passes(queries):
+        by_size: dict[int, list] = {}
+        for i, v in slab:
+            by_size.setdefault(len(v), []).append((i, v))
+        q_ids, qs, q_turned, lists = [], [], [], []
+        for d, mine in by_size.items():
+            if d not in index.centroids:
+                continue
+            first, c = index.centroids[d]
+            q = np.array([v for _, v in mine], np.float64)
+            n = min(len(c), max(LEAST_PROBED, int(np.ceil(probed * len(c)))))
+            q_ids += [i for i, _ in mine]
+            qs += list(q)
+            q_turned += list(q @ rotation(d))
+            lists += (first + np.argsort(nearest(q, c), axis=1)[:, :n]).tolist()
+        sent = spark.sparkContext.broadcast((q_ids, qs, q_turned, lists))
 
         def probe(batches: Iterator, sent=sent) -> Iterator:
             import numpy as np
@@ -177,7 +194,7 @@ def search(index: Index, queries: DataFrame, k: int, probed: float = PROBED) ->
 
             q_ids, q, q_turned, lists = sent.value
             by: dict[int, list[int]] = {}
-            for j, row in enumerate(lists.tolist()):
+            for j, row in enumerate(lists):
                 for at in row:
                     by.setdefault(at, []).append(j)
             best: dict[int, Best] = {}
@@ -209,8 +226,8 @@ def nearest_neighbours(table: DataFrame, is_query: Column, k: int, vec_id: str =
     Queries are the rows with ``is_query`` (over ``vec_id``), candidates all
     rows but those of the query's own id; ties go to the smaller vec_id.  Rows
     without an id and vectors that are null, empty, zero or hold null or
-    non-finite components take no part, nor do those of another dimension than
-    the commonest.  Rows that share an id count once, by the least distance over
+    non-finite components take no part; vectors of different dimension never
+    meet.  Rows that share an id count once, by the least distance over
     all their vectors; fewer candidates than k in the
     probed lists give fewer rows unless all lists are probed; an empty table
     gives none.

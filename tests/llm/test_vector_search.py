@@ -134,6 +134,14 @@ def test_every_vector_of_a_query_id_is_searched(spark, tmp_path):
     assert sorted((r["rank"], r["vec_id"], r["score"]) for r in near) == [(1, 1, 0.0), (2, 2, 0.0)]
 
 
+def test_ann_searches_every_dimension(spark):
+    rows = data(300, 16, 1) + [(i + 1000, v) for i, v in data(120, 6, 2)] + [(i + 2000, v) for i, v in data(3, 2, 3)]
+    got = {tuple(r)[:3] for r in ann.nearest_neighbours(frame(spark, rows), F.col("vec_id") % 100 == 0, 10, probed=1.0).collect()}
+    want = {x[:3] for x in brute(rows, 100, 10, math.dist, False)}
+    assert {q for q, _, _ in got} == {0, 100, 200, 1000, 1100, 2000} and len(got) == len(want) == 52
+    assert {x for x in got if x[0] == 2000} == {x for x in want if x[0] == 2000} and len({x[::2] for x in got} & {x[::2] for x in want}) >= 0.9 * len(want)
+
+
 def test_ann_recall(spark):
     rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/embeddings.parquet").select("vec_id", "embedding").collect()]
     ids, x = np.array([i for i, _ in rows]), np.array([v for _, v in rows], float)
