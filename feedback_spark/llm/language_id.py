@@ -30,8 +30,8 @@ from feedback_spark.llm.pretokens import worker_state
 
 #: The labelled sample: documents of a language at most, characters of each, symbols of a language.
 DOCS_A_LANG, CHARS_A_DOC, SYMBOLS_A_LANG = 96, 2000, 32_768
-#: Cells of all automata together (bounds the memory of a worker: 4 bytes each), letters at most.
-CELLS, MOST_LETTERS = 24_000_000, 250
+#: Cells (4 bytes each) up to which all automata are one dense table; beyond, their transitions are hashed.
+CELLS = 24_000_000
 #: Symbols parsed on their own, and symbols of a batch.
 STRETCH, BATCH_SYMBOLS = 2048, 4_000_000
 UNKNOWN = "und"
@@ -73,8 +73,49 @@ def automaton(symbols: list[int]) -> list[dict[int, int]]:
     return move
 
 
+class Sparse:
+    """Transitions (key >= 0, next state) in an open-addressing hash table of 64-bit keys."""
+
+    def __init__(self, keys, values):
+        import numpy as np
+
+        bits = max(4, int(2 * len(keys)).bit_length())
+        self.mask, self.shift = (1 << bits) - 1, np.uint64(64 - bits)
+        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.int32)
+        slots = self.first(keys)
+        while len(keys):
+            free = np.flatnonzero(self.keys[slots] == -1)
+            at, one = np.unique(slots[free], return_index=True)  # one newcomer a free slot
+            self.keys[at], self.values[at] = keys[free[one]], values[free[one]]
+            left = self.keys[slots] != keys
+            keys, values, slots = keys[left], values[left], (slots[left] + 1) & self.mask
+
+    def first(self, keys):
+        import numpy as np
+
+        return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+
+    def get(self, keys, default):
+        """Next state of each key, ``default`` where there is none."""
+        import numpy as np
+
+        slots, out = self.first(keys), default.copy()
+        left = np.arange(len(keys))
+        while len(left):
+            seen = self.keys[slots]
+            hit = seen == keys
+            out[left[hit]] = self.values[slots[hit]]
+            more = ~hit & (seen != -1)
+            left, keys, slots = left[more], keys[more], (slots[more] + 1) & self.mask
+        return out
+
+
 class Parser:
-    """All languages' automata in one table: next state, or its complement where the symbol begins a phrase."""
+    """All languages' automata in one table: next state, or its complement where the symbol begins a phrase.
+
+    The table is dense up to ``CELLS`` cells, else hashed (an automaton of n
+    symbols has 3 n transitions at most, whatever the alphabet).
+    """
 
     def __init__(self, spec: dict):
         import numpy as np
@@ -82,21 +123,29 @@ class Parser:
         self.langs: list[str] = spec["langs"]
         self.letters = {c: i + 2 for i, c in enumerate(spec["letters"])}
         self.width = len(self.letters) + 2
-        sequences = [list(zlib.decompress(base64.b64decode(s))) for s in spec["sequences"]]
+        kind = np.dtype(spec.get("symbol", "u1"))
+        sequences = [np.frombuffer(zlib.decompress(base64.b64decode(s)), kind).tolist() for s in spec["sequences"]]
         self.bits = np.array([math.log2(len(s) + 1) for s in sequences])
         moves = [automaton(s) for s in sequences]
         self.roots = np.concatenate([[0], np.cumsum([len(m) for m in moves])])[:-1].astype(np.int32)
-        table = np.empty((sum(map(len, moves)), self.width), np.int32)
-        for root, move in zip(self.roots.tolist(), moves, strict=True):
-            start = np.full(self.width, ~root, np.int32)
+        states = sum(map(len, moves))
+        self.starts = np.repeat(~self.roots[:, None], self.width, axis=1)
+        keys, values = [], []
+        for i, (root, move) in enumerate(zip(self.roots.tolist(), moves, strict=True)):
             for c, to in move[0].items():
-                start[c] = ~(root + to)
+                self.starts[i, c] = ~(root + to)
             for s, out in enumerate(move):
-                table[root + s] = start
                 for c, to in out.items() if s else ():  # from the root every symbol begins a phrase
-                    table[root + s, c] = root + to
-        self.table = table.ravel()
-        points = np.zeros(0x110000, np.uint8)
+                    keys.append((root + s) * self.width + c)
+                    values.append(root + to)
+        keys, values = np.array(keys, np.int64), np.array(values, np.int32)
+        self.table = self.sparse = None
+        if states * self.width <= CELLS:
+            self.table = np.repeat(self.starts, [len(m) for m in moves], axis=0).ravel()
+            self.table[keys] = values
+        else:
+            self.sparse = Sparse(keys, values)
+        points = np.zeros(0x110000, kind)
         for p in range(0x110000):
             if not 0xD800 <= p < 0xE000 and (c := chr(p)).isalpha():
                 points[p] = self.letters.get(c, OTHER)
@@ -126,7 +175,7 @@ class Parser:
             return out
         order = sorted(range(len(parts)), key=lambda i: -len(parts[i]))
         lengths = np.array([len(parts[i]) for i in order])
-        grid = np.zeros((lengths[0], len(parts)), np.uint8)
+        grid = np.zeros((lengths[0], len(parts)), self.points.dtype)
         for col, i in enumerate(order):
             grid[:len(parts[i]), col] = parts[i]
         n = len(self.langs)
@@ -135,7 +184,11 @@ class Parser:
         active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # stretches longer than the step
         for step in range(lengths[0]):
             m = active[step]
-            got = self.table[state[:, :m] * self.width + grid[step, :m]]
+            if self.sparse:
+                key = state[:, :m].astype(np.int64) * self.width + grid[step, :m]
+                got = self.sparse.get(key.ravel(), self.starts[:, grid[step, :m]].ravel()).reshape(n, m)
+            else:
+                got = self.table[state[:, :m] * self.width + grid[step, :m]]
             sign = got >> 31
             begun[:, :m] -= sign
             state[:, :m] = got ^ sign
@@ -169,6 +222,8 @@ class Parser:
 
 def fit(docs: DataFrame, docs_a_lang: int = DOCS_A_LANG, chars_a_doc: int = CHARS_A_DOC, symbols_a_lang: int = SYMBOLS_A_LANG) -> dict:
     """Sample sequences and letters from ``docs`` (doc_id, text, lang): of each language the first documents in hash order."""
+    import numpy as np
+
     known = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").isNotNull())
     ids = known.select("doc_id", "lang").withColumn("h", F.xxhash64("doc_id")).withColumn("place", F.row_number().over(W.partitionBy("lang").orderBy("h", "doc_id")))
     ids = ids.where(F.col("place") <= docs_a_lang).select("doc_id", "lang", "place")  # the rank limit runs in each task before the shuffle
@@ -178,14 +233,14 @@ def fit(docs: DataFrame, docs_a_lang: int = DOCS_A_LANG, chars_a_doc: int = CHAR
     for r in sorted(rows, key=lambda r: (r["lang"], r["place"], r["text"])):
         by.setdefault(r["lang"], []).append(" ".join(letters_of(r["text"]).split()))
     by = {lang: texts for lang, texts in by.items() if any(texts)}
-    letters = [c for c, _ in sorted(Counter("".join("".join(t) for t in by.values()).replace(" ", "")).items(), key=lambda x: (-x[1], x[0]))][:MOST_LETTERS]
+    letters = [c for c, _ in sorted(Counter("".join("".join(t) for t in by.values()).replace(" ", "")).items(), key=lambda x: (-x[1], x[0]))]
     place = {c: i + 2 for i, c in enumerate(letters)}
-    size = min(symbols_a_lang, CELLS // (2 * (len(letters) + 2) * max(1, len(by))))
+    kind = "u1" if len(letters) + 2 <= 256 else "<u4"
     sequences = []
     for texts in by.values():
-        s = bytes(GAP if c == " " else place.get(c, OTHER) for c in " ".join(t for t in texts if t))
-        sequences.append(base64.b64encode(zlib.compress(s[:size])).decode())
-    return {"langs": list(by), "letters": "".join(letters), "sequences": sequences}
+        s = np.array([GAP if c == " " else place[c] for c in " ".join(t for t in texts if t)[:symbols_a_lang]], kind).tobytes()
+        sequences.append(base64.b64encode(zlib.compress(s)).decode())
+    return {"langs": list(by), "letters": "".join(letters), "symbol": kind, "sequences": sequences}
 
 
 def identify(docs: DataFrame, model: dict, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

@@ -43,6 +43,32 @@ def test_parse_agrees_with_substring_search(seed, monkeypatch):
         assert row == [sum(brute_phrases(c, s) for c in cuts) for s in (a, b)]
 
 
+def test_hashed_transitions_parse_like_the_dense_table(monkeypatch):
+    rng = random.Random(9)
+    model = model_of(x="".join(rng.choices("ab c", k=300)), y="".join(rng.choices("bcd ", k=300)), z="ab")
+    texts = [" ".join("".join(rng.choices("abcdz ", k=n)).split()) for n in (1, 9, 200, 3000)] + [""]
+    dense = L.Parser(model)
+    monkeypatch.setattr(L, "CELLS", 0)
+    sparse = L.Parser(model)
+    assert sparse.table is None and dense.sparse is None
+    assert (sparse.phrases([sparse.symbols(t) for t in texts]) == dense.phrases([dense.symbols(t) for t in texts])).all()
+
+
+def test_rare_letters_of_large_alphabets_tell_languages_apart(spark):
+    rng = random.Random(12)
+    letters = [chr(c) for c in range(0x4E00, 0x4E00 + 2000)]
+    rng.shuffle(letters)
+    sets = {f"l{i}": letters[100 * i:100 * i + 100] for i in range(20)}
+    text = lambda s, n: "".join(rng.choices(s, k=n))
+    rows = [(i * 100 + j, text(s, 1500), lang) for i, (lang, s) in enumerate(sets.items()) for j in range(10)]
+    model = L.fit(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert len(model["letters"]) == 2000
+    parser = L.Parser(model)
+    assert (parser.bits > np.log2(14_000)).all()  # ten texts of 1,500 letters, not cut
+    langs, _ = parser.judge([text(s, 200) for s in sets.values()])
+    assert langs == list(sets)
+
+
 def test_symbols_close_gaps():
     parser = L.Parser(model_of(x="ab"))
     assert parser.symbols("  A, b!?12 zé ").tolist() == [2, 0, 3, 0, 1, 1]
