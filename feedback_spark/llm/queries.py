@@ -13,6 +13,7 @@ from feedback_spark.llm.mixing import MOST_LABELLED, mix
 from feedback_spark.llm.packing import best_fit_pack, word_count
 from feedback_spark.llm.secret_scan import digest, scan
 from feedback_spark.llm.simhash import near_duplicates
+from feedback_spark.llm.spelling import spelling_variants
 from feedback_spark.llm.token_counts import count_tokens
 from feedback_spark.llm.token_shards import training_order
 from feedback_spark.llm.toxicity import Model, fit, toxicity
@@ -101,6 +102,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.withColumn("over_limit", F.col("n_tokens") > TOKEN_LIMIT)
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 #: Every query against every row: the same integers by brute force.
 OP5_SQL = """
 WITH usable AS (
@@ -131,4 +136,5 @@ QUERIES: dict = {
     "op8_best_fit_packing": (op8_best_fit_packing, None),
     "op9_token_shards": (op9_token_shards, None),
     "op10_token_counts": (op10_token_counts, None),
+    "op11_spelling_variants": (op11_spelling_variants, None),
 }
