@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedback_spark.llm.common import fold, table
+from feedback_spark.llm.common import fold, materialise, table
 from feedback_spark.llm import language_id
+from feedback_spark.llm.alignment import align, link_counts, score_links
 from feedback_spark.llm.ann import nearest_neighbours
+from feedback_spark.llm.bpe import decode, encode
 from feedback_spark.llm.exact_topk import exact_topk
 from feedback_spark.llm.mixing import MOST_LABELLED, mix
 from feedback_spark.llm.packing import best_fit_pack, word_count
@@ -106,6 +108,19 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
 
 
+def op12_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = encode(table(spark, sf_dir, "documents"), tokenizer_path())
+    told = coded.select(F.struct("doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256")).alias("about"), "ids")
+    return decode(told, tokenizer_path(), keep=("about",)).select("about.*", F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    sha = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256)).alias("groups_sha256")
+    store = materialise(aligned.select("doc_id", "row", "a_ids", "b_ids", "a_lens", "b_lens", sha), "aligned", codec="zstd")
+    return score_links(store, link_counts(store), ("doc_id", "groups_sha256"))
+
+
 #: Every query against every row: the same integers by brute force.
 OP5_SQL = """
 WITH usable AS (
@@ -137,4 +152,6 @@ QUERIES: dict = {
     "op9_token_shards": (op9_token_shards, None),
     "op10_token_counts": (op10_token_counts, None),
     "op11_spelling_variants": (op11_spelling_variants, None),
+    "op12_bpe_round_trip": (op12_bpe_round_trip, None),
+    "op13_alignment": (op13_alignment, None),
 }
