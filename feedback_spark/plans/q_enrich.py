@@ -11,6 +11,8 @@ bodies from the same pieces (:class:`Txt`).
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,7 +26,9 @@ from feedback_spark.operators import signals as G
 from feedback_spark.plans.base import clean_layer
 from feedback_spark.plans.sql_base import trim_sql
 from feedback_spark.session import input_state
+from feedback_spark.sources import layers as L
 from feedback_spark.sources.testdata import products, table
+from feedback_spark.streaming.stream import work_dir
 
 BATCH = FV.ONLINE_BATCH  # batch size of the stand-in responses
 
@@ -283,6 +287,20 @@ def _merged(spark, sf):
     return K.merge_enrichment(enrich_input(spark, sf), _winners(spark, sf))
 
 
+_ROUND_SQL = f"((review_seq - 1) // {BATCH}) % 2"
+
+
+def _staged(spark, sf):
+    """K19 as a deployment runs it: publish, then merge with the new rows (two thirds of the old are still wanted) and swap."""
+    layer = os.path.join(work_dir(spark, "staged"), "enriched")
+    m = _merged(spark, sf)
+    half = F.pmod(F.floor((F.col("review_seq") - 1) / BATCH), F.lit(2))
+    rows = lambda k: m.filter(half == k).select("product", "review_id", "review_text", "enrich_status", F.lit(k + 1).alias("published"))
+    L.merge_publish(spark, layer, rows(0))
+    L.merge_publish(spark, layer, rows(1), keep=m.filter(F.pmod("review_id", F.lit(3)) != 0))
+    return L.read_layer(spark, layer).select("product", "review_id", "enrich_status", "published")
+
+
 BOOL_SQL = {f: f"coalesce(lower(w.{f}) IN ('true', '1'), false)" for f in FV.ENRICH_BOOL_FIELDS}
 MERGED_SQL = CHECKED_SQL + f""",
 merged AS (
@@ -547,6 +565,12 @@ SELECT product, review_id FROM seqd s WHERE NOT EXISTS (
             m.filter(F.pmod(F.floor((F.col("review_seq") - 1) / BATCH), F.lit(2)) == 1)).select("product", "review_id", "enrich_status")),
         _with(MERGED_SQL + "\nSELECT product, review_id, enrich_status FROM merged"),
     ),
+    "k19_staged_publish": (
+        _staged,
+        _with(MERGED_SQL + f"""
+SELECT product, review_id, enrich_status, CASE WHEN {_ROUND_SQL} = 0 THEN 1 ELSE 2 END AS published
+FROM merged WHERE {_ROUND_SQL} > 0 OR review_id % 3 <> 0"""),
+    ),
     "k20_coverage": (
         lambda spark, sf: K.coverage(enrich_input(spark, sf), _checked(spark, sf)),
         _with(CHECKED_SQL + """

@@ -2,12 +2,15 @@
 
 * ``stream_ingest`` (M1): landed review files -> C2-C4 -> late-safe dedup
   with ``withWatermark`` + ``dropDuplicatesWithinWatermark`` -> Parquet sink.
+  Rows without a date have no event time: their texts are remembered by a
+  group state with a processing-time limit (``first_undated``).
 * ``stream_counts`` (M2): scored stream -> tumbling-window sentiment counts
   in update mode; ``foreachBatch`` appends each batch's changed rows with the
   batch id (an append-only changelog), and ``read_latest`` takes the newest
   row per key, so the sink never rewrites files and a restart replays safely.
-* ``stream_enrich`` (M3): ``foreachBatch`` anti-joins each micro-batch with
-  the enriched table (K18) and appends only unseen reviews to the queue.
+* ``stream_enrich`` (M3): ``foreachBatch`` queues the reviews of a
+  micro-batch that are not done yet (K18).  Which are done is looked up in
+  ``done.DoneTable``, of which a batch reads only the parts that it needs.
 
 All state lives under the checkpoint folder named by ``spark.checkpoint.dir``
 (shared storage on a cluster), so a lost executor or a restarted driver
@@ -25,7 +28,8 @@ from pyspark.sql import functions as F
 from feedback_spark import fixed_values as FV
 from feedback_spark.functions.text import clean_date, clean_rating, clean_text
 from feedback_spark.operators.enrich import text_key
-from feedback_spark.session import checkpoint_dir, path_exists
+from feedback_spark.session import checkpoint_dir, ship_package
+from feedback_spark.streaming.done import DoneTable
 
 REVIEW_STREAM_SCHEMA = ("review_id long, product string, product_type string, platform string, date date, author string, "
                         "rating double, review_text string, source_url string")
@@ -33,6 +37,8 @@ REVIEW_STREAM_SCHEMA = ("review_id long, product string, product_type string, pl
 
 #: How far behind the newest event a row may come.
 WATERMARK = "90 days"
+#: How long the text of an undated row is remembered after its last copy.
+UNDATED_TTL_MS = 90 * 24 * 3600 * 1000
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -55,10 +61,42 @@ def _cleaned(s: DataFrame) -> DataFrame:
 
 
 def undated(s: DataFrame) -> DataFrame:
-    """M1, rows without a date: they have no event time, so they pass cleaned but not deduplicated, without state."""
+    """M1, cleaned rows without a date."""
     return _cleaned(s).filter(F.col("date").isNull())
 
 
+def first_undated(s: DataFrame, ttl_ms: int = UNDATED_TTL_MS) -> DataFrame:
+    """M1 for rows without a date: the first row of each (product, text); of a micro-batch's copies that of smallest id.
+
+    The state of a text is one flag under its digest.  It has no event time to
+    expire by, so it goes when no copy has come for ``ttl_ms`` of processing time.
+    """
+    x = undated(s).withColumn("text_key", F.md5("review_text"))
+    columns = [c for c in x.columns if c != "text_key"]
+
+    def first(_key, frames, state):
+        if state.hasTimedOut:
+            state.remove()
+            return
+        known, best = state.exists, None
+        for f in frames:  # the copies come in pieces: a hot text is never held whole
+            if not known and len(f):
+                at = f["review_id"].fillna(float("inf")).argmin()
+                if best is None or _before(f["review_id"].iloc[at], best["review_id"].iloc[0]):
+                    best = f.iloc[at:at + 1]
+        state.update((True,))
+        state.setTimeoutDuration(ttl_ms)
+        if best is not None:
+            yield best[columns]
+
+    return x.groupBy("product", "text_key").applyInPandasWithState(first, x.select(*columns).schema, "seen boolean", "append", "ProcessingTimeTimeout")
+
+
+def _before(a, b) -> bool:
+    """Whether id ``a`` comes before ``b`` (a missing id comes last)."""
+    return a == a and (b != b or a < b)
+
+
 def clean_stream(s: DataFrame, watermark: str = WATERMARK) -> DataFrame:
     """M1 transformation: trim, coerce, length filter, late-safe dedup on (product, text).
 
@@ -73,11 +111,33 @@ def clean_stream(s: DataFrame, watermark: str = WATERMARK) -> DataFrame:
             .drop("text_key"))
 
 
-def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str) -> None:
-    """Run M1 to completion over what has landed (``availableNow``)."""
-    q = (clean_stream(read_landing(spark, landing)).writeStream.format("parquet").option("path", out)
-         .option("checkpointLocation", ckpt).outputMode("append").trigger(availableNow=True).start())
-    q.awaitTermination()
+#: Batches without rows let time pass for a state's limits; a run to completion would never end with them.
+IDLE_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
+
+def _run(spark: SparkSession, writer, ckpt: str) -> None:
+    before = spark.conf.get(IDLE_BATCHES)
+    spark.conf.set(IDLE_BATCHES, "false")  # read when the query starts
+    try:
+        query = writer.option("checkpointLocation", ckpt).trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(IDLE_BATCHES, before)
+    query.awaitTermination()
+
+
+def stream_ingest(spark: SparkSession, landing: str, out: str, ckpt: str, watermark: str = WATERMARK, ttl_ms: int = UNDATED_TTL_MS,
+                  files_per_trigger: int | None = None) -> None:
+    """Run M1 to completion over what has landed (``availableNow``); dated rows go to ``out``/dated, the others to ``out``/undated."""
+    ship_package(spark)
+    for name, rows in (("dated", lambda s: clean_stream(s, watermark)), ("undated", lambda s: first_undated(s, ttl_ms))):
+        landed = rows(read_landing(spark, landing, files_per_trigger))
+        _run(spark, landed.writeStream.format("parquet").option("path", f"{out}/{name}").outputMode("append"), f"{ckpt}/{name}")
+
+
+def read_ingested(spark: SparkSession, out: str) -> DataFrame:
+    """All rows that M1 has written to ``out``."""
+    dated, undated_ = (spark.read.parquet(f"{out}/{name}") for name in ("dated", "undated"))
+    return dated.drop("event_ts").unionByName(undated_)
 
 
 def window_counts(s: DataFrame, width: str = "30 days", watermark: str = WATERMARK) -> DataFrame:
@@ -101,11 +161,11 @@ def append_counts(counts: DataFrame, out: str, ckpt: str) -> None:
 
 
 def stream_counts(spark: SparkSession, scored_stream: DataFrame, out: str, ckpt: str, width: str = "30 days",
-                  counts=window_counts) -> None:
+                  counts=window_counts, watermark: str = WATERMARK) -> None:
     def sink(batch: DataFrame, batch_id: int) -> None:
         batch.withColumn("batch_id", F.lit(batch_id)).write.mode("append").parquet(out)
 
-    q = (counts(scored_stream, width).writeStream.outputMode("update").foreachBatch(sink)
+    q = (counts(scored_stream, width, watermark).writeStream.outputMode("update").foreachBatch(sink)
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
 
@@ -118,19 +178,24 @@ def read_latest(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
     return agg.select(*keys, *[F.col(f"v.{c}").alias(c) for c in vals])
 
 
-def stream_enrich(spark: SparkSession, stream: DataFrame, done_path: str, ckpt: str) -> None:
-    """M3: queue only reviews whose (product, text) is not in the enriched table yet."""
+def stream_enrich(spark: SparkSession, stream: DataFrame, done_path: str, ckpt: str, index: str | None = None) -> None:
+    """M3: queue only reviews whose (product, text) has not been queued yet.
+
+    The queue is ``done_path`` (a folder per batch), the table of what is done
+    ``index`` (``done_path``-keys if none is given).  A batch that is run
+    again after a failure replaces its own rows: what it added itself does not
+    count as done.
+    """
+    done = DoneTable(spark, index or f"{done_path.rstrip('/')}-keys")
+
     def sink(batch: DataFrame, batch_id: int) -> None:
         # one row per text inside the micro-batch, smallest id first (partial-aggregated)
-        fresh = batch.groupBy("product", "review_text").agg(F.min("review_id").alias("review_id"))
-        if path_exists(spark, done_path):  # else the first batch: nothing enriched yet
-            done = spark.read.parquet(done_path).select("product", text_key().alias("_key"))
-            fresh = fresh.withColumn("_key", text_key()).join(done, ["product", "_key"], "left_anti").drop("_key")
-        (fresh.withColumn("batch_id", F.lit(batch_id)).withColumn("enrich_status", F.lit("queued"))
-         .write.mode("append").parquet(done_path))
-
-    q = stream.writeStream.foreachBatch(sink).option("checkpointLocation", ckpt).trigger(availableNow=True).start()
-    q.awaitTermination()
+        own = batch.groupBy("product", "review_text").agg(F.min("review_id").alias("review_id"))
+        path = f"{done_path.rstrip('/')}/batch_id={batch_id}"
+        done.unseen(own, but_batch=batch_id).withColumn("enrich_status", F.lit("queued")).write.mode("overwrite").parquet(path)
+        done.add(spark.read.parquet(path), batch_id)
+
+    _run(spark, stream.writeStream.foreachBatch(sink), ckpt)
 
 
 def land(df: DataFrame, landing: str, files: int = 4) -> None:

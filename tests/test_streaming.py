@@ -2,6 +2,7 @@
 landed files only add reviews that were not queued before (M1, M3)."""
 
 import os
+import time
 
 from pyspark.sql import functions as F
 
@@ -38,7 +39,34 @@ def test_stream_ingest_matches_batch_dedup(spark):
     landing, out = os.path.join(root, "landing"), os.path.join(root, "out")
     S.land(reviews(spark, SF), landing, files=3)
     S.stream_ingest(spark, landing, out, os.path.join(root, "ckpt"))
-    got = spark.read.parquet(out).select("product", "review_text")
+    got = S.read_ingested(spark, out).select("product", "review_text")
     from feedback_spark.plans.base import clean_plan
     want = clean_plan(spark, SF).select("product", "review_text")
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def undated_rows(spark, *items):
+    return spark.createDataFrame([(i, "P", "t", "x", None, None, None, text, None) for i, text in items], S.REVIEW_STREAM_SCHEMA)
+
+
+def undated_run(spark, root, name, ttl_ms, *items):
+    S.land(undated_rows(spark, *items), os.path.join(root, "landing", name), files=1)
+    S.stream_ingest(spark, os.path.join(root, "landing", "*"), os.path.join(root, "out"), os.path.join(root, "ckpt"), ttl_ms=ttl_ms)
+    return sorted((r["review_id"], r["review_text"]) for r in S.read_ingested(spark, os.path.join(root, "out")).collect())
+
+
+A, B, C = (f"a text that is long enough, number {k}" for k in "abc")
+
+
+def test_undated_copies_over_two_batches_give_one_row(spark):
+    root = S.work_dir(spark, "test-undated")
+    assert undated_run(spark, root, "p1", 3_600_000, (3, A), (2, A + " "), (5, B)) == [(2, A), (5, B)]
+    assert undated_run(spark, root, "p2", 3_600_000, (1, A), (7, C), (6, C)) == [(2, A), (5, B), (6, C)]
+
+
+def test_state_of_undated_rows_expires(spark):
+    root = S.work_dir(spark, "test-expiry")
+    assert undated_run(spark, root, "p1", 1_000, (1, A)) == [(1, A)]
+    time.sleep(1.5)
+    undated_run(spark, root, "p2", 1_000, (2, B))  # a batch lets the limit act
+    assert undated_run(spark, root, "p3", 1_000, (3, A)) == [(1, A), (2, B), (3, A)]
