@@ -169,14 +169,16 @@ def with_spans(docs: DataFrame, limits: dict[int, int], text: str = "text", out:
         "__assign": F.filter(placed(whole, F.col("__assign"), ASSIGN, values), lambda s: F.length(s["value"]) >= ASSIGN_LEAST),
         "__access": placed(whole, F.col("__access"), ACCESS, F.col("__access")),
         "__hex": placed(whole, F.col("__hex"), HEX, F.col("__hex")),
-        "__good": F.when(F.size("__random") > 0, F.transform(judged(F.col("__random")), lambda x: F.coalesce(x["bin"] >= F.element_at(table, x["band"]), F.lit(False)))),
-        "__random": placed(whole, F.col("__random"), RUN, F.col("__random")),
+        # place and verdict side by side: the battery is evaluated once for the text, not once for each run
+        "__random": F.when(F.size("__random") > 0, F.zip_with(placed(whole, F.col("__random"), RUN, F.col("__random")), judged(F.col("__random")), lambda s, x: F.struct(
+            s["start"].alias("start"), s["end"].alias("end"), F.coalesce(x["bin"] >= F.element_at(table, x["band"]), F.lit(False)).alias("good")))).otherwise(
+            F.array().cast("array<struct<start:int,end:int,good:boolean>>")),
     })
     as_spans = lambda c, k: F.transform(c, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end")))
-    chosen = F.filter("__random", lambda s, i: F.coalesce(F.element_at("__good", i + 1), F.lit(False)))
-    placed_all = at.withColumns({"__base": F.concat(*[as_spans(F.col(f"__{k}"), i) for i, k in enumerate(KINDS[:3])]), "__added": as_spans(chosen, 3)})
+    chosen = F.filter("__random", lambda s: s["good"])
+    placed_all = at.withColumns({"__base": F.sort_array(F.concat(*[as_spans(F.col(f"__{k}"), i) for i, k in enumerate(KINDS[:3])])), "__added": as_spans(chosen, 3)})
     # how far the base spans, in order, cover the run from its start without a hole
-    reached = lambda s: F.aggregate(F.sort_array("__base"), s["start"], lambda a, b: F.when((b["start"] <= a) & (a < b["end"]), b["end"]).otherwise(a))
+    reached = lambda s: F.aggregate("__base", s["start"], lambda a, b: F.when((b["start"] <= a) & (a < b["end"]), b["end"]).otherwise(a))
     open_ = F.filter("__added", lambda s: reached(s) < s["end"])
     return placed_all.withColumn(out, F.sort_array(F.concat("__base", open_))).select(*docs.columns, out)
 

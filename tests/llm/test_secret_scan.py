@@ -123,3 +123,17 @@ def test_redaction_matches_spans(spark, text):
 def test_redaction_keeps_nulls_and_clean_texts(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "clean"), (3, "clean")], "doc_id long, text string")
     assert sorted(redact(df).collect(), key=str) == sorted(df.collect(), key=str)
+
+
+def test_many_runs_in_one_text_take_seconds(spark):
+    import random
+    import time
+
+    rng = random.Random(6)
+    letters = string.ascii_letters + string.digits
+    runs = ["".join(rng.choice(letters) for _ in range(40)) for _ in range(3000)]
+    df = spark.createDataFrame([(1, "key dump " + " ".join(runs))], "doc_id long, text string")
+    began = time.time()
+    spans = [x for r in scan(df).collect() for x in r["spans"]]
+    assert time.time() - began < 60
+    assert len(spans) >= 2900 and all(s["end"] - s["start"] == 40 and (s["start"] - 9) % 41 == 0 for s in spans)
