@@ -251,6 +251,8 @@ def share_of_max(df: DataFrame, col: str, by: list[str] | None = None) -> DataFr
 
 
 PLATFORM_FAMILIES = ["trustpilot", "twitter", "reddit", "playstore", "google_maps", "app_store"]
+#: The family of platforms that no key names.
+REST_FAMILY = "other"
 
 
 def platform_family(r: DataFrame, key: str) -> DataFrame:
@@ -258,16 +260,22 @@ def platform_family(r: DataFrame, key: str) -> DataFrame:
     return r.filter(F.lower("platform").contains(key.lower()))
 
 
-def with_family(r: DataFrame) -> DataFrame:
-    """All families at once: a row joins every family whose key it contains."""
-    fam = F.filter(F.array(*[F.when(F.lower("platform").contains(k), F.lit(k)) for k in PLATFORM_FAMILIES]),
+def with_family(r: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """All families at once: a row joins every family whose key its platform contains, or the rest group."""
+    fam = F.filter(F.array(*[F.when(F.lower("platform").contains(k.lower()), F.lit(k)) for k in families or PLATFORM_FAMILIES]),
                    lambda x: x.isNotNull())
-    return r.withColumn("family", F.explode(fam))
+    return r.withColumn("family", fam).withColumn("family", F.explode(F.when(F.size("family") > 0, F.col("family")).otherwise(F.array(F.lit(REST_FAMILY)))))
 
 
-def platform_panel(r: DataFrame) -> DataFrame:
-    """Per platform family: reviews, positive %, negative %, avg rating."""
-    return platform_summary(with_family(r), "family")
+def family_dimension(r: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """(family, platform, n) of the platforms that occur: which family each belongs to."""
+    counted = r.groupBy("platform").agg(F.count("*").alias("n"))
+    return with_family(counted, families).select("family", "platform", "n")
+
+
+def platform_panel(r: DataFrame, families: list[str] | None = None) -> DataFrame:
+    """Per platform family (every platform belongs to one): reviews, positive %, negative %, avg rating."""
+    return platform_summary(with_family(r, families), "family")
 
 
 def flag_totals(r: DataFrame, flags: list[str] | None = None) -> DataFrame:

@@ -9,7 +9,10 @@
   no join back: the score is computed in place on the row.  Tokens outside the
   rule vocabulary are nulled in the JVM first (a hash-set test), so only
   positions and the few relevant words cross into Python.  The lexicon is a
-  table; it is collected once and shipped with the task.
+  table: up to ``MOST_COLLECTED`` words it is collected and shipped with the
+  task; a larger one stays distributed, and the texts' tokens are joined with it.
+  Idioms are a small table of token sequences; the longest match counts as one
+  token whose valence replaces its words'.
 * D7 lane choice per product is a one-row-per-product flag joined back
   (bounded by the number of products), never a driver round trip.
 """
@@ -35,47 +38,102 @@ def lexicon_table(spark) -> DataFrame:
     return spark.createDataFrame(FV.DEFAULT_LEXICON, "token string, valence double")
 
 
-def _load_lexicon(lexicon: DataFrame | list | None) -> tuple[list[str], list[float]]:
-    if lexicon is None:
-        rows = FV.DEFAULT_LEXICON
-    elif isinstance(lexicon, list):
-        rows = lexicon
-    else:
-        # a dimension table (one row per word of a language), shipped with the task
-        rows = [(r[0], float(r[1])) for r in lexicon.select("token", "valence").collect()]
-    d = {}
-    for tok, val in rows:
-        d[str(tok).lower()] = float(val)
-    return list(d.keys()), list(d.values())
+#: Most words of a lexicon, and of the idioms, that go to the tasks by way of the driver.
+MOST_COLLECTED = 100_000
+
+
+def _pairs(table: DataFrame | list) -> dict[str, float]:
+    """Lower-cased key -> valence of a small table or list."""
+    rows = table if isinstance(table, list) else table.select(table.columns[0], "valence").collect()
+    return {str(r[0]).lower(): float(r[1]) for r in rows}
+
+
+def _is_large(table: DataFrame | list | None, most: int) -> bool:
+    return isinstance(table, DataFrame) and table.limit(most + 1).count() > most
+
+
+def idiom_trie(idioms: dict[str, float]) -> dict:
+    """Token -> subtree; the key None holds the idiom that ends here."""
+    root: dict = {}
+    for phrase in idioms:
+        at = root
+        for word in phrase.split():
+            at = at.setdefault(word, {})
+        at[None] = phrase
+    return root
 
 
-def _token_valence_sum(keys: list[str], vals: list[float]):
-    """Arrow function: token lists -> rule-adjusted valence sum per row."""
+def longest_idioms(tokens: list, trie: dict) -> list[tuple[int, int, str]]:
+    """(start, length, idiom) of the leftmost longest matches, none overlapping, in one row's tokens."""
+    found, at = [], 0
+    while at < len(tokens):
+        node, best = trie, None
+        for k in range(at, len(tokens)):
+            node = node.get(tokens[k]) if tokens[k] is not None else None
+            if node is None:
+                break
+            if None in node:
+                best = (at, k + 1 - at, node[None])
+        if best:
+            found.append(best)
+        at += best[1] if best else 1
+    return found
+
+
+def _token_valence_sum(keys: list[str], vals: list[float], idioms: dict[str, float]):
+    """Arrow function: token lists (and the places and valences of a joined lexicon) -> rule-adjusted valence sum per row."""
     key_arr = pa.array(keys, pa.string())
     val_np = np.asarray(vals, dtype=np.float64)
     up = pa.array(FV.BOOSTER_UP, pa.string())
     down = pa.array(FV.BOOSTER_DOWN, pa.string())
     neg = pa.array(FV.NEGATION_WORDS, pa.string())
     scales = FV.BOOSTER_DISTANCE_SCALE
+    trie = idiom_trie(idioms)
+    heads = pa.array(list(trie), pa.string())
+
+    def merged(flat, caps, valence, has, row, starts, lengths):
+        """Each idiom as one token: the first of its tokens stays and takes its valence."""
+        head = pc.fill_null(pc.is_in(flat, value_set=heads), False).to_numpy(zero_copy_only=False)
+        rows = np.unique(row[head])
+        keep, named = np.ones(len(flat), dtype=bool), []
+        for r in rows.tolist():
+            lo = int(starts[r])
+            for at, n, phrase in longest_idioms(flat.slice(lo, int(lengths[r])).to_pylist(), trie):
+                at += lo
+                valence[at], has[at], caps[at] = idioms[phrase], True, caps[at:at + n].all()
+                keep[at + 1:at + n] = False
+                named.append(at)
+        if named:  # the words of an idiom neither boost nor negate nor turn the sentence
+            mask = np.zeros(len(flat), dtype=bool)
+            mask[named] = True
+            flat = pc.if_else(pa.array(mask), pa.scalar(None, pa.string()), flat)
+        return flat.filter(pa.array(keep)), caps[keep], valence[keep], has[keep], np.bincount(row[keep], minlength=len(lengths))
 
-    def score(tokens: pa.Array) -> pa.Array:
-        if isinstance(tokens, pa.ChunkedArray):
-            tokens = tokens.combine_chunks()
+    def score(tokens: pa.Array, places: pa.Array, values: pa.Array) -> pa.Array:
+        tokens, places, values = (x.combine_chunks() if isinstance(x, pa.ChunkedArray) else x for x in (tokens, places, values))
         n_rows = len(tokens)
         lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
         flat = pc.list_flatten(tokens)
-        caps = pc.fill_null(pc.starts_with(flat, CAPS_MARK), False).to_numpy(zero_copy_only=False)
-        flat = pc.utf8_ltrim(flat, characters=CAPS_MARK)
         total = len(flat)
         if total == 0:
             return pa.array(np.zeros(n_rows), pa.float64())
-        row = np.repeat(np.arange(n_rows), lengths)
-        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-        pos = np.arange(total) - starts[row]
+        caps = np.array(pc.fill_null(pc.starts_with(flat, CAPS_MARK), False).to_numpy(zero_copy_only=False))
+        flat = pc.utf8_ltrim(flat, characters=CAPS_MARK)
         idx = pc.index_in(flat, value_set=key_arr)
-        has = pc.is_valid(idx).to_numpy(zero_copy_only=False)
+        has = np.array(pc.is_valid(idx).to_numpy(zero_copy_only=False))
         valence = np.zeros(total)
         valence[has] = val_np[pc.drop_null(idx).to_numpy()]
+        starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        joined = pc.fill_null(pc.list_value_length(places), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        if joined.any():
+            at = np.repeat(starts, joined) + pc.list_flatten(places).to_numpy(zero_copy_only=False)
+            valence[at], has[at] = pc.list_flatten(values).to_numpy(zero_copy_only=False), True
+        row = np.repeat(np.arange(n_rows), lengths)
+        if idioms:
+            flat, caps, valence, has, lengths = merged(flat, caps, valence, has, row, starts, lengths)
+            total, row = len(flat), np.repeat(np.arange(n_rows), lengths)
+            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
+        pos = np.arange(total) - starts[row]
         def member(values):
             return pc.fill_null(pc.is_in(flat, value_set=values), False).to_numpy(zero_copy_only=False)
         is_up, is_down = member(up), member(down)
@@ -112,30 +170,61 @@ def _token_valence_sum(keys: list[str], vals: list[float]):
     return score
 
 
-def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text: str = "review_text") -> DataFrame:
-    """Compound polarity in [-1, 1] as ``sentiment_raw``."""
+def _joined_hits(r: DataFrame, lexicon: DataFrame, text: str) -> DataFrame:
+    """``_key`` (digest of the text) and ``_hits``: place and valence of the text's words that the lexicon has.
+
+    One row per distinct text; adaptive execution splits the partition of a
+    word that is everywhere.
+    """
+    tokens = r.select(F.md5(text).alias("_key"), F.posexplode(F.regexp_extract_all(F.lower(text), F.lit(LEXICON_TOKEN), 0)).alias("at", "token"))
+    known = lexicon.groupBy(F.lower("token").alias("token")).agg(F.max("valence").cast("double").alias("valence"))
+    return tokens.join(known, "token").groupBy("_key").agg(F.sort_array(F.collect_set(F.struct("at", "valence"))).alias("_hits"))
+
+
+def lexicon_polarity(r: DataFrame, lexicon: DataFrame | list | None = None, text: str = "review_text",
+                     idioms: DataFrame | list | None = None, most_collected: int = MOST_COLLECTED) -> DataFrame:
+    """Compound polarity in [-1, 1] as ``sentiment_raw``.
+
+    ``lexicon``: token and valence (of equal tokens the largest valence of a
+    joined table).  ``idioms``: phrases of words parted by blanks, and valence;
+    the leftmost longest match is one token, in capitals if all its words are.
+    """
     from feedback_spark.session import ship_package
 
     ship_package(r.sparkSession)
-    keys, vals = _load_lexicon(lexicon)
-    fn = F.arrow_udf(_token_valence_sum(keys, vals), "double")
+    large = _is_large(lexicon, most_collected)
+    known = {} if large else _pairs(FV.DEFAULT_LEXICON if lexicon is None else lexicon)
+    if _is_large(idioms, most_collected):
+        raise ValueError(f"more than {most_collected} idioms: they go to every task")
+    phrases = _pairs(idioms) if idioms is not None else {}
+    fn = F.arrow_udf(_token_valence_sum(list(known), list(known.values()), phrases), "double")
     raw = F.regexp_extract_all(F.col(text), F.lit(LEXICON_TOKEN), 0)
-    relevant = set(keys) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | set(FV.LEAST_SPARED) | {"but", "least"}
+    relevant = set(known) | set(FV.BOOSTER_UP) | set(FV.BOOSTER_DOWN) | set(FV.NEGATION_WORDS) | set(FV.LEAST_SPARED) | {"but", "least"} | {w for p in phrases for w in p.split()}
     # positions matter, words outside the rule vocabulary do not: they cross to
     # Python as nulls (a hash-set test in the JVM), which shrinks the Arrow batches
     words = sorted(relevant)
     shouted = lambda t: (t == F.upper(t)) & (t != F.lower(t))
+    columns = r.columns
+    if large:
+        r = r.withColumn("_key", F.md5(text)).join(_joined_hits(r, lexicon, text), "_key", "left")
     r = r.withColumn("_raw", raw).withColumn("_caps", F.size(F.filter("_raw", shouted)))
     # capitals stress a word only where the text is not all in capitals
     mixed = (F.col("_caps") > 0) & (F.col("_caps") < F.size("_raw"))
-    s = fn(F.transform("_raw", lambda t: F.when(F.lower(t).isin(words), F.concat(F.when(mixed & shouted(t), F.lit(CAPS_MARK)).otherwise(F.lit("")), F.lower(t)))))
+    marked = lambda t: F.concat(F.when(mixed & shouted(t), F.lit(CAPS_MARK)).otherwise(F.lit("")), F.lower(t))
+    if large:  # a word that only the joined table has crosses by its place; its capitals cross with a mark alone
+        tokens = F.transform("_raw", lambda t: F.when(F.lower(t).isin(words), marked(t)).when(mixed & shouted(t), F.lit(CAPS_MARK)))
+        places, values = F.transform("_hits", lambda h: h["at"]), F.transform("_hits", lambda h: h["valence"])
+    else:
+        tokens = F.transform("_raw", lambda t: F.when(F.lower(t).isin(words), marked(t)))
+        places, values = F.array().cast("array<int>"), F.array().cast("array<double>")
+    s = fn(tokens, places, values)
     bangs = F.least(F.length(text) - F.length(F.regexp_replace(F.col(text), "!", "")), F.lit(FV.EXCLAIM_MAX))
     asks = F.length(text) - F.length(F.replace(F.col(text), F.lit("?"), F.lit("")))
     amp = bangs * FV.EXCLAIM_STEP + F.when(asks > FV.QUESTION_MANY, F.lit(FV.QUESTION_MOST)).when(asks > 1, asks * FV.QUESTION_STEP).otherwise(F.lit(0.0))
     s2 = F.when(s > 0, s + amp).when(s < 0, s - amp).otherwise(s)
     compound = s2 / F.sqrt(s2 * s2 + F.lit(FV.COMPOUND_ALPHA))
     compound = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), compound))
-    return r.withColumn("sentiment_raw", F.round(compound, 4)).drop("_raw", "_caps")
+    return r.withColumn("sentiment_raw", F.round(compound, 4)).select(*[c for c in columns if c != "sentiment_raw"], "sentiment_raw")
 
 
 def rating_sentiment(rating: Column) -> tuple[Column, Column]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from feedback_spark import fixed_values as FV
@@ -11,7 +13,7 @@ from feedback_spark.operators import clean as C
 from feedback_spark.operators import sentiment as D
 from feedback_spark.operators import themes as E
 from feedback_spark.plans.base import clean_layer, scored_layer
-from feedback_spark.plans.sql_base import rx, trim_sql, with_base
+from feedback_spark.plans.sql_base import scoring_ctes, rx, trim_sql, with_base
 from feedback_spark.sources.testdata import products, reviews, table
 
 ALL_THEMES = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _ in lst))
@@ -132,6 +134,18 @@ def _q(fn):
     return lambda spark, sf: fn(scored_layer(spark, sf))
 
 
+#: Idioms of the adapter's phrases: some begin alike, hold lexicon or rule words, or stand beside them.
+IDIOMS = [("waste of money", -2.0), ("total waste of money", -3.4), ("nothing special", -0.9), ("not good", -1.2), ("full of bugs", -2.4), ("great if they", 0.1),
+          ("losing money", -2.6), ("slow and full", -1.0), ("low fees", 1.1), ("did not help", -1.7), ("too high", -1.6)]
+
+
+def _idioms_sql() -> str:
+    second = scoring_ctes("clean1", "scored_i", IDIOMS)
+    for name in ["lex", "toks", "tk", "tv2", "tv", "tsum", "pol3", "pol2", "pol", "lane"]:
+        second = re.sub(rf"\b{name}\b", f"idi_{name}", second)
+    return with_base(f", {second}\nSELECT product, review_id, sentiment_raw FROM scored_i")
+
+
 QUERIES = {
     "c1_unify": (
         _c1,
@@ -183,6 +197,11 @@ QUERIES = {
         lambda spark, sf: D.lexicon_polarity(clean_layer(spark, sf), D.lexicon_table(spark)).select("product", "review_id", "sentiment_raw"),
         with_base("SELECT product, review_id, sentiment_raw FROM scored"),
     ),
+    "d2_idioms": (
+        lambda spark, sf: D.lexicon_polarity(clean_layer(spark, sf), D.lexicon_table(spark), idioms=spark.createDataFrame(IDIOMS, "idiom string, valence double"))
+        .select("product", "review_id", "sentiment_raw"),
+        _idioms_sql(),
+    ),
     "d3_success_correction": (
         _q(lambda r: r.filter(F.col("rating").isNull() & (F.col("sentiment_raw") < -FV.LABEL_THRESHOLD)
                               & D.success_story(F.lower("review_text")))

@@ -48,8 +48,8 @@ def reviews_cte() -> str:
   FROM documents)"""
 
 
-def lexicon_values() -> str:
-    rows = ", ".join(f"({sql_str(t)}, CAST({v!r} AS DOUBLE))" for t, v in FV.DEFAULT_LEXICON)
+def lexicon_values(idioms: list[tuple[str, float]] = ()) -> str:
+    rows = ", ".join(f"({sql_str(t)}, CAST({v!r} AS DOUBLE))" for t, v in [*FV.DEFAULT_LEXICON, *idioms])
     return f"lex(token, valence) AS (VALUES {rows})"
 
 
@@ -58,8 +58,15 @@ def _booster(expr: str) -> str:
             f"WHEN {expr} IN {sql_in(FV.BOOSTER_DOWN)} THEN -{FV.BOOSTER_STEP} ELSE 0.0 END)")
 
 
-def scoring_ctes(src: str = "clean1", out: str = "scored") -> str:
-    """D1-D5 + E2 over CTE ``src`` (columns of the review schema)."""
+def _idiom_tokens(idioms: list[tuple[str, float]]) -> str:
+    """The token list ``rt0`` with idioms as one token: alternatives, longest first, over tokens that two blanks part."""
+    longest = sorted((p for p, _ in idioms), key=lambda p: -len(p.split()))
+    pattern = "(?i) (" + "|".join(p.replace(" ", "  ") for p in longest) + "|[^ ]+) "
+    return f"list_transform(regexp_extract_all('  ' || array_to_string(rt0, '  ') || '  ', {sql_str(pattern)}, 1), lambda x: replace(x, '  ', ' '))"
+
+
+def scoring_ctes(src: str = "clean1", out: str = "scored", idioms: list[tuple[str, float]] = ()) -> str:
+    """D1-D5 + E2 over CTE ``src`` (columns of the review schema); ``idioms``: phrases of several words, each one token."""
     boost = " + ".join(
         f"(CASE WHEN p > {d} THEN ({_booster(f't[p - {d}]')} + CASE WHEN mixed AND u[p - {d}] AND {_booster(f't[p - {d}]')} <> 0 "
         f"THEN {FV.CAPS_STEP} ELSE 0.0 END) * {FV.BOOSTER_DISTANCE_SCALE[d - 1]} ELSE 0.0 END)"
@@ -72,10 +79,11 @@ def scoring_ctes(src: str = "clean1", out: str = "scored") -> str:
         for theme, p in lst
     )
     thr = FV.LABEL_THRESHOLD
-    return f"""{lexicon_values()},
-toks AS (SELECT product, review_id, list_transform(rt, lambda x: lower(x)) AS t, u, len(list_filter(u, lambda x: x)) BETWEEN 1 AND len(u) - 1 AS mixed
-         FROM (SELECT *, list_transform(rt, lambda x: x = upper(x) AND x <> lower(x)) AS u
-               FROM (SELECT product, review_id, regexp_extract_all(review_text, {sql_str(LEXICON_TOKEN)}) AS rt FROM {src}))),
+    return f"""{lexicon_values(idioms)},
+toks AS (SELECT product, review_id, list_transform(rt, lambda x: lower(x)) AS t, u, len(list_filter(u0, lambda x: x)) BETWEEN 1 AND len(u0) - 1 AS mixed
+         FROM (SELECT *, list_transform(rt, lambda x: x = upper(x) AND x <> lower(x)) AS u, list_transform(rt0, lambda x: x = upper(x) AND x <> lower(x)) AS u0
+               FROM (SELECT *, {_idiom_tokens(idioms) if idioms else 'rt0'} AS rt
+                     FROM (SELECT product, review_id, regexp_extract_all(review_text, {sql_str(LEXICON_TOKEN)}) AS rt0 FROM {src})))),
 tk AS (SELECT product, review_id, t, u, mixed, unnest(t) AS tok, generate_subscripts(t, 1) AS p FROM toks),
 tv AS (
   SELECT tk.product, tk.review_id, tk.p, lex.valence AS v0, ({boost}) + (CASE WHEN mixed AND u[p] THEN {FV.CAPS_STEP} ELSE 0.0 END) AS boost, ({neg}) AS negated,

@@ -114,7 +114,7 @@ def _rows(kind: str, page_id, url, html):
             if len(text.strip()) < 10:
                 continue
             rating_v = float(rating) if rating else None
-        out.append({"page_id": page_id, "card": i, "platform": kind, "date": c.get("date", ""),
+        out.append({"page_id": None if page_id is None or page_id != page_id else int(page_id), "card": i, "platform": kind, "date": c.get("date", ""),
                     "author": c.get("author", ""), "rating": rating_v, "review_text": text, "source_url": url})
     return out
 
@@ -128,7 +128,7 @@ def parse_pages(pages: DataFrame, kind: str, url_col: str = "url", html_col: str
         for b in batches:
             rows = []
             for pid, url, html in zip(b[key], b[url_col], b[html_col]):
-                rows.extend(_rows(kind, int(pid), url, html))
+                rows.extend(_rows(kind, pid, url, html))
             yield pd.DataFrame(rows, columns=[f.split()[0] for f in OUT_SCHEMA.split(", ")])
 
     return pages.select(key, url_col, html_col).mapInPandas(fn, OUT_SCHEMA)
