@@ -23,6 +23,7 @@ from __future__ import annotations
 
 import json
 import re
+import struct
 import zlib
 from collections.abc import Callable, Iterator
 
@@ -51,11 +52,15 @@ class Codec:
         size = max([-1, *self.tok.get_vocab(with_added_tokens=True).values()]) + 1
         self.tokens = [self.tok.id_to_token(i) for i in range(size)]
         self.plain = [t[:len(t) - len(suffix)] if suffix and t and t.endswith(suffix) else t for t in self.tokens]
+        self.split = ascii_split(d)
+        self.words = Misses(lambda word: packed(self.piece_ids(word, True)))
         added = sorted((t.content for t in self.tok.get_added_tokens_decoder().values()), key=len, reverse=True)
         self.special = re.compile("|".join(map(re.escape, added))) if added else None
 
     def run_ids(self, run: bytes) -> bytes:
         """Ids of a text, as little-endian unsigned 32-bit integers."""
+        if self.split and run.isascii() and (word := run.decode()).isprintable() and not (self.special and self.special.search(word)):
+            return b"".join([self.words[w] for w in self.split.findall(word.lower())])
         return packed(self.tok.encode(run.decode("utf-8", "replace"), add_special_tokens=False).ids)
 
     def pretokens(self, run: str) -> Iterator[tuple[str, bool]]:
@@ -79,10 +84,22 @@ class Codec:
         return self.piece_ids("".join([self.plain[i] for i in ids]), end)
 
 
-def packed(ids: list[int]) -> bytes:
-    import numpy as np
+def ascii_split(spec: dict):
+    """The pattern that cuts printable ASCII without blanks into pre-tokens, where the file's rules do no more to it than lower-casing."""
+    import regex
+
+    steps = (spec.get("normalizer") or {}).get("normalizers", [])
+    cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])
+    kinds = [x["type"] for x in steps]
+    if kinds.count("Lowercase") != 1 or set(kinds) - {"NFC", "Replace", "Lowercase"} or any(x["pattern"] != {"Regex": r"\s+"} for x in steps if x["type"] == "Replace"):
+        return None
+    if [x["type"] for x in cuts] != ["Split", "ByteLevel"] or (cuts[0]["behavior"], cuts[0]["invert"]) != ("Removed", True) or cuts[1]["add_prefix_space"] or cuts[1]["use_regex"]:
+        return None
+    return regex.compile(cuts[0]["pattern"]["Regex"]) if "Regex" in cuts[0]["pattern"] else None
 
-    return np.array(ids, "<u4").tobytes()
+
+def packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def unpacked(ids: bytes) -> list[int]:
