@@ -12,8 +12,9 @@ it up to where both tokenizers are sure to start anew (a white-space run after o
 text), and keeps the tokens that end inside the range.  A stretch without such a
 place that is longer than a range is never cut.
 
-Most documents are one range.  Stretches between such places repeat a lot, so each
-worker keeps the aligned tokens of recent ones in a bounded cache.
+Most documents are one range.  Stretches between such places repeat a lot, so a
+worker numbers them, aligns those that are new to it together, and gathers the
+documents' tokens by number; the numbered set is bounded.
 """
 
 from __future__ import annotations
@@ -32,10 +33,13 @@ from feedback_spark.llm.pretokens import read_file, tokenizer_of, worker_state
 
 #: Bytes of a range, and how many neighbours one task of the tree folds.
 RANGE_BYTES, FAN_IN = 65_536, 8
-#: Stretches that a worker keeps, and the longest kept.
-MOST_KEPT, LONGEST_KEPT = 100_000, 64
-#: Bytes of text after which a block of documents ends.
-BLOCK_BYTES = 4_000_000
+#: Stretches that a worker keeps, characters of new ones that are encoded together, bytes of documents aligned together.
+MOST_KEPT, LEARN_BYTES, DOC_BYTES = 60_000, 65_536, 500_000
+# Fixed value: how byte-level tokenizers files cut a text.
+BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: Rows of an Arrow batch (a row of the aligned table is some six times its text), bytes of packed ids worked on at once.
+BATCH_ROWS = 400
+BLOCK_BYTES = 1_000_000
 #: Pairs of a group beyond which equal ids are taken together before they are paired.
 WIDE_GROUP = 256
 #: Largest table of id pairs that is broadcast (12 bytes each); a larger one is joined.
@@ -101,7 +105,7 @@ def as_text(ids: tuple[list[int], list[int]], lens: tuple[list[int], list[int]])
     for one, sizes in zip(ids, lens, strict=True):
         said, at, side = list(map(str, one)), 0, []
         for n in sizes:
-            side.append(",".join(said[at:at + n]))
+            side.append(said[at] if n == 1 else ",".join(said[at:at + n]))
             at += n
         sides.append(side)
     return ";".join(map("|".join, zip(*sides, strict=True)))
@@ -117,16 +121,24 @@ class Pair:
         self.a.encode_special_tokens = True
         letters = byte_letters()
         self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.fast, self.latin = ranked(a_spec, self.a_bytes), re.compile("[\0-\u024f]*\\Z")
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
         plain = [p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))]
-        self.blank = self.b.encode("a ")[len(self.b.encode("a")):]
         # white space before which both tokenizers start anew after other text: no piece holds it behind another character
         crossed = {" ": any(re.search("[^▁]▁", p) for p in plain)} | {c: any(c in p for p in plain if len(p) > 1) for c in "\n\t\r"}
         self.starts = "".join(c for c, no in crossed.items() if not no)
         self.cut = re.compile(rf"(?<=\S)(?=[{re.escape(self.starts)}])") if self.starts else None
-        self.kept: dict[str, tuple] = {}
+        self.spell = [np_bytes(x) for x in ([self.a_bytes[i] for i in range(len(self.a_bytes))], self.b_bytes)]
+        self.forget()
+
+    def forget(self) -> None:
+        self.codes: dict[str, int] = {}
+        self.texts: list[str] = []
+        self.good: list[bool] = []
+        self.parts: list[list] = [[], [], [], []]  # ids and lens of both, stretch after stretch
+        self.sizes: list[list] = [[], [], [], []]
 
     def stretches(self, text: str) -> list[str]:
         """``text`` (with its first blank) cut at white-space runs that follow other text."""
@@ -136,40 +148,116 @@ class Pair:
             return [" " + w for w in words]
         return self.cut.split(text)
 
-    def tokens(self, stretch: str) -> tuple[tuple[list[int], list[int]], tuple[list[int], list[int]], bool]:
-        """Ids and end offsets of both, from the stretch's start; whether both spell the stretch."""
-        raw = stretch.encode()
-        a = self.a.encode(stretch, add_special_tokens=False).ids
-        if stretch[0] == " ":
-            b = self.b.encode(stretch[1:]) if len(stretch) > 1 else list(self.blank)
+    def tokens(self, text: str) -> tuple[tuple[list[int], list[int]], tuple, bool]:
+        """Ids and end offsets of both for one or more whole stretches, from their start; whether both spell the text.
+
+        A letter before the text takes the blank that the second tokenizer adds; its tokens end where the text starts.
+        """
+        import numpy as np
+
+        raw, ids, ends, good = b" a" + text.encode(), [], [], True
+        a = self.fast.encode_ordinary(" a" + text) if self.fast and self.latin.match(text) else self.a.encode(" a" + text, add_special_tokens=False).ids
+        for one, (lens, spelled) in zip((a, self.b.encode("a" + text)), self.spell, strict=True):
+            at = np.cumsum(lens[one])
+            k = int(np.searchsorted(at, 2)) + 1
+            good &= k <= len(at) and at[k - 1] == 2 and b"".join([spelled[i] for i in one]) == raw
+            ids.append(one[k:])
+            ends.append(at[k:] - 2)
+        return tuple(ids), tuple(ends), bool(good)
+
+    def learn(self, new: list[str]) -> None:
+        """Number the stretches, all new: together where they can stand side by side, else one by one."""
+        held, size = [], 0
+        for s in sorted(new, key=lambda s: self.latin.match(s) is None):  # Latin letters first: they take the faster way
+            if s[-1].isspace():  # it would run into the next
+                self.add([s])
+                continue
+            held.append(s)
+            size += len(s)
+            if size >= LEARN_BYTES:
+                self.add(held)
+                held, size = [], 0
+        if held:
+            self.add(held)
+
+    def add(self, held: list[str]) -> None:
+        import numpy as np
+
+        ids, ends, good = self.tokens("".join(held))
+        to = np.cumsum([len(s.encode()) for s in held])
+        common = np.intersect1d(*ends, assume_unique=True)
+        at = np.searchsorted(common, to)
+        whole = good and len(common) > 0 and at[-1] < len(common) and bool((common[at] == to).all())
+        if not whole and len(held) > 1:
+            for s in held:
+                self.add([s])
+            return
+        if not whole:
+            ids, lens, groups, text = ([], []), ([], []), np.zeros(1, np.int64), [""]
+            sizes = [np.zeros(1, np.int64)] * 4
         else:
-            b = self.b.encode(stretch)  # the first piece is the blank that the tokenizer adds
-            if b[:1] != self.blank:
-                return (a, b), ([], []), False
-            b = b[1:]
-        spelled, ends = [], []
-        for ids, of in ((a, self.a_bytes), (b, self.b_bytes)):
-            parts = [of[i] for i in ids]
-            spelled.append(b"".join(parts))
-            at, side = 0, []
-            for p in parts:
-                at += len(p)
-                side.append(at)
-            ends.append(side)
-        return (a, b), tuple(ends), spelled[0] == raw == spelled[1]
-
-    def aligned(self, stretch: str) -> tuple[bytes, bytes, bytes, bytes, str, bool]:
-        """Ids and group lengths of a whole stretch (packed), the groups as text, whether both spell the stretch."""
-        got = self.kept.get(stretch)
-        if got is None:
-            ids, ends, good = self.tokens(stretch)
-            out, lens = groups_of(fragment(ids, ends)) if good else (([], []), ([], []))
-            got = (*map(packed, (*out, *lens)), as_text(out, lens), good)
-            if len(stretch) <= LONGEST_KEPT:
-                if len(self.kept) >= MOST_KEPT:
-                    self.kept.clear()
-                self.kept[stretch] = got
-        return got
+            cuts = [np.searchsorted(e, common) + 1 for e in ends]
+            lens = tuple(np.diff(c, prepend=0) for c in cuts)
+            groups = np.diff(at + 1, prepend=0)
+            sizes = [np.diff(c[at], prepend=0) for c in cuts] + [groups, groups]
+            said, k, text = as_text(ids, [x.tolist() for x in lens]).split(";"), 0, []
+            for n in groups.tolist():
+                text.append(";".join(said[k:k + n]))
+                k += n
+        for k, x in enumerate((*ids, *lens)):
+            self.parts[k].append(np.asarray(x, "<u4"))
+            self.sizes[k].append(sizes[k])
+        self.codes.update(zip(held, range(len(self.texts), len(self.texts) + len(held)), strict=True))
+        self.texts += text
+        self.good += [whole] * len(held)
+
+    def aligned(self, docs: list[str | None]) -> list[tuple[bytes, bytes, bytes, bytes, str]]:
+        """Packed ids and group lengths, and the groups as text, of whole texts (None: no tokens)."""
+        import numpy as np
+
+        cut = [self.stretches(t) if t else [] for t in docs]
+        if len(self.codes) > MOST_KEPT:
+            self.forget()
+        self.learn(list({s: None for parts in cut for s in parts if s not in self.codes}))
+        codes = [[self.codes[s] for s in parts] for parts in cut]
+        fine = [bool(c) and all(map(self.good.__getitem__, c)) for c in codes]
+        codes = [c if ok else [] for c, ok in zip(codes, fine, strict=True)]
+        flat = np.array([x for c in codes for x in c], np.int64)
+        n = np.array([len(c) for c in codes])
+        sides = []
+        for k in range(4):
+            values = np.concatenate([*self.parts[k], np.zeros(0, "<u4")])
+            size = np.concatenate([*self.sizes[k], np.zeros(0, np.int64)])
+            self.parts[k], self.sizes[k] = [values], [size]
+            starts, own = np.cumsum(size) - size, size[flat]
+            out = values[np.repeat(starts[flat] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
+            ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(n)])] * 4
+            raw = out.tobytes()
+            sides.append([raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)])
+        return list(zip(*sides, [";".join([self.texts[x] for x in c]) for c in codes], strict=True))
+
+
+def ranked(spec: str, spelled: dict[int, bytes]):
+    """The byte-level tokenizer as a table of ranks (quicker; its letter classes may be of another age, so it gets Latin text only); None if it is of another kind."""
+    import json
+
+    import tiktoken
+
+    d = json.loads(spec)
+    vocab, merges = d["model"]["vocab"], [x.split(" ") if isinstance(x, str) else x for x in d["model"].get("merges", [])]
+    first = len(vocab) - len(merges)
+    if d["normalizer"] or (d["pre_tokenizer"] or {}).get("type") != "ByteLevel" or not d["pre_tokenizer"]["use_regex"] or d["pre_tokenizer"]["add_prefix_space"]:
+        return None
+    if first != 256 or d["model"].get("end_of_word_suffix") or d["model"].get("continuing_subword_prefix") or any(vocab.get(a + b) != first + k for k, (a, b) in enumerate(merges)):
+        return None
+    return tiktoken.Encoding("ranked", pat_str=BYTE_LEVEL_SPLIT, mergeable_ranks={spelled[i]: i for i in vocab.values()}, special_tokens={})
+
+
+def np_bytes(spelled: list[bytes]):
+    """Lengths of the tokens' bytes as an array, and the bytes."""
+    import numpy as np
+
+    return np.array([len(x) for x in spelled]), spelled
 
 
 def byte_letters() -> dict[str, int]:
@@ -215,7 +303,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep: t
     whatever their names, are left out.
     """
     spark = docs.sparkSession
-    python_ready(spark)
+    python_ready(spark, BATCH_ROWS)
     with open(b_path, "rb") as f:
         model = f.read()
     sent = spark.sparkContext.broadcast((read_file(a_path), model))
@@ -229,16 +317,18 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep: t
 
         p = pair()
         for b in batches:
-            out = []
-            for raw in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist():
-                t = decoded(raw)
-                got = [p.kept.get(s) or p.aligned(s) for s in p.stretches(t)] if t else ()
-                sides = list(zip(*got, strict=True)) if got else ()
-                out.append((*(b"".join(x) for x in sides[:4]), ";".join(sides[4])) if sides and all(sides[5]) else (b"", b"", b"", b"", ""))
-            mark = uuid.uuid4().hex
-            cols = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.binary()] * 4 + [pa.string()], strict=True)]
-            rows = pa.array([f"{mark}-{i}" for i in range(b.num_rows)])
-            yield pa.RecordBatch.from_arrays([*b.columns[:-1], rows, *cols], schema=pa.schema([*list(b.schema)[:-1], pa.field("row", pa.string()), *[pa.field(n, c.type) for n, c in zip((*SIDES, "groups"), cols, strict=True)]]))
+            texts, at, size = [decoded(raw) for raw in b.column(b.num_columns - 1).cast(pa.binary()).to_pylist()], 0, 0
+            for k, t in enumerate(texts):
+                size += len(t or "")
+                if size < DOC_BYTES and k + 1 < len(texts):
+                    continue
+                out, head = p.aligned(texts[at:k + 1]), b.slice(at, k + 1 - at)
+                mark = uuid.uuid4().hex
+                rows = pa.array([f"{mark}-{i}" for i in range(len(out))])
+                cols = [pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.binary()] * 4 + [pa.string()], strict=True)]
+                yield pa.RecordBatch.from_arrays([*head.columns[:-1], rows, *cols], schema=pa.schema([*list(b.schema)[:-1], pa.field("row", pa.string()), *[pa.field(n, c.type) for n, c in zip((*SIDES, "groups"), cols, strict=True)]]))
+                at, size = k + 1, 0
+        p.forget()  # idle workers hold no stretches
 
     def cut(batches: Iterator) -> Iterator:
         """Byte ranges (lo, hi] of space + text, each with the whole stretches that it touches."""
@@ -280,17 +370,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text", keep: t
         for b in batches:
             out = []
             for row, n, at, lo, hi, body in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                ids, ends, good = ([], []), ([], []), True
-                for s in p.stretches(body.decode()):
-                    own, to, fine = p.tokens(s)
-                    good &= fine
-                    for k in (0, 1):
-                        for i, e in zip(own[k], to[k], strict=False):
-                            if lo < at + e <= hi:
-                                ids[k].append(i)
-                                ends[k].append(at + e)
-                    at += len(s.encode())
-                out.append((row, n, good, *packed_fragment(fragment(ids, ends) if good else EMPTY)))
+                ids, ends, good = p.tokens(body.decode())
+                own = [[(i, e) for i, e in zip(x, (to + at).tolist(), strict=True) if lo < e <= hi] for x, to in zip(ids, ends, strict=True)]
+                kept = [tuple([x[k] for x in side] for side in own) for k in (0, 1)]
+                out.append((row, n, good, *packed_fragment(fragment(*kept) if good else EMPTY)))
             yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*out, strict=True), [pa.int64(), pa.int32(), pa.bool_(), pa.bool_(), *[pa.binary()] * 8], strict=True)], ["row", "n", "good", "closed", *FOLDS])
 
     def fold(held):
@@ -395,7 +478,7 @@ def link_counts(aligned: DataFrame) -> DataFrame:
             pairs, n = np.unique((a << 32) | b, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(n.astype(np.int64))], ["pair", "n"])
 
-    python_ready(aligned.sparkSession)
+    python_ready(aligned.sparkSession, BATCH_ROWS)
     counts = materialise(aligned.select(*SIDES).mapInArrow(count, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).select(
         F.shiftright("pair", 32).alias("a"), F.col("pair").bitwiseAND(F.lit((1 << 32) - 1)).alias("b"), "n"), "links")
     most = counts.groupBy("a").agg(F.max("n").alias("most"))

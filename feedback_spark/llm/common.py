@@ -17,11 +17,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def python_ready(spark: SparkSession) -> None:
-    """Before a plan with Python tasks: ship the package, keep Arrow batches small."""
+def python_ready(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
+    """Before a plan with Python tasks: ship the package, keep Arrow batches small (``rows`` at most)."""
     ship_package(spark)
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > ARROW_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
