@@ -27,7 +27,7 @@ from feedback_spark.operators import phrases as PH  # noqa: E402
 from feedback_spark.operators import signals as G  # noqa: E402
 from feedback_spark.operators import trends as T  # noqa: E402
 from feedback_spark.operators.sentiment import score_lexicon_lane  # noqa: E402
-from feedback_spark.operators.themes import theme_array  # noqa: E402
+from feedback_spark.operators.themes import tag_themes  # noqa: E402
 from feedback_spark.plans import q_enrich as QE  # noqa: E402
 from feedback_spark.plans.base import clean_plan, scored_from_clean  # noqa: E402
 from feedback_spark.session import checkpoint_dir, get_spark  # noqa: E402
@@ -90,7 +90,7 @@ def main() -> None:
     rows["scored"] = r.count()
 
     q["sentiment"] = _median(_noop(lambda: score_lexicon_lane(clean).select("review_id", "sentiment", "sentiment_score")))
-    q["themes"] = _median(_noop(lambda: clean.select("review_id", F.size(theme_array()).alias("n"))))
+    q["themes"] = _median(_noop(lambda: tag_themes(clean).select("review_id", F.size("themes").alias("n"))))
     q["phrases"] = _median(_collect(lambda: PH.top_phrases(r, ["product"], 20, (2, 3))))
     q["signals"] = _median(_collect(lambda: G.feature_requests(r), lambda: G.churn_sentences(r)))
     q["metrics"] = _median(_collect(lambda: M.theme_stats(r), lambda: M.theme_platform_matrix(r)))

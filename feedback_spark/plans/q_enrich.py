@@ -494,8 +494,28 @@ ml AS (SELECT product, review_id, CASE WHEN themes_text IS NULL OR themes_text =
 SELECT product, review_id, {cols} FROM ml""")
 
 
+def _e4_flags(spark, sf):
+    from feedback_spark.operators.themes import theme_flags
+    out = theme_flags(_merged(spark, sf), llm_col="themes_text")
+    return out.select("product", "review_id", F.explode("theme_flags").alias("theme", "flag"))
+
+
+def _e4_flags_sql() -> str:
+    known = list(dict.fromkeys(t for lst in FV.THEME_PATTERNS.values() for t, _ in lst))
+    rows = ", ".join(f"({sql_str(t)})" for t in known)
+    return _with(MERGED_SQL + f""",
+ml AS (SELECT product, review_id, CASE WHEN themes_text IS NULL OR themes_text = '' THEN []::VARCHAR[]
+                                       ELSE string_split_regex(themes_text, '[\\t ]*\\|[\\t ]*') END AS lt FROM merged),
+own AS (SELECT DISTINCT product, review_id, t AS theme FROM (SELECT product, review_id, unnest(lt) AS t FROM ml) WHERE t <> ''),
+known AS (SELECT theme FROM (VALUES {rows}) v(theme))
+SELECT ml.product, ml.review_id, known.theme, list_contains(ml.lt, known.theme) AS flag FROM ml, known
+UNION ALL
+SELECT product, review_id, theme, TRUE AS flag FROM own WHERE theme NOT IN (SELECT theme FROM known)""")
+
+
 QUERIES = {
     "e4_themes_wide_llm": (_e4_llm, _e4_llm_sql()),
+    "e4_theme_flags": (_e4_flags, _e4_flags_sql()),
     "k9_online_route": (
         lambda spark, sf: K.online_results(K.with_batches(enrich_input(spark, sf), BATCH), responses(spark, sf))
         .select(*ONLINE_COLS),

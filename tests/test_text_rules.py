@@ -1,5 +1,6 @@
 """FIXTURES.md §6 text-rule cases through the operators on tiny frames."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from feedback_spark.operators import sentiment as D
@@ -28,6 +29,52 @@ def test_whole_word_theme(spark):
     assert "Delivery & Speed" not in plain[2]
 
 
+def test_tags_by_words_equal_tags_by_patterns(spark):
+    texts = ["", None, "late", "Late!", "latest", "_late", "late_", "l\u00e4te late\u00e9", "on time", "on-time", "onXtime", "on\ntime", "p&l", "p&lx",
+             "vs  tradervue", "vs.", "cancelled sub", "canceled account", "customer\tservice", "customer service", "2fa", "22fa",
+             "app store", "apps store", "fee\n", "\nfee", "fee,fee", "don't wait", "rate\u0301", "win rate", "switched\u00a0from us", "FRAUD\u2014scam"]
+    types = [*E.FV.THEME_PATTERNS, "unknown", None]
+    df = _df(spark, [("P", pt, 100 * j + i, "x", t, None, None) for j, pt in enumerate(types) for i, t in enumerate(texts)])
+    old = df.select("review_id", E.theme_array().alias("old"))
+    rows = E.tag_themes(df).join(old, "review_id").collect()
+    assert len(rows) == len(texts) * len(types) and all(r.themes == r.old for r in rows)
+    assert sum(bool(r.themes) for r in rows) > 30
+
+
+def test_alternatives_of_a_pattern(spark):
+    cut = E.split_alternatives
+    assert cut(r"\b(a|b c|d(e|f)|[|)]x|\|y|z)\b") == (["a", "z"], ["b c", "d(e|f)", "[|)]x", r"\|y"], [])
+    for odd in (r"\b(a)|(b)\b", r"\ba\b", "a|b", r"\b(a||b)\b"):
+        assert cut(odd) == ([], [], [odd])
+    patterns = {"t": [("Words", r"\b(a|b)\b"), ("Other form", r"\bsheets?\b"), ("Phrase", r"\b(b c)\b")]}
+    df = _df(spark, [("P", "t", 1, "x", "b c", None, None), ("P", "t", 2, "x", "my sheet", None, None), ("P", "t", 3, "x", "ab", None, None)])
+    got = {r.review_id: r.themes for r in E.tag_themes(df, patterns=patterns).collect()}
+    assert got == {1: ["Words", "Phrase"], 2: ["Other form"], 3: []}
+
+
+def test_texts_are_cut_once(spark):
+    df = _df(spark, [("P", "logistics", 1, "x", "late", None, None)])
+    plan = E.tag_themes(df)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("split(") == 1 and plan.count("lower(") == 1
+
+
+def test_theme_flags(spark):
+    rows = [(1, ["A"], "new | A"), (2, [], None), (3, None, "a'b")]
+    df = spark.createDataFrame(rows, "review_id long, themes array<string>, llm string")
+    flags = {r.review_id: r.theme_flags for r in E.theme_flags(df, known=["A", "B"]).collect()}
+    assert flags == {1: {"A": True, "B": False}, 2: {"A": False, "B": False}, 3: {"A": False, "B": False}}
+    llm = {r.review_id: r.theme_flags for r in E.theme_flags(df, known=["A", "B"], llm_col="llm").collect()}
+    assert llm == {1: {"A": True, "B": False, "new": True}, 2: {"A": False, "B": False}, 3: {"A": False, "B": False, "a'b": True}}
+    assert E.theme_flags(df.limit(0), known=["A"]).count() == 0
+
+
+def test_wide_themes_have_a_stated_limit(spark):
+    df = spark.createDataFrame([(i, [], f"t{i}") for i in range(20)], "review_id long, themes array<string>, llm string")
+    assert len([c for c in E.themes_wide(df, known=["K"], llm_col="llm", limit=20).columns if c.startswith("theme_")]) == 21
+    with pytest.raises(ValueError, match="theme_flags"):
+        E.themes_wide(df, known=["K"], llm_col="llm", limit=19)
+
+
 def test_feature_request_rules(spark):
     text = "Decent tool. It would be nice if it had dark mode for the night"
     df = _df(spark, [("P", "logistics", 1, "reddit", text, "Neutral", None),
