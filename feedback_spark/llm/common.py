@@ -17,6 +17,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_prefix(df: DataFrame) -> str:
+    """A beginning of names that no column of ``df`` has: names of helper columns start with it."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in df.columns):
+        prefix += "_"
+    return prefix
+
+
+def all_columns(df: DataFrame) -> list[str]:
+    """The columns' names, quoted (names may hold dots)."""
+    return ["`" + c.replace("`", "``") + "`" for c in df.columns]
+
+
 def python_ready(spark: SparkSession, rows: int = ARROW_ROWS) -> None:
     """Before a plan with Python tasks: ship the package, keep Arrow batches small (``rows`` at most)."""
     ship_package(spark)

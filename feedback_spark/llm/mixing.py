@@ -18,7 +18,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedback_spark.llm.common import materialise
+from feedback_spark.llm.common import all_columns, free_prefix, materialise
 
 #: Labelled rows that the classifier is fitted on at most, words of its table, domains at most.
 MOST_LABELLED, MOST_WORDS, MOST_DOMAINS = 20_000, 4096, 64
@@ -164,9 +164,11 @@ def mix(docs: DataFrame, labelled: DataFrame, targets: dict[str, float] | None =
 
 def resample(docs: DataFrame, rates: DataFrame) -> DataFrame:
     """``docs`` with each row as often as its rate says: the whole part, and one more by a hash of id and text."""
-    one = rates.groupBy("doc_id", "text_hash").agg(F.max("rate").alias("__rate")).withColumnsRenamed({"doc_id": "__id", "text_hash": "__hash"})
-    keyed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
-    luck = F.pmod(F.xxhash64("doc_id", "__text_hash", F.lit(17)), F.lit(1_000_000)) / F.lit(1e6)
-    times = (F.floor("__rate") + (luck < F.col("__rate") - F.floor("__rate")).cast("int")).cast("int")
-    joined = keyed.join(one, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
-    return joined.withColumn("__times", times).where("__times > 0").withColumn("__times", F.explode(F.sequence(F.lit(1), F.col("__times")))).select(*docs.columns)
+    pre = free_prefix(docs)
+    rate, own_id, own_hash, text_hash, times_ = (pre + x for x in ("rate", "id", "hash", "text_hash", "times"))
+    one = rates.groupBy("doc_id", "text_hash").agg(F.max("rate").alias(rate)).withColumnsRenamed({"doc_id": own_id, "text_hash": own_hash})
+    keyed = docs.withColumn(text_hash, F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    luck = F.pmod(F.xxhash64("doc_id", text_hash, F.lit(17)), F.lit(1_000_000)) / F.lit(1e6)
+    times = (F.floor(rate) + (luck < F.col(rate) - F.floor(rate)).cast("int")).cast("int")
+    joined = keyed.join(one, F.col("doc_id").eqNullSafe(F.col(own_id)) & (F.col(text_hash) == F.col(own_hash)))
+    return joined.withColumn(times_, times).where(F.col(times_) > 0).withColumn(times_, F.explode(F.sequence(F.lit(1), F.col(times_)))).select(*all_columns(docs))

@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from feedback_spark.llm.common import all_columns, free_prefix
+
 # The base patterns, and the least length of group 2, of the match, of the match.
 ASSIGN = r"""([pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
 ACCESS = r"AKIA[A-Z0-9]{12,}+"
@@ -160,27 +162,29 @@ def thresholds(docs: DataFrame, text: str = "text", alpha: float = ALPHA) -> dic
 
 
 def with_spans(docs: DataFrame, limits: dict[int, int], text: str = "text", out: str = "spans") -> DataFrame:
-    """``docs`` with ``out``: array of (start, rank of the kind, end) by start and kind, in code points, ends exclusive."""
+    """``docs`` with ``out``: array of (start, rank of the kind, end) by start and kind, in code points, ends exclusive (an own column of that name is replaced)."""
+    pre = free_prefix(docs)
+    assign, access, hex_, random_, base, added = (pre + k for k in ("assign", "access", "hex", "random", "base", "added"))
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    found = docs.withColumns({f"__{k}": F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for k, p in (("assign", ASSIGN), ("access", ACCESS), ("hex", HEX))} | {"__random": run_of(text)})
-    values = F.when(F.size("__assign") > 0, F.regexp_extract_all(whole, F.lit(ASSIGN), F.lit(2))).otherwise(F.array().cast("array<string>"))
+    found = docs.withColumns({k: F.regexp_extract_all(whole, F.lit(p), F.lit(0)) for k, p in ((assign, ASSIGN), (access, ACCESS), (hex_, HEX))} | {random_: run_of(text)})
+    values = F.when(F.size(assign) > 0, F.regexp_extract_all(whole, F.lit(ASSIGN), F.lit(2))).otherwise(F.array().cast("array<string>"))
     table = F.create_map(*[F.lit(x) for kv in sorted((limits or {-1: 0}).items()) for x in kv])
     at = found.withColumns({
-        "__assign": F.filter(placed(whole, F.col("__assign"), ASSIGN, values), lambda s: F.length(s["value"]) >= ASSIGN_LEAST),
-        "__access": placed(whole, F.col("__access"), ACCESS, F.col("__access")),
-        "__hex": placed(whole, F.col("__hex"), HEX, F.col("__hex")),
+        assign: F.filter(placed(whole, F.col(assign), ASSIGN, values), lambda s: F.length(s["value"]) >= ASSIGN_LEAST),
+        access: placed(whole, F.col(access), ACCESS, F.col(access)),
+        hex_: placed(whole, F.col(hex_), HEX, F.col(hex_)),
         # place and verdict side by side: the battery is evaluated once for the text, not once for each run
-        "__random": F.when(F.size("__random") > 0, F.zip_with(placed(whole, F.col("__random"), RUN, F.col("__random")), judged(F.col("__random")), lambda s, x: F.struct(
+        random_: F.when(F.size(random_) > 0, F.zip_with(placed(whole, F.col(random_), RUN, F.col(random_)), judged(F.col(random_)), lambda s, x: F.struct(
             s["start"].alias("start"), s["end"].alias("end"), F.coalesce(x["bin"] >= F.element_at(table, x["band"]), F.lit(False)).alias("good")))).otherwise(
             F.array().cast("array<struct<start:int,end:int,good:boolean>>")),
     })
     as_spans = lambda c, k: F.transform(c, lambda s: F.struct(s["start"].alias("start"), F.lit(k).alias("rank"), s["end"].alias("end")))
-    chosen = F.filter("__random", lambda s: s["good"])
-    placed_all = at.withColumns({"__base": F.sort_array(F.concat(*[as_spans(F.col(f"__{k}"), i) for i, k in enumerate(KINDS[:3])])), "__added": as_spans(chosen, 3)})
+    chosen = F.filter(random_, lambda s: s["good"])
+    placed_all = at.withColumns({base: F.sort_array(F.concat(*[as_spans(F.col(k), i) for i, k in enumerate((assign, access, hex_))])), added: as_spans(chosen, 3)})
     # how far the base spans, in order, cover the run from its start without a hole
-    reached = lambda s: F.aggregate("__base", s["start"], lambda a, b: F.when((b["start"] <= a) & (a < b["end"]), b["end"]).otherwise(a))
-    open_ = F.filter("__added", lambda s: reached(s) < s["end"])
-    return placed_all.withColumn(out, F.sort_array(F.concat("__base", open_))).select(*docs.columns, out)
+    reached = lambda s: F.aggregate(base, s["start"], lambda a, b: F.when((b["start"] <= a) & (a < b["end"]), b["end"]).otherwise(a))
+    open_ = F.filter(added, lambda s: reached(s) < s["end"])
+    return placed_all.withColumn(out, F.sort_array(F.concat(base, open_))).select(*[c for c in all_columns(docs) if c != f"`{out}`"], out)
 
 
 def listed(spans: Column, base_only: bool = False) -> Column:
@@ -199,7 +203,8 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     repeated rows are scanned each; an empty table gives no rows.
     """
     limits = thresholds(docs, text, alpha)
-    return with_spans(docs, limits, text, "__spans").select(*keep, F.col("__spans").alias(out))
+    own = f"{free_prefix(docs)}spans"
+    return with_spans(docs, limits, text, own).select(*keep, F.col(own).alias(out))
 
 
 def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
@@ -212,8 +217,9 @@ def redacted(text: Column, spans: Column, mark: str = "[SECRET]") -> Column:
 
 def redact(docs: DataFrame, text: str = "text", alpha: float = ALPHA) -> DataFrame:
     """``docs`` with the secrets of ``text`` replaced by a mark; all rows and columns stay."""
-    found = with_spans(docs, thresholds(docs, text, alpha), text, "__spans")
-    return found.withColumn(text, redacted(F.col(text), F.col("__spans"))).select(*docs.columns)
+    own = f"{free_prefix(docs)}spans"
+    found = with_spans(docs, thresholds(docs, text, alpha), text, own)
+    return found.withColumn(text, redacted(F.col(text), F.col(own))).select(*all_columns(docs))
 
 
 def digest(spans: Column) -> dict[str, Column]:

@@ -21,7 +21,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedback_spark.llm.common import materialise, python_ready
+from feedback_spark.llm.common import all_columns, free_prefix, materialise, python_ready
 from feedback_spark.llm.components import components
 
 #: Fingerprints of one cut of a hot key, and the most cuts of one key.
@@ -180,13 +180,15 @@ def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", words:
     Of several texts under that id the one of smallest hash stays, of equal
     rows one.  A component without any id keeps one row too.
     """
+    pre = free_prefix(docs)
+    own_id, own_hash, times_, text_hash = (pre + x for x in ("id", "hash", "times", "text_hash"))
     members = near_duplicates(docs, text, doc_id, words, most)
     won = members.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy("root").agg(
-        F.min("component_id").alias("__id"), F.min("text_hash").alias("__hash"), )
-    times = members.groupBy("doc_id", "text_hash").agg(F.count("*").alias("__times"))
-    won = won.join(times, F.col("__id").eqNullSafe(F.col("doc_id")) & (F.col("__hash") == F.col("text_hash"))).select("__id", "__hash", "__times")
-    hashed = docs.withColumn("__text_hash", F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
-    stay = hashed.join(won, F.col(doc_id).eqNullSafe(F.col("__id")) & (F.col("__text_hash") == F.col("__hash")))
-    once = stay.where("__times = 1").select(*docs.columns)
-    more = stay.where("__times > 1").dropDuplicates([doc_id, "__text_hash"]).select(*docs.columns)
+        F.min("component_id").alias(own_id), F.min("text_hash").alias(own_hash))
+    times = members.groupBy("doc_id", "text_hash").agg(F.count("*").alias(times_))
+    won = won.join(times, F.col(own_id).eqNullSafe(F.col("doc_id")) & (F.col(own_hash) == F.col("text_hash"))).select(own_id, own_hash, times_)
+    hashed = docs.withColumn(text_hash, F.xxhash64(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    stay = hashed.join(won, F.col(doc_id).eqNullSafe(F.col(own_id)) & (F.col(text_hash) == F.col(own_hash)))
+    once = stay.where(F.col(times_) == 1).select(*all_columns(docs))
+    more = stay.where(F.col(times_) > 1).dropDuplicates([doc_id, text_hash]).select(*all_columns(docs))
     return once.unionByName(more)

@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedback_spark.llm.common import materialise, python_ready
+from feedback_spark.llm.common import all_columns, free_prefix, materialise, python_ready
 from feedback_spark.llm.pretokens import worker_state
 
 #: Bounds of the labelled sample and of the lexicon.
@@ -377,7 +377,8 @@ def without_toxic(docs: DataFrame, model: Model, least: float, text: str = "text
                 out.append(scored(m, automaton, fold_text(t, folding))[3])
             yield pd.Series(out, dtype="float64")
 
-    return docs.withColumn("__score", score(F.coalesce(F.col(text).cast("string"), F.lit("")))).where(F.col("__score") < least).select(*docs.columns)
+    own = f"{free_prefix(docs)}score"
+    return docs.withColumn(own, score(F.coalesce(F.col(text).cast("string"), F.lit("")))).where(F.col(own) < least).select(*all_columns(docs))
 
 
 def toxicity(docs: DataFrame, model: Model, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
