@@ -23,6 +23,7 @@ import re
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress, pairwise
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
@@ -99,16 +100,35 @@ def groups_of(whole: Fragment) -> tuple[tuple[list[int], list[int]], tuple[list[
     return tuple(whole.prefix[k] + whole.ids[k] for k in (0, 1)), tuple([len(whole.prefix[k])] + whole.lens[k] for k in (0, 1))
 
 
+def group_texts(ids, lens, groups) -> list[str]:
+    """``a1,a2|b1;a3|b2,b3`` of each of several documents: all ids and group lengths of both sides, documents' numbers of groups."""
+    import numpy as np
+
+    ids, lens = [np.asarray(x, np.int64) for x in ids], [np.asarray(x, np.int64) for x in lens]
+    to = [np.cumsum(x) for x in lens]
+    end_a, end_b = to[0] + to[1] - lens[1], to[0] + to[1]  # of a group's two sides, among the tokens of both
+    flat = np.empty(len(ids[0]) + len(ids[1]), np.int64)
+    flat[np.arange(len(ids[0])) + np.repeat(to[1] - lens[1], lens[0])] = ids[0]
+    flat[np.arange(len(ids[1])) + np.repeat(to[0], lens[1])] = ids[1]
+    width = len(str(int(flat.max(initial=0))))
+    said = np.full((len(flat), width + 1), ord(","), np.uint8)
+    shown = np.ones(said.shape, bool)
+    for k in range(width):
+        said[:, width - 1 - k] = flat // 10**k % 10 + ord("0")
+        if k:
+            shown[:, width - 1 - k] = flat >= 10**k
+    said[end_a - 1, width] = ord("|")
+    said[end_b - 1, width] = ord(";")
+    last = np.concatenate([[0], end_b])[np.cumsum(np.asarray(groups, np.int64))]  # of each document
+    shown[last[np.diff(last, prepend=0) > 0] - 1, width] = False
+    at = np.concatenate([[0], np.cumsum(shown.sum(axis=1))])[np.concatenate([[0], last])].tolist()
+    raw = said[shown].tobytes().decode()
+    return [raw[a:b] for a, b in pairwise(at)]
+
+
 def as_text(ids: tuple[list[int], list[int]], lens: tuple[list[int], list[int]]) -> str:
-    """``a1,a2|b1;a3|b2,b3``: the groups in order."""
-    sides = []
-    for one, sizes in zip(ids, lens, strict=True):
-        said, at, side = list(map(str, one)), 0, []
-        for n in sizes:
-            side.append(said[at] if n == 1 else ",".join(said[at:at + n]))
-            at += n
-        sides.append(side)
-    return ";".join(map("|".join, zip(*sides, strict=True)))
+    """The groups of one document, in order."""
+    return group_texts(ids, lens, [len(lens[0])])[0]
 
 
 class Pair:
@@ -117,11 +137,11 @@ class Pair:
     def __init__(self, a_spec: str, b_model: bytes):
         import sentencepiece
 
-        self.a = tokenizer_of(a_spec)
-        self.a.encode_special_tokens = True
+        self.spec, self.library = a_spec, tokenizer_of(a_spec)
         letters = byte_letters()
-        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.a.get_vocab(with_added_tokens=True).items()}
+        self.a_bytes = {i: bytes(letters[c] for c in t) if all(c in letters for c in t) else t.encode() for t, i in self.library.get_vocab(with_added_tokens=True).items()}
         self.fast, self.latin = ranked(a_spec, self.a_bytes), re.compile("[\0-\u024f]*\\Z")
+        self.library = None  # 40 MB that Latin text does not need
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b_model)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
@@ -129,24 +149,30 @@ class Pair:
         # white space before which both tokenizers start anew after other text: no piece holds it behind another character
         crossed = {" ": any(re.search("[^▁]▁", p) for p in plain)} | {c: any(c in p for p in plain if len(p) > 1) for c in "\n\t\r"}
         self.starts = "".join(c for c, no in crossed.items() if not no)
-        self.cut = re.compile(rf"(?<=\S)(?=[{re.escape(self.starts)}])") if self.starts else None
+        rest = rf"(?:[^\S{re.escape(self.starts)}]\s*\S*)*"  # white space that is no such place, and what follows
+        self.part = re.compile(rf"\s*\S+{rest}|\s+") if self.starts else None
         self.spell = [np_bytes(x) for x in ([self.a_bytes[i] for i in range(len(self.a_bytes))], self.b_bytes)]
         self.forget()
 
     def forget(self) -> None:
         self.codes: dict[str, int] = {}
-        self.texts: list[str] = []
         self.good: list[bool] = []
         self.parts: list[list] = [[], [], [], []]  # ids and lens of both, stretch after stretch
         self.sizes: list[list] = [[], [], [], []]
 
     def stretches(self, text: str) -> list[str]:
         """``text`` (with its first blank) cut at white-space runs that follow other text."""
-        if not self.cut:
+        if not self.part:
             return [text]
         if " " in self.starts and text.startswith(" ") and (words := text.split()) == text[1:].split(" "):
             return [" " + w for w in words]
-        return self.cut.split(text)
+        return self.part.findall(text) or [text]
+
+    def by_library(self, text: str) -> list[int]:
+        if self.library is None:
+            self.library = tokenizer_of(self.spec)
+            self.library.encode_special_tokens = True
+        return self.library.encode(text, add_special_tokens=False).ids
 
     def tokens(self, text: str) -> tuple[tuple[list[int], list[int]], tuple, bool]:
         """Ids and end offsets of both for one or more whole stretches, from their start; whether both spell the text.
@@ -156,7 +182,7 @@ class Pair:
         import numpy as np
 
         raw, ids, ends, good = b" a" + text.encode(), [], [], True
-        a = self.fast.encode_ordinary(" a" + text) if self.fast and self.latin.match(text) else self.a.encode(" a" + text, add_special_tokens=False).ids
+        a = self.fast.encode_ordinary(" a" + text) if self.fast and self.latin.match(text) else self.by_library(" a" + text)
         for one, (lens, spelled) in zip((a, self.b.encode("a" + text)), self.spell, strict=True):
             at = np.cumsum(lens[one])
             k = int(np.searchsorted(at, 2)) + 1
@@ -168,7 +194,8 @@ class Pair:
     def learn(self, new: list[str]) -> None:
         """Number the stretches, all new: together where they can stand side by side, else one by one."""
         held, size = [], 0
-        for s in sorted(new, key=lambda s: self.latin.match(s) is None):  # Latin letters first: they take the faster way
+        latin = [s.isascii() or self.latin.match(s) is not None for s in new]
+        for s in chain(compress(new, latin), (s for s, fast in zip(new, latin, strict=True) if not fast)):  # Latin letters first: they take the faster way
             if s[-1].isspace():  # it would run into the next
                 self.add([s])
                 continue
@@ -193,22 +220,17 @@ class Pair:
                 self.add([s])
             return
         if not whole:
-            ids, lens, groups, text = ([], []), ([], []), np.zeros(1, np.int64), [""]
+            ids, lens = ([], []), ([], [])
             sizes = [np.zeros(1, np.int64)] * 4
         else:
             cuts = [np.searchsorted(e, common) + 1 for e in ends]
             lens = tuple(np.diff(c, prepend=0) for c in cuts)
             groups = np.diff(at + 1, prepend=0)
             sizes = [np.diff(c[at], prepend=0) for c in cuts] + [groups, groups]
-            said, k, text = as_text(ids, [x.tolist() for x in lens]).split(";"), 0, []
-            for n in groups.tolist():
-                text.append(";".join(said[k:k + n]))
-                k += n
         for k, x in enumerate((*ids, *lens)):
             self.parts[k].append(np.asarray(x, "<u4"))
             self.sizes[k].append(sizes[k])
-        self.codes.update(zip(held, range(len(self.texts), len(self.texts) + len(held)), strict=True))
-        self.texts += text
+        self.codes.update(zip(held, range(len(self.good), len(self.good) + len(held)), strict=True))
         self.good += [whole] * len(held)
 
     def aligned(self, docs: list[str | None]) -> list[tuple[bytes, bytes, bytes, bytes, str]]:
@@ -218,23 +240,24 @@ class Pair:
         cut = [self.stretches(t) if t else [] for t in docs]
         if len(self.codes) > MOST_KEPT:
             self.forget()
-        self.learn(list({s: None for parts in cut for s in parts if s not in self.codes}))
-        codes = [[self.codes[s] for s in parts] for parts in cut]
+        self.learn([s for s in dict.fromkeys(chain.from_iterable(cut)) if s not in self.codes])
+        codes = [list(map(self.codes.__getitem__, parts)) for parts in cut]
         fine = [bool(c) and all(map(self.good.__getitem__, c)) for c in codes]
         codes = [c if ok else [] for c, ok in zip(codes, fine, strict=True)]
-        flat = np.array([x for c in codes for x in c], np.int64)
+        flat = np.fromiter(chain.from_iterable(codes), np.int64)
         n = np.array([len(c) for c in codes])
-        sides = []
+        sides, whole = [], []
         for k in range(4):
             values = np.concatenate([*self.parts[k], np.zeros(0, "<u4")])
             size = np.concatenate([*self.sizes[k], np.zeros(0, np.int64)])
             self.parts[k], self.sizes[k] = [values], [size]
             starts, own = np.cumsum(size) - size, size[flat]
             out = values[np.repeat(starts[flat] - (np.cumsum(own) - own), own) + np.arange(own.sum())]
-            ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(n)])] * 4
+            ends = np.concatenate([[0], np.cumsum(own)])[np.concatenate([[0], np.cumsum(n)])]
             raw = out.tobytes()
-            sides.append([raw[a:b] for a, b in zip(ends.tolist(), ends[1:].tolist(), strict=False)])
-        return list(zip(*sides, [";".join([self.texts[x] for x in c]) for c in codes], strict=True))
+            sides.append([raw[a:b] for a, b in pairwise((ends * 4).tolist())])
+            whole.append(out)
+        return list(zip(*sides, group_texts(whole[:2], whole[2:], np.diff(ends)), strict=True))
 
 
 def ranked(spec: str, spelled: dict[int, bytes]):
