@@ -35,7 +35,7 @@ from feedback_spark.llm.pretokens import read_file, tokenizer_of, worker_state
 #: Bytes of a range, and how many neighbours one task of the tree folds.
 RANGE_BYTES, FAN_IN = 65_536, 8
 #: Stretches that a worker keeps, characters of new ones that are encoded together, bytes of documents aligned together.
-MOST_KEPT, LEARN_BYTES, DOC_BYTES = 60_000, 65_536, 500_000
+MOST_KEPT, LEARN_BYTES, DOC_BYTES = 60_000, 65_536, 200_000
 # Fixed value: how byte-level tokenizers files cut a text.
 BYTE_LEVEL_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Rows of an Arrow batch (a row of the aligned table is some six times its text), bytes of packed ids worked on at once.
