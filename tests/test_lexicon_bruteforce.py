@@ -109,3 +109,24 @@ def test_five_million_words_stay_distributed(spark):
     df = spark.createDataFrame([(1, "w4999999 and w12 or W5"), (2, "nothing")], "review_id long, review_text string")
     words = {"w4999999": float(4999999 % 7 - 3), "w12": 2.0, "w5": 2.0}
     assert {r.review_id: r.sentiment_raw for r in lexicon_polarity(df, lexicon).collect()} == {1: brute("w4999999 and w12 or W5", lex=words), 2: 0.0}
+
+
+def test_scorer_memory_is_bounded_by_a_run_of_rows(monkeypatch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from feedback_spark.operators import sentiment as D
+
+    words = ["not", "very", "good", None, None, "but", "bad"]
+    rows = [[words[(i * 7 + k * k) % 7] if (k + i) % 9 == 0 else None for k in range(i % 1500)] for i in range(3000)] + [None, []]
+    args = pa.array(rows, pa.list_(pa.string())), pa.array([[]] * len(rows), pa.list_(pa.int32())), pa.array([[]] * len(rows), pa.list_(pa.float64()))
+    score = D._token_valence_sum(list(LEX), list(LEX.values()), {})
+    tracemalloc.start()
+    whole = score(*args)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 60e6, peak  # 2.2 million tokens
+    for most in (1, 1000, 10**9):
+        monkeypatch.setattr(D, "TOKENS_AT_ONCE", most)
+        assert score(*args).equals(whole), most
