@@ -52,3 +52,18 @@ def test_top_phrases_matches_bruteforce(spark):
         got = [(r.phrase, r.score, r.weight) for r in
                PH.top_phrases(df, ["product"], 8, (lo, hi)).orderBy("rank").collect()]
         assert got == brute(DOCS, lo, hi, 8), (lo, hi)
+
+
+def test_terms_are_counted_in_one_sort_and_no_text_is_cut_twice(spark):
+    rows = [(g, i, t) for g in "PQ" for i, t in enumerate(DOCS * 2)] + [("P", 3, DOCS[0]), (None, 1, DOCS[1])]
+    df = spark.createDataFrame(rows, "product string, review_id long, review_text string")
+    for lo, hi in ((1, 1), (1, 2), (1, 3), (2, 3), (2, 4)):
+        want = Counter()
+        for g, i, t in rows:
+            toks = [w for w in re.findall(r"\w{2,}", t.lower()) if w not in FV.ENGLISH_STOP_WORDS]
+            want.update((g, i, " ".join(toks[k:k + m])) for m in range(lo, hi + 1) for k in range(len(toks) - m + 1))
+        docs = Counter((g, t) for g, _, t in want)
+        got = PH.term_counts(df, ["product"], (lo, hi), partitions=3)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan, plan
+        assert {((x.product, x.review_id, x.term), x.tf, x.df) for x in got.collect()} == {(k, c, docs[k[0], k[2]]) for k, c in want.items()}
