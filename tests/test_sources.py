@@ -124,3 +124,19 @@ def test_one_prompt_as_a_file(spark):
     A.write_prompts(df, os.path.join(root, "table"))
     A.export_prompt(spark, os.path.join(root, "table"), "Country Delight", 1, os.path.join(root, "one"))
     assert [r["value"] for r in spark.read.text(os.path.join(root, "one"), wholetext=True).collect() if r["value"]] == ["a\nb\n"]
+
+
+def test_cards_leave_the_task_before_the_batch_ends(monkeypatch):
+    import pandas as pd
+
+    from feedback_spark.sources import html as H
+
+    card = '<div data-review-id="1"><span class="wiI7pd">{}</span></div>'
+    pages = pd.DataFrame([(i, "u", None if i % 10 == 9 else card.format("text " * 100 + str(i)) * 3) for i in range(200)], columns=["page_id", "url", "html"])
+    args = ("google_maps", "url", "html", "page_id")
+    monkeypatch.setattr(H, "CHARS_AT_ONCE", 10_000, raising=False)
+    frames = list(H._frames([pages, pages[:0]], *args))
+    assert max(len(f) for f in frames) <= 21 and sum(len(f) for f in frames) == 180 * 3
+    monkeypatch.setattr(H, "CHARS_AT_ONCE", 10**9)
+    rows = lambda frames: [tuple(map(str, x)) for f in frames for x in f.itertuples(index=False)]
+    assert rows(frames) == rows(H._frames([pages], *args))
