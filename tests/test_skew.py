@@ -35,3 +35,18 @@ def test_dedup_with_hot_copy_group(spark):
     out = dedup_first(df.repartition(16), ["product", "review_text"], ["review_id"])
     kept = {r.review_text: r.review_id for r in out.collect()}
     assert kept["same text"] == 0 and len(kept) == 1 + 2000
+
+
+def test_numbering_by_group_moves_no_group_to_one_task(spark, monkeypatch):
+    from feedback_spark.operators import clean as C
+
+    rows = [("P" if i % 3 else "Q", i, f"text {i}") for i in range(600)] + [(None, 7, "x")]
+    df = spark.createDataFrame(rows, "product string, review_id long, review_text string").repartition(5)
+    out = C.with_seq(df, ["product", "review_id"], group=["product"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(product" not in plan, plan
+    want = sorted((g, i, n + 1) for g in "PQ" for n, i in enumerate(sorted(r[1] for r in rows if r[0] == g)))
+    got = lambda d: sorted((r.product, r.review_id, r.review_seq) for r in d.collect())
+    assert got(out) == want
+    monkeypatch.setattr(C, "MOST_SENT", 1)
+    assert got(C.with_seq(df, ["product", "review_id"], group=["product"])) == want
