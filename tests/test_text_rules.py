@@ -125,3 +125,21 @@ def test_negation_and_booster(spark):
     raw = {r.review_id: r.sentiment_raw for r in D.lexicon_polarity(df).collect()}
     assert raw[2] < 0 < raw[1] < raw[3]
     assert raw[4] < 0
+
+
+def test_stem_search_matches_python(spark):
+    import random
+    import re
+
+    from feedback_spark.operators import themes as E
+
+    patterns = [r"\b(delay|late|on.?time)\b", r"\b(a?b|ac)\b", r"\b(x|[yz]a|ünd)\b", r"\b(b*c|cd{2})\b", r"\b(a|b)x\b", r"\b(fee)s?\b"]
+    rnd = random.Random(5)
+    words = ["delays", "late", "xlate", "on-time", "on time", "ontimely", "b", "abc", "ac", "c", "bbc", "bcd", "cdd", "yak", "zoo", "ünder", "hünd", "ax", "bx", "fees", "_fee", "é", "7late"]
+    texts = ["", *words, *["".join(rnd.choice(words) + rnd.choice([" ", ".", "-", "\n", "", "é"]) for _ in range(5)) for _ in range(300)]]
+    df = spark.createDataFrame([(i, "t", x) for i, x in enumerate(texts)], "review_id long, product_type string, review_text string")
+    tagged = E.tag_themes(df, stem=True, patterns={"t": [(str(k), p) for k, p in enumerate(patterns)]})
+    for row in tagged.collect():
+        want = [str(k) for k, p in enumerate(patterns) if re.search(E._stem(p), row.review_text.lower())]
+        assert row.themes == want, (row.review_text, row.themes, want)
+    assert E._search_stem(patterns[0]).startswith("(?=[dlo])") and not E._search_stem(patterns[1]).startswith("(?=")
