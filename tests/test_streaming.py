@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import functions as F
 
+from feedback_spark.operators.themes import tag_themes
 from feedback_spark.sources.testdata import reviews
 from feedback_spark.streaming import stream as S
 
@@ -70,3 +71,16 @@ def test_state_of_undated_rows_expires(spark):
     time.sleep(1.5)
     undated_run(spark, root, "p2", 1_000, (2, B))  # a batch lets the limit act
     assert undated_run(spark, root, "p3", 1_000, (3, A)) == [(1, A), (2, B), (3, A)]
+
+
+def test_theme_counts_tag_each_text_once(spark):
+    rows = spark.createDataFrame([("P", "payments", "slow support"), ("P", "payments", "nothing")], "product string, product_type string, review_text string")
+    seen = tag_themes(rows.withColumn("event_ts", F.lit("2024-01-05").cast("timestamp")))
+    counts = S.theme_window_counts(seen)
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    filters = [x for x in plan.splitlines() if "Filter" in x.split("[")[0].split("(")[0]]
+    assert not any("RLIKE" in x.upper() or "split(" in x for x in filters)  # no filter repeats the tagging
+    assert {(r["theme"], r["n"]) for r in counts.collect()} == {("Transfer Speed", 1), ("Customer Support", 1)}
+    empty = rows.select("product", F.lit("2024-01-05").cast("timestamp").alias("event_ts"),
+                        F.when(F.col("review_text") == "nothing", F.array().cast("array<string>")).alias("themes"))
+    assert S.theme_window_counts(empty).count() == 0  # null and empty lists give no row
