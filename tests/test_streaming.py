@@ -84,3 +84,21 @@ def test_theme_counts_tag_each_text_once(spark):
     empty = rows.select("product", F.lit("2024-01-05").cast("timestamp").alias("event_ts"),
                         F.when(F.col("review_text") == "nothing", F.array().cast("array<string>")).alias("themes"))
     assert S.theme_window_counts(empty).count() == 0  # null and empty lists give no row
+
+
+def test_landed_files_grow_with_the_rows(spark):
+    small = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "8k"}
+    before = {k: spark.conf.get(k) for k in small}
+    landing = os.path.join(S.work_dir(spark, "test-land"), "landing")
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        S.land(reviews(spark, SF), landing)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    landed = spark.read.parquet(landing)
+    spans = landed.groupBy(F.col("_metadata.file_path")).agg(F.min("review_id").alias("lo"), F.max("review_id").alias("hi")).orderBy("lo").collect()
+    assert len(spans) > 4  # as many files as the size asks for, not a fixed four
+    assert all(a["hi"] < b["lo"] for a, b in zip(spans, spans[1:]))
+    assert landed.count() == reviews(spark, SF).count()
