@@ -40,12 +40,10 @@ def _a5(spark, sf):
     root = work_dir(spark, "responses")
     resp = QE.responses(spark, sf).withColumn("name", F.regexp_extract("file", r"([^/]+)$", 1)) \
         .withColumn("folder", F.regexp_extract("file", r"^([^/]+)/", 1))
-    # A8-style sink: one folder per response file, the body as its only line
-    resp.select("folder", "name", "body").write.mode("overwrite").partitionBy("folder", "name").text(os.path.join(root, "files"))
-    raw = A.read_responses(spark, os.path.join(root, "files", "*", "*", "*.txt"))
-    # file identity = "<folder>/<name>" from the partition directories
-    raw = raw.withColumn("file", F.concat(F.regexp_extract("file", r"folder=([^/]+)/", 1), F.lit("/"),
-                                          F.regexp_extract("file", r"name=([^/]+)/", 1)))
+    A.land_responses(resp, os.path.join(root, "files"))
+    raw = A.read_responses(spark, os.path.join(root, "files"), below="*.{json,txt}")
+    # file identity = "<folder>/<name>"; small files make many tasks, of which each would start Python to parse a few
+    raw = raw.withColumn("file", A.landed_name()).repartition("file")
     p = K.parse_responses(raw.select("file", "body"), QE.BATCH)
     return p.groupBy("file", "method").agg(F.count("*").alias("objects"))
 

@@ -53,13 +53,64 @@ def write_layer(df: DataFrame, path: str, partition_by: str | None = "product",
     w.save(path)
 
 
-def read_responses(spark: SparkSession, glob: str) -> DataFrame:
+def land_responses(responses: DataFrame, path: str) -> None:
+    """Response files (folder, name, body), one file each, written by all tasks.
+
+    A file costs far more than its few bytes, so the rows are dealt by number over
+    the tasks (their size alone would put them into one).  In a folder that the
+    machines have mounted the tasks write ``path``/<folder>/<name> themselves:
+    Hadoop's local file system starts two ``chmod`` processes per file, which takes
+    longer than all the rest.  Another store gets
+    ``path``/folder=<folder>/name=<name>/<part>.txt from Spark's writer, whose tasks
+    move their own files into place.  Rows of one name become lines of one file.
+    """
+    from feedback_spark.session import mounted_path
+
+    spark = responses.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = responses.select("folder", "name", "body").repartition(tasks, "folder", "name")
+    root = mounted_path(spark, path)
+    if root is None:
+        (rows.write.mode("overwrite").option("mapreduce.fileoutputcommitter.algorithm.version", "2")
+         .partitionBy("folder", "name").text(path))
+        return
+
+    def write(part) -> None:
+        import os
+        import uuid
+        from itertools import groupby
+
+        for (folder, name), same in groupby(part, key=lambda r: (r["folder"], r["name"])):
+            os.makedirs(os.path.join(root, folder), exist_ok=True)
+            # a whole file appears at once, also if two attempts of a task write it
+            half = os.path.join(root, folder, f".{uuid.uuid4().hex}")
+            with open(half, "w", encoding="utf-8", newline="") as f:
+                f.writelines(f"{r['body'] or ''}\n" for r in same)
+            os.replace(half, os.path.join(root, folder, name))
+
+    rows.sortWithinPartitions("folder", "name").foreachPartition(write)
+
+
+def landed_name(file: str = "file") -> Column:
+    """``<folder>/<name>`` of a file that ``land_responses`` has written, by its path."""
+    dealt = r"/folder=([^/]+)/name=([^/]+)/[^/]+$"
+    return (F.when(F.col(file).rlike(dealt), F.concat(F.regexp_extract(file, dealt, 1), F.lit("/"), F.regexp_extract(file, dealt, 2)))
+            .otherwise(F.regexp_extract(file, r"([^/]+/[^/]+)$", 1)))
+
+
+def read_responses(spark: SparkSession, glob: str, below: str | None = None) -> DataFrame:
     """A5: response files as (file, body, batch_no), one row per file.
 
     ``wholetext`` keeps a file in one row; the file name comes from the
     ``_metadata`` column and the batch number from its ``_bNN.json`` suffix.
+    With ``below`` (a pattern of file names) ``glob`` names folders, and all such
+    files anywhere below them are read: tasks list the folders, while a glob over
+    many folders is resolved one by one on the driver.
     """
-    df = spark.read.text(glob, wholetext=True).select(plain_path("_metadata.file_path").alias("file"), F.col("value").alias("body"))
+    reader = spark.read
+    if below is not None:
+        reader = reader.option("recursiveFileLookup", "true").option("pathGlobFilter", below)
+    df = reader.text(glob, wholetext=True).select(plain_path("_metadata.file_path").alias("file"), F.col("value").alias("body"))
     return df.withColumn("batch_no", F.regexp_extract("file", r"_b(\d+)\.json$", 1).try_cast("long"))
 
 

@@ -140,3 +140,29 @@ def test_cards_leave_the_task_before_the_batch_ends(monkeypatch):
     monkeypatch.setattr(H, "CHARS_AT_ONCE", 10**9)
     rows = lambda frames: [tuple(map(str, x)) for f in frames for x in f.itertuples(index=False)]
     assert rows(frames) == rows(H._frames([pages], *args))
+
+
+def test_landed_responses_come_back_by_name(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from feedback_spark import session
+    from feedback_spark.streaming.stream import work_dir
+
+    rows = [("batches", f"p{k}_response_b{k:02d}.json", f'[{{"a":\n{k}}}]') for k in range(40)]
+    rows += [("retry", "p1_response_b01.json", "ü"), ("retry", "p2_response_b02.json", None)]
+    responses = spark.createDataFrame(rows, "folder string, name string, body string").coalesce(1)
+
+    def landed():
+        root = os.path.join(work_dir(spark, "responses"), "files")
+        A.land_responses(responses, root)
+        raw = A.read_responses(spark, root, below="*.{json,txt}").withColumn("name", A.landed_name())
+        return root, sorted((r["name"], r["body"]) for r in raw.select("name", "body").collect())
+
+    want = sorted((f"{folder}/{name}", f"{body or ''}\n") for folder, name, body in rows)
+    root, got = landed()
+    assert got == want
+    assert sorted(os.listdir(os.path.join(root, "retry"))) == ["p1_response_b01.json", "p2_response_b02.json"]  # no folder per file, no checksums
+    monkeypatch.setattr(session, "mounted_path", lambda spark, path: None)  # a store that only Spark reaches
+    root, got = landed()
+    assert got == want
+    tasks = {f.split("-")[1] for _, _, files in os.walk(root) for f in files if f.startswith("part-")}
+    assert len(tasks) > 1
