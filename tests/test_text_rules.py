@@ -143,3 +143,19 @@ def test_stem_search_matches_python(spark):
         want = [str(k) for k, p in enumerate(patterns) if re.search(E._stem(p), row.review_text.lower())]
         assert row.themes == want, (row.review_text, row.themes, want)
     assert E._search_stem(patterns[0]).startswith("(?=[dlo])") and not E._search_stem(patterns[1]).startswith("(?=")
+
+
+def test_trim_takes_the_same_characters_as_the_pattern(spark):
+    from pyspark.sql import functions as F
+    from feedback_spark.functions.regex import TRIM_PATTERN
+    from feedback_spark.functions.text import clean_text
+
+    points = [(c, chr(c)) for c in range(1, 0x30000) if not 0xD800 <= c <= 0xDFFF]
+    df = spark.createDataFrame(points, "cp int, c string")
+    text = F.concat(F.col("c"), F.lit("\n"), F.col("c"), F.lit("a "), F.col("c"), F.lit("b"), F.col("c"), F.lit("\r\n"), F.col("c"))
+    x = df.select("cp", "c", text.alias("t")).withColumn("want", F.regexp_replace("t", TRIM_PATTERN, ""))
+    assert x.filter(clean_text("t") != F.col("want")).count() == 0
+    assert x.filter(clean_text("c") != F.regexp_replace("c", TRIM_PATTERN, "")).count() == 0
+    assert [r[0] for r in spark.createDataFrame([("",), (" 　\t",), (None,)], "t string").select(clean_text("t")).collect()] == ["", "", None]
+    # no pattern is tried at every blank of a text
+    assert "regexp_replace" not in df.select(clean_text("c").alias("c"))._jdf.queryExecution().optimizedPlan().toString()
