@@ -265,7 +265,8 @@ def parse_responses(raw: DataFrame, size: int = FV.OFFLINE_BATCH) -> DataFrame:
     x = x.withColumn("_txt", salvage_objects(F.when(F.col("direct").isNull(), F.col("s"))))
     rest = F.transform(F.coalesce("_txt", F.array().cast("array<string>")), lambda o: F.from_json(o, OBJ_SCHEMA))
     x = x.withColumn("objs", F.coalesce("direct", rest)).withColumn("method", F.when(F.col("direct").isNotNull(), "direct").otherwise("salvaged"))
-    objs = x.select("slug", "file", "batch_no", "method", F.posexplode("objs").alias("i", "o"))
+    # an expression, not the bare column, for which the optimizer would filter on the salvaged objects at the scan, and so salvage twice
+    objs = x.select("slug", "file", "batch_no", "method", F.posexplode(F.transform("objs", lambda o: o)).alias("i", "o"))
     idx = F.coalesce(F.col("o.idx").try_cast("int").cast("long"), (F.col("batch_no") - 1) * size + 1 + F.col("i"))
     return objs.select("slug", "file", "batch_no", F.col("i").cast("long").alias("i"), idx.alias("idx"), "method",
                        *_response_fields("o"))

@@ -166,3 +166,12 @@ def test_landed_responses_come_back_by_name(spark, monkeypatch):
     assert got == want
     tasks = {f.split("-")[1] for _, _, files in os.walk(root) for f in files if f.startswith("part-")}
     assert len(tasks) > 1
+
+
+def test_responses_are_salvaged_once(spark):
+    from feedback_spark.operators import enrich as K
+
+    raw = spark.createDataFrame([("a_response_b01.json", '[{"idx":1,"sentiment":"Positive"},{"idx":2'), ("a_response_b02.json", "sorry")], "file string, body string")
+    parsed = K.parse_responses(raw.repartition("file"), 5)
+    assert [(r["idx"], r["sentiment"], r["method"]) for r in parsed.collect()] == [(1, "Positive", "salvaged")]
+    assert parsed._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
